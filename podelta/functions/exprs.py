@@ -80,14 +80,14 @@ def int_or_zero(c) -> Column:
     """Numeric text -> integer (truncated); anything else -> 0."""
     s = strip(text(c))
     num = F.when(s.rlike(PY_FLOAT_PATTERN) & ~s.rlike(PY_NAN_PATTERN),
-                 F.try_cast(F.regexp_replace(s, "_", ""), "double"))
+                 F.regexp_replace(s, "_", "").try_cast("double"))
     return F.coalesce(F.when(F.abs(num) < 9.2e18, num.cast("long")), F.lit(0).cast("long"))
 
 
 # P3 / P9 -------------------------------------------------------------------
 def to_date_or_null(c, fmt: str | None = None) -> Column:
     if fmt is None:
-        return F.try_cast(col_(c), "date") if isinstance(c, str) else F.try_cast(c, "date")
+        return col_(c).try_cast("date")
     return F.to_date(F.try_to_timestamp(text(c), F.lit(fmt)))
 
 
@@ -142,7 +142,7 @@ def canon(c, dtype: str = "string") -> Column:
         return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(
             F.concat(F.lit("N:"), (x.cast("double") + F.lit(0.0)).cast("string")))
     s = strip(text(x))
-    num = F.try_cast(F.regexp_replace(s, "_", ""), "double")
+    num = F.regexp_replace(s, "_", "").try_cast("double")
     return (F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
             .when(s.rlike(PY_NAN_PATTERN), F.lit("NAN"))
             .when(s.rlike(PY_FLOAT_PATTERN) & num.isNotNull(), F.concat(F.lit("N:"), (num + F.lit(0.0)).cast("string")))

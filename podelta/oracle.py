@@ -61,3 +61,186 @@ GROUP BY t
 """, extra=LABELLED)
 
 _ = AS_OF
+
+
+# --- keys, dedupe, alignment -------------------------------------------------
+sql("line_keys", ("order_lines",), """
+SELECT document_number, ord,
+       split_part(name, ' ', 1) AS vendor_id,
+       CASE WHEN strpos(name, ' ') > 0 THEN substr(name, strpos(name, ' ') + 1) END AS vendor_name,
+       CASE WHEN line_id_raw IS NULL THEN 'nan' WHEN line_id_raw = '' THEN '0'
+            ELSE regexp_replace(line_id_raw, '\\.0$', '') END AS line_id,
+       document_number || item || CASE WHEN line_id_raw IS NULL THEN 'nan' WHEN line_id_raw = '' THEN '0'
+            ELSE regexp_replace(line_id_raw, '\\.0$', '') END AS po_razin_id,
+       document_number || item || split_part(name, ' ', 1) AS po_razin_vendor,
+       CASE WHEN sub_status IN ('17. QC Schedule Pending', '20a. QC Release Missing') THEN 'otif' ELSE '' END AS subset
+FROM order_lines
+""")
+
+sql("dedupe_first", ("order_lines",), """
+SELECT line_key, document_number, ord, item, current_status, prd
+FROM (SELECT *, row_number() OVER (PARTITION BY line_key ORDER BY ord NULLS FIRST) AS rn FROM order_lines) t
+WHERE rn = 1
+""")
+
+sql("align_schema", ("order_lines",), """
+SELECT line_key AS title, current_status, sub_status, quantity, pending_value, qc_status,
+       CAST(NULL AS VARCHAR) AS poc_primary, final_poc, sm, CAST(NULL AS VARCHAR) AS fob_date,
+       CAST(NULL AS VARCHAR) AS list_id
+FROM order_lines
+""")
+
+
+# --- change set ----------------------------------------------------------------
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+_PYF = r"^[+-]?((\d(_?\d)*)?\.\d(_?\d)*|\d(_?\d)*\.?)([eE][+-]?\d(_?\d)*)?$|^[+-]?(?i:inf|infinity)$"
+
+
+def _canon_s(x: str) -> str:
+    s = _strip(x)
+    num = f"TRY_CAST(replace({s}, '_', '') AS DOUBLE)"
+    return (f"(CASE WHEN {x} IS NULL OR {s} = '' THEN NULL "
+            f"WHEN regexp_matches({s}, '^[+-]?(?i:nan)$') THEN 'NAN' "
+            f"WHEN regexp_matches({s}, '{_PYF}') AND {num} IS NOT NULL THEN 'N:' || CAST({num} + 0.0 AS VARCHAR) "
+            f"ELSE 'S:' || {s} END)")
+
+
+def _canon_d(x: str) -> str:
+    return f"(CASE WHEN {x} IS NULL OR isnan({x}) THEN NULL ELSE 'N:' || CAST({x} + 0.0 AS VARCHAR) END)"
+
+
+_STR_FIELDS = ("current_status", "sub_status", "quantity", "qc_status", "final_poc", "sm")
+_ALL_FIELDS = ("current_status", "sub_status", "quantity", "pending_value", "qc_status", "final_poc", "sm")
+
+
+def _canon(f: str, x: str) -> str:
+    return _canon_d(x) if f == "pending_value" else _canon_s(x)
+
+
+def _fmt(f: str, x: str) -> str:
+    return f"round({x}, 3)" if f == "pending_value" else x
+
+
+def _clean(f: str, x: str) -> str:
+    if f == "pending_value":
+        return x
+    return f"coalesce(CASE WHEN {x} NOT IN ('nan', 'NaN', 'NAN') THEN {x} END, '')"
+
+
+_DECODE_QC = ("CASE WHEN json_valid(E.qc_status) AND starts_with(ltrim(E.qc_status), '{') "
+              "AND list_contains(json_keys(E.qc_status), 'Value') THEN E.qc_status ->> '$.Value' ELSE E.qc_status END")
+
+_UID = "CASE {x} " + " ".join(f"WHEN 'User{i}' THEN '{100 + i}'" for i in range(20)) + " END"
+_ADMINS = "['101', '119']"
+
+
+def _uid(x: str) -> str:
+    return "(" + _UID.format(x=x) + ")"
+
+
+CHANGE_CTES = f"""
+E AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY list_id NULLS FIRST) AS rn
+                                  FROM existing_list WHERE title IS NOT NULL) t WHERE rn = 1),
+N AS (SELECT * FROM desired_list WHERE title IS NOT NULL),
+J AS (
+  SELECT coalesce(E.title, N.title) AS title, E.title IS NOT NULL AS in_old, N.title IS NOT NULL AS in_new,
+         E.list_id AS item_id, E.ids_with_access AS access_old,
+         {", ".join(f"E.{f} AS o_{f}, N.{f} AS n_{f}" for f in _ALL_FIELDS)},
+         {", ".join(f"E.{f} AS od_{f}" for f in _ALL_FIELDS if f != "qc_status")}, {_DECODE_QC} AS od_qc_status
+  FROM E FULL OUTER JOIN N ON E.title = N.title
+),
+C AS (
+  SELECT *, {", ".join(f"NOT ({_canon(f, _fmt(f, 'od_' + f))} IS NOT DISTINCT FROM {_canon(f, _fmt(f, 'n_' + f))}) AS ch_{f}"
+                        for f in _ALL_FIELDS)}
+  FROM J
+),
+A AS (
+  SELECT *, CASE WHEN in_new AND NOT in_old THEN 'add' WHEN in_old AND NOT in_new THEN 'delete'
+                 WHEN {" OR ".join(f"ch_{f}" for f in _ALL_FIELDS)} THEN 'update' ELSE '' END AS pre
+  FROM C
+),
+V AS (
+  SELECT *, {", ".join(f"CASE pre WHEN 'add' THEN {_fmt(f, 'n_' + f)} WHEN 'update' THEN CASE WHEN ch_{f} THEN {_fmt(f, 'n_' + f)} END "
+                        f"WHEN 'delete' THEN {_fmt(f, 'o_' + f)} END AS v_{f}" for f in _ALL_FIELDS)}
+  FROM A
+)"""
+
+sql("field_diff", ("existing_list", "desired_list"), f"""
+SELECT title, concat_ws(',', {", ".join(f"CASE WHEN ch_{f} THEN '{f}' END" for f in _ALL_FIELDS)}) AS changed_fields,
+       CAST({" + ".join(f"CAST(ch_{f} AS INT)" for f in _ALL_FIELDS)} AS BIGINT) AS n_changed
+FROM C WHERE in_old AND in_new AND ({" OR ".join(f"ch_{f}" for f in _ALL_FIELDS)})
+""", extra=CHANGE_CTES)
+
+sql("change_actions", ("existing_list", "desired_list"), """
+SELECT title, CASE WHEN pre = '' THEN 'none' ELSE pre END AS action FROM A
+""", extra=CHANGE_CTES)
+
+_KEPT_NO_ACCESS = " OR ".join(
+    (f"(v_{f} IS NOT NULL AND NOT isnan(v_{f}))" if f == "pending_value"
+     else f"(v_{f} IS NOT NULL AND {_strip('v_' + f)} NOT IN ('', 'nan', 'NaN', 'NAN'))") for f in _ALL_FIELDS)
+
+INSPECTION_CTES = CHANGE_CTES + f""",
+F AS (SELECT *, CASE WHEN pre = 'update' AND NOT ({_KEPT_NO_ACCESS}) THEN '' ELSE pre END AS action FROM V),
+CS AS (
+  SELECT title, CAST(item_id AS BIGINT) AS list_id, {", ".join(f"{_clean(f, 'v_' + f)} AS {f}" for f in _ALL_FIELDS)},
+         action, array_to_string(list_sort(list_distinct({_ADMINS})), '; ') AS add_user_ids,
+         '' AS remove_user_ids, '' AS ids_with_access
+  FROM F WHERE action <> ''
+)"""
+
+sql("change_set", ("existing_list", "desired_list"), "SELECT * FROM CS", extra=INSPECTION_CTES)
+sql("action_summary", ("existing_list", "desired_list"),
+    "SELECT action, COUNT(*) AS rows FROM CS GROUP BY action", extra=INSPECTION_CTES)
+
+
+def _blank(x: str) -> str:
+    return f"({x} IS NULL OR {_strip(x)} = '')"
+
+
+_OWNERS = ("final_poc", "sm")
+_GRANTS = ", ".join(f"CASE WHEN NOT {_blank('n_' + f)} THEN {_uid('n_' + f)} END" for f in _OWNERS)
+_REVOKES = ", ".join(
+    f"CASE WHEN NOT ({_canon_s('od_' + f)} IS NOT DISTINCT FROM {_canon_s('n_' + f)}) AND NOT {_blank('o_' + f)} "
+    f"THEN {_uid('o_' + f)} END" for f in _OWNERS)
+_HAVE = ("list_filter(list_transform(string_split_regex(coalesce(access_old, ''), '[,;]'), lambda t: trim(t)), "
+         "lambda t: t <> '')")
+_OWNER_IDS = ("list_filter(list_transform(list_filter(list_transform(list_concat("
+              + ", ".join(f"string_split_regex(coalesce(r_{f}, ''), '[,;]')" for f in _OWNERS)
+              + "), lambda t: trim(t)), lambda t: t <> ''), lambda t: " + _uid("t") + "), lambda x: x IS NOT NULL)")
+
+TRACKER_CTES = CHANGE_CTES + f""",
+X AS (SELECT *, list_filter([{_GRANTS}], lambda x: x IS NOT NULL) AS add_l,
+                list_filter([{_REVOKES}], lambda x: x IS NOT NULL) AS rem_l,
+                {_HAVE} AS have
+      FROM V),
+Y AS (SELECT *,
+        CASE WHEN in_old AND in_new
+               THEN list_sort(list_distinct(list_filter(list_concat(add_l, {_ADMINS}), lambda x: NOT list_contains(have, x))))
+             WHEN pre = 'add' THEN {_ADMINS}
+             ELSE CAST([] AS VARCHAR[]) END AS addp,
+        CASE WHEN in_old AND in_new THEN list_sort(list_distinct(list_filter(rem_l, lambda x: list_contains(have, x))))
+             ELSE CAST([] AS VARCHAR[]) END AS remp
+      FROM X),
+Z AS (SELECT *, CASE WHEN pre = 'update' AND len(addp) = 0 AND len(remp) = 0
+                          AND NOT ({" OR ".join(f"v_{f} IS NOT NULL" for f in _ALL_FIELDS)}) THEN '' ELSE pre END AS action
+      FROM Y),
+R AS (SELECT *, {", ".join(f"coalesce(n_{f}, {_clean(f, 'v_' + f)}) AS r_{f}" for f in _OWNERS)}
+      FROM Z WHERE action <> '')"""
+
+sql("access_delta", ("existing_list", "desired_list"), """
+SELECT title, action, array_to_string(addp, '; ') AS add_user_ids, array_to_string(remp, '; ') AS remove_user_ids
+FROM Z WHERE action <> ''
+""", extra=TRACKER_CTES)
+
+sql("access_final", ("existing_list", "desired_list"), f"""
+SELECT title, CAST(item_id AS BIGINT) AS list_id,
+       {", ".join((f"r_{f} AS {f}" if f in _OWNERS else f"{_clean(f, 'v_' + f)} AS {f}") for f in _ALL_FIELDS)},
+       action,
+       array_to_string(list_sort(list_distinct(list_concat(addp, {_OWNER_IDS}, {_ADMINS}))), '; ') AS add_user_ids,
+       array_to_string(remp, '; ') AS remove_user_ids,
+       array_to_string(addp, '; ') AS ids_with_access
+FROM R
+""", extra=TRACKER_CTES)

@@ -45,3 +45,91 @@ def tracker_labels(spark):
 def tracker_counts(spark):
     """How many open lines sit in each tracker."""
     return rules.tracker_counts(rules.label_lines(T(spark, "order_lines")))
+
+
+# --- keys, dedupe, alignment -----------------------------------------------
+from podelta.config import INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, TRACKER_LIST  # noqa: E402
+from podelta.functions import exprs as X  # noqa: E402
+from podelta.operators import changeset, lookups  # noqa: E402
+
+
+def line_key_columns(df: DataFrame) -> DataFrame:
+    """P1, P2, P4, P5, P6 on order lines."""
+    line_id = X.normalize_line_id("line_id_raw")
+    vendor_id = X.first_token("name")
+    return df.select(
+        "document_number", "ord",
+        vendor_id.alias("vendor_id"),
+        X.after_first_token("name").alias("vendor_name"),
+        line_id.alias("line_id"),
+        X.concat_key("document_number", "item", line_id).alias("po_razin_id"),
+        X.concat_key("document_number", "item", vendor_id).alias("po_razin_vendor"),
+        X.membership_label("sub_status", INSPECTION_SUBSET_STATUSES, INSPECTION_SUBSET_LABEL).alias("subset"),
+    )
+
+
+@query("line_keys", ("order_lines",))
+def line_keys(spark):
+    """Vendor id / name, normalised line id and composite keys of each line."""
+    return line_key_columns(T(spark, "order_lines"))
+
+
+@query("dedupe_first", ("order_lines",))
+def dedupe_first(spark):
+    """First line (by position in its document) per line key."""
+    lines = T(spark, "order_lines").select("line_key", "document_number", "ord", "item", "current_status", "prd")
+    return lookups.keep_first(lines, ["line_key"], ["ord"])
+
+
+ALIGN_MAPPING = (
+    ("title", "line_key"), ("current_status", "current_status"), ("sub_status", "sub_status"),
+    ("quantity", "quantity"), ("pending_value", "pending_value"), ("qc_status", "qc_status"),
+    ("poc_primary", "final_poc"), ("final_poc", "final_poc"), ("sm", "sm"), ("fob_date", "fob date"),
+)
+
+
+@query("align_schema", ("order_lines",))
+def align_schema(spark):
+    """Order lines renamed / completed to the list's field set (later target wins)."""
+    return lookups.align_schema(T(spark, "order_lines"), ALIGN_MAPPING, extra=("list_id",))
+
+
+# --- change set -------------------------------------------------------------
+LISTS = ("existing_list", "desired_list")
+
+
+@query("field_diff", LISTS)
+def field_diff(spark):
+    """Checked fields that differ between the list and the desired rows."""
+    return changeset.field_diff(T(spark, "existing_list"), T(spark, "desired_list"), INSPECTION_LIST)
+
+
+@query("change_actions", LISTS)
+def change_actions(spark):
+    """Add / delete / update per key before empty updates are cancelled."""
+    return changeset.change_actions(T(spark, "existing_list"), T(spark, "desired_list"), INSPECTION_LIST)
+
+
+@query("change_set", LISTS)
+def change_set(spark):
+    """Full change set, list without item-level access (inspection list)."""
+    return changeset.change_set(T(spark, "existing_list"), T(spark, "desired_list"), INSPECTION_LIST)
+
+
+@query("action_summary", LISTS)
+def action_summary(spark):
+    """Rows per action of the inspection change set."""
+    return changeset.action_summary(
+        changeset.change_set(T(spark, "existing_list"), T(spark, "desired_list"), INSPECTION_LIST))
+
+
+@query("access_delta", LISTS)
+def access_delta(spark):
+    """Effective grants / revokes per kept row (tracker list, item-level access)."""
+    return changeset.access_delta(T(spark, "existing_list"), T(spark, "desired_list"), TRACKER_LIST)
+
+
+@query("access_final", LISTS)
+def access_final(spark):
+    """C1 + X4: tracker-list change set with final grants."""
+    return changeset.change_set(T(spark, "existing_list"), T(spark, "desired_list"), TRACKER_LIST)
