@@ -121,13 +121,15 @@ class ChangeSet:
         in_old = F.coalesce(F.col("__in_old"), F.lit(False))
         in_new = F.coalesce(F.col("__in_new"), F.lit(False))
         checked = [c for c in self.spec.checked if c in self.value_cols]
-        changed_names = F.filter(F.array(*[F.when(self.changed(c), F.lit(c)) for c in checked]),
+        # Each field is compared once; later stages read the ch__ flags.
+        flags = self.joined.withColumns({f"ch__{c}": self.changed(c) for c in self.value_cols})
+        changed_names = F.filter(F.array(*[F.when(F.col(f"ch__{c}"), F.lit(c)) for c in checked]),
                                  lambda x: x.isNotNull()) if checked else F.array().cast("array<string>")
         pre = (F.when(in_new & ~in_old, F.lit("add"))
                .when(in_old & ~in_new, F.lit("delete"))
                .when(F.size("__changed") > 0, F.lit("update"))
                .otherwise(F.lit("")))
-        return (self.joined
+        return (flags
                 .withColumn("__both", in_old & in_new)
                 .withColumn("__changed", changed_names)
                 .withColumn("__pre", pre))
@@ -151,7 +153,7 @@ class ChangeSet:
         values = {}
         for c in self.value_cols:
             values[c] = (F.when(act == "add", self.fmt(c, self.new(c)))
-                         .when(act == "update", F.when(self.changed(c), self.fmt(c, self.new(c))))
+                         .when(act == "update", F.when(F.col(f"ch__{c}"), self.fmt(c, self.new(c))))
                          .when(act == "delete", self.fmt(c, self.old(c))))
         f = f.withColumns({f"v__{c}": values[c] for c in self.value_cols})
         checked = [c for c in spec.checked if c in self.value_cols]

@@ -14,10 +14,11 @@ ORACLE: dict[str, str] = {}
 
 
 def sql(name: str, needs: tuple[str, ...], body: str, extra: str = "") -> None:
-    prefix = cte_chain(needs)
+    ctes = [cte_chain(needs)[len("WITH "):]] if needs else []
     if extra:
-        prefix += ",\n" + extra.strip()
-    ORACLE[name] = prefix + "\n" + body.strip()
+        ctes.append(extra.strip())
+    prefix = ("WITH " + ",\n".join(ctes) + "\n") if ctes else ""
+    ORACLE[name] = prefix + body.strip()
 
 
 def _q(v) -> str:
@@ -244,3 +245,84 @@ SELECT title, CAST(item_id AS BIGINT) AS list_id,
        array_to_string(addp, '; ') AS ids_with_access
 FROM R
 """, extra=TRACKER_CTES)
+
+
+# --- warehouse views ------------------------------------------------------------
+sql("document_projection", (), """
+SELECT event_id, event_type, TRY_CAST(props ->> '$.k' AS INTEGER) AS k, props ->> '$.k' AS k_text,
+       TRY_CAST(props ->> '$.K' AS INTEGER) AS k_upper, props ->> '$.missing' AS missing
+FROM events
+""")
+
+sql("latest_snapshot", ("order_line_snapshots",), """
+SELECT document_number, ord, line_key, snapshot_ts FROM order_line_snapshots
+QUALIFY dense_rank() OVER (ORDER BY snapshot_ts DESC) = 1
+""")
+
+sql("batch_planned_date", ("planned_pickup",), """
+SELECT DISTINCT batch_id, batch_spd AS spd FROM planned_pickup WHERE batch_spd IS NOT NULL
+""")
+
+sql("line_attributes", ("line_attributes",), """
+SELECT DISTINCT document_number || item || line_id AS otif_id, currency, deliver_to_location
+FROM line_attributes
+WHERE CAST(try_strptime(date_created, '%d.%m.%Y %H:%M') AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-06-15'
+""")
+
+BATCH_TELEX = """batch_telex AS (
+  SELECT split_part(shipment_batch_id_pl_id, '#', 1) AS batch_id,
+         MAX(CAST(try_strptime(created_date, '%Y.%m.%d') AS DATE)) AS batch_telex_date
+  FROM packing_log WHERE telex_status = 'uploaded' GROUP BY 1
+)"""
+
+sql("batch_release_date", ("packing_log",), "SELECT batch_id, batch_telex_date FROM batch_telex", extra=BATCH_TELEX)
+
+sql("invoice_list", ("invoice_map",), """
+SELECT po_line_unique_key, listagg(document_number, ', ' ORDER BY document_number) AS invoice_numbers
+FROM invoice_map GROUP BY po_line_unique_key
+""")
+
+SHIP_DATES = BATCH_TELEX + """,
+po_line AS (
+  SELECT DISTINCT a.po_line_unique_key, b.batch_id
+  FROM shipment_lines a LEFT JOIN batch_lines b ON a.po_line_unique_key = b.po_line_key
+),
+ship_dates AS (
+  SELECT h.shipment_number,
+         MAX(bt.batch_telex_date) AS telex_release_date_supplier,
+         MAX(CAST(try_strptime(h.telex_release_date, '%d.%m.%Y') AS DATE)) AS telex_release_date_ffwp,
+         MAX(CAST(try_strptime(h.actual_arrival_date, '%Y-%m-%d') AS DATE)) AS actual_arrival_date
+  FROM shipment_header h
+  JOIN (SELECT shipment_number AS ship_num, po_line_unique_key FROM shipment_lines) sl ON h.shipment_number = sl.ship_num
+  LEFT JOIN po_line pl ON sl.po_line_unique_key = pl.po_line_unique_key
+  LEFT JOIN batch_telex bt ON pl.batch_id = bt.batch_id
+  GROUP BY h.shipment_number
+)"""
+_SHIP = ("shipment_header", "shipment_lines", "batch_lines", "packing_log")
+
+sql("shipment_dates", _SHIP, "SELECT * FROM ship_dates", extra=SHIP_DATES)
+
+SHIP_OVERVIEW = SHIP_DATES + """,
+ship_overview AS (
+  SELECT h.shipment_number AS inb, h.container AS container_number, d.telex_release_date_supplier,
+         d.telex_release_date_ffwp, d.actual_arrival_date, h.forwarder AS ffw
+  FROM shipment_header h LEFT JOIN ship_dates d ON h.shipment_number = d.shipment_number
+)"""
+
+sql("shipment_overview", _SHIP, "SELECT * FROM ship_overview", extra=SHIP_OVERVIEW)
+
+sql("open_confirmed", ("confirmations", "po_line_snapshots"), """
+SELECT DISTINCT po_number || item || line_id AS po_razin_id, confirmation_date
+FROM (
+  SELECT d.*, p.quantity, p.received
+  FROM confirmations d
+  LEFT JOIN (SELECT document_number, line_id, quantity, received,
+                    dense_rank() OVER (PARTITION BY document_number, line_id ORDER BY snapshot_ts DESC) AS rk
+             FROM po_line_snapshots) p
+    ON d.po_number = p.document_number AND d.line_id = p.line_id
+  WHERE rk = 1
+) f
+WHERE final_status NOT IN ('Closed', 'Legacy Closed', 'Fully Billed')
+  AND (quantity - received) > 0
+  AND (memo IS NULL OR memo <> 'internal_flow')
+""")

@@ -133,3 +133,79 @@ def access_delta(spark):
 def access_final(spark):
     """C1 + X4: tracker-list change set with final grants."""
     return changeset.change_set(T(spark, "existing_list"), T(spark, "desired_list"), TRACKER_LIST)
+
+
+# --- warehouse views ----------------------------------------------------------
+from podelta.operators import views  # noqa: E402
+from podelta.sources.fixtures import AS_OF  # noqa: E402
+
+ATTRIBUTES_SINCE = "1996-01-01"
+EXCLUDED_MEMO = "internal_flow"
+EVENT_FIELDS = (("$.k", "int", "k"), ("$.k", "string", "k_text"), ("$.K", "int", "k_upper"),
+                ("$.missing", "string", "missing"))
+
+
+@query("document_projection", ())
+def document_projection(spark):
+    """Typed, case-sensitive fields read out of the events' JSON documents."""
+    ev = spark.table("events")
+    return views.document_projection(ev, "props", EVENT_FIELDS, keep=("event_id", "event_type"))
+
+
+@query("latest_snapshot", ("order_line_snapshots",))
+def latest_snapshot(spark):
+    """Every line of the newest snapshot."""
+    snaps = T(spark, "order_line_snapshots").select("document_number", "ord", "line_key", "snapshot_ts")
+    return views.latest_snapshot(snaps, "snapshot_ts")
+
+
+@query("batch_planned_date", ("planned_pickup",))
+def batch_planned_date(spark):
+    """Distinct batch planned pickup dates."""
+    return views.planned_dates(T(spark, "planned_pickup"))
+
+
+@query("line_attributes", ("line_attributes",))
+def line_attributes(spark):
+    """Distinct line attributes created inside the date window."""
+    return views.line_attribute_rows(T(spark, "line_attributes"), ATTRIBUTES_SINCE, AS_OF)
+
+
+@query("batch_release_date", ("packing_log",))
+def batch_release_date(spark):
+    """Latest uploaded packing-list date per batch."""
+    return views.batch_release_dates(T(spark, "packing_log"))
+
+
+@query("invoice_list", ("invoice_map",))
+def invoice_list(spark):
+    """Invoice numbers per PO line."""
+    return views.invoice_lists(T(spark, "invoice_map"))
+
+
+SHIPMENT_INPUTS = ("shipment_header", "shipment_lines", "batch_lines", "packing_log")
+
+
+@query("shipment_dates", SHIPMENT_INPUTS)
+def shipment_dates(spark):
+    """Newest dates per shipment over lines and batches."""
+    return views.shipment_dates(T(spark, "shipment_header"), T(spark, "shipment_lines"),
+                                T(spark, "batch_lines"), T(spark, "packing_log"))
+
+
+def _overview(spark):
+    dates = views.shipment_dates(T(spark, "shipment_header"), T(spark, "shipment_lines"),
+                                 T(spark, "batch_lines"), T(spark, "packing_log"))
+    return views.shipment_overview(T(spark, "shipment_header"), dates)
+
+
+@query("shipment_overview", SHIPMENT_INPUTS)
+def shipment_overview(spark):
+    """Every shipment header with its newest dates."""
+    return _overview(spark)
+
+
+@query("open_confirmed", ("confirmations", "po_line_snapshots"))
+def open_confirmed(spark):
+    """Confirmed lines still open on the newest PO snapshot."""
+    return views.open_confirmed(T(spark, "confirmations"), T(spark, "po_line_snapshots"), EXCLUDED_MEMO)
