@@ -326,3 +326,75 @@ WHERE final_status NOT IN ('Closed', 'Legacy Closed', 'Fully Billed')
   AND (quantity - received) > 0
   AND (memo IS NULL OR memo <> 'internal_flow')
 """)
+
+
+# --- enrichment and roll-up --------------------------------------------------------
+_ENRICH_NEEDS = ("order_lines", "line_attributes", "shipment_header", "shipment_lines", "batch_lines", "packing_log",
+                 "planned_pickup")
+
+sql("line_enriched", _ENRICH_NEEDS, """
+SELECT t.document_number, t.ord, t.line_key, t.tracker, a.deliver_to_location, s.container_number,
+       s.actual_arrival_date, s.telex_release_date_ffwp, s.ffw, p.spd
+FROM labelled t
+LEFT JOIN (SELECT otif_id, deliver_to_location FROM (
+             SELECT *, row_number() OVER (PARTITION BY otif_id ORDER BY deliver_to_location, currency) AS rn
+             FROM (SELECT DISTINCT document_number || item || line_id AS otif_id, currency, deliver_to_location
+                   FROM line_attributes
+                   WHERE CAST(try_strptime(date_created, '%d.%m.%Y %H:%M') AS DATE)
+                         BETWEEN DATE '1996-01-01' AND DATE '1998-06-15') x) y WHERE rn = 1) a
+  ON t.line_key = a.otif_id
+LEFT JOIN ship_overview s ON t.inb = s.inb
+LEFT JOIN (SELECT DISTINCT batch_id, batch_spd AS spd FROM planned_pickup WHERE batch_spd IS NOT NULL) p
+  ON t.batch_id = p.batch_id
+WHERE t.tracker <> ''
+""", extra=LABELLED + ",\n" + SHIP_OVERVIEW)
+
+ROLLUP_CTES = LABELLED + """,
+TF AS (SELECT *, regexp_matches(tracker, 'G4|TLX|BP|SPD') AS bs, regexp_matches(tracker, 'PP') AS ds
+       FROM labelled WHERE tracker <> ''),
+CNT AS (SELECT document_number, COUNT(line_key) AS line_count FROM TF GROUP BY document_number),
+FC AS (SELECT TF.*, CNT.line_count FROM TF LEFT JOIN CNT ON TF.document_number = CNT.document_number),
+BL AS (SELECT batch_id, batch_id || ' - ' || array_to_string(list_sort(list_distinct(list(document_number))), ',')
+                 || ' - ' || CAST(MAX(line_count) AS VARCHAR) AS batch_label
+       FROM FC WHERE bs AND batch_id IS NOT NULL GROUP BY batch_id),
+DL AS (SELECT document_number, document_number || ' - ' || CAST(MAX(line_count) AS VARCHAR) AS doc_label
+       FROM FC WHERE ds GROUP BY document_number),
+RL AS (SELECT FC.*, coalesce(BL.batch_label, DL.doc_label, FC.line_key) AS id_col
+       FROM FC LEFT JOIN BL ON FC.batch_id = BL.batch_id LEFT JOIN DL ON FC.document_number = DL.document_number)"""
+
+sql("rollup_labels", ("order_lines",), "SELECT document_number, ord, line_key, id_col FROM RL", extra=ROLLUP_CTES)
+
+
+def _set(c: str) -> str:
+    return f"array_to_string(list_sort(list_distinct(list(coalesce(CAST({c} AS VARCHAR), 'nan')))), ',')"
+
+
+def _collapse_sql(group: str, where: str) -> str:
+    doc = "document_number" if group == "document_number" else _set("document_number")
+    batch = "CAST(NULL AS VARCHAR)" if group == "document_number" else "batch_id"
+    return f"""
+SELECT first(id_col ORDER BY document_number, ord) FILTER (WHERE id_col IS NOT NULL) AS otif_id,
+       {_set('line_key')} AS po_razin_id, {batch} AS batch_id, {doc} AS document_number,
+       first(tracker ORDER BY document_number, ord) FILTER (WHERE tracker IS NOT NULL) AS tracker,
+       string_agg(coalesce(item, 'nan'), ',' ORDER BY document_number, ord) AS item,
+       CAST(coalesce(SUM(quantity), 0) AS BIGINT) AS quantity,
+       round(coalesce(SUM(pending_value), 0), 2) AS pending_value,
+       {_set('current_status')} AS current_status, {_set('sub_status')} AS sub_status
+FROM RL WHERE {where} AND {group} IS NOT NULL GROUP BY {group}"""
+
+
+COLLAPSE_CTES = ROLLUP_CTES + f""",
+CB AS ({_collapse_sql('batch_id', 'bs')}),
+CD AS ({_collapse_sql('document_number', 'ds')})"""
+
+sql("rollup_batch", ("order_lines",), "SELECT * FROM CB", extra=COLLAPSE_CTES)
+sql("rollup_document", ("order_lines",), "SELECT * FROM CD", extra=COLLAPSE_CTES)
+sql("rollup_all", ("order_lines",), """
+SELECT otif_id, split_part(po_razin_id, ',', 1) AS po_razin_id, batch_id, document_number, tracker, item, quantity,
+       pending_value, current_status, sub_status
+FROM (SELECT line_key AS otif_id, line_key AS po_razin_id, batch_id, document_number, tracker, item, quantity,
+             round(pending_value, 2) AS pending_value, current_status, sub_status
+      FROM RL WHERE NOT (bs OR ds)
+      UNION ALL SELECT * FROM CB
+      UNION ALL SELECT * FROM CD) u
+""", extra=COLLAPSE_CTES)

@@ -209,3 +209,80 @@ def shipment_overview(spark):
 def open_confirmed(spark):
     """Confirmed lines still open on the newest PO snapshot."""
     return views.open_confirmed(T(spark, "confirmations"), T(spark, "po_line_snapshots"), EXCLUDED_MEMO)
+
+
+# --- enrichment and roll-up ---------------------------------------------------
+from podelta.operators import rollup  # noqa: E402
+
+LINE_COLUMNS = ("document_number", "ord", "line_key", "batch_id", "item", "quantity", "pending_value",
+                "current_status", "sub_status", "inb", "tracker")
+
+
+def tracked_lines(spark) -> DataFrame:
+    """Labelled open lines with the columns the roll-up reads."""
+    return rules.label_lines(T(spark, "order_lines")).select(*LINE_COLUMNS)
+
+
+@query("line_enriched", ("order_lines", "line_attributes") + SHIPMENT_INPUTS + ("planned_pickup",))
+def line_enriched(spark):
+    """Tracked lines with delivery location, shipment fields and planned pickup date."""
+    lines = tracked_lines(spark)
+    attrs = views.line_attribute_rows(T(spark, "line_attributes"), ATTRIBUTES_SINCE, AS_OF)
+    out = lookups.first_match_lookup(lines, attrs, "line_key", "otif_id", ["deliver_to_location"],
+                                     order=["deliver_to_location", "currency"])
+    ship = _overview(spark)
+    out = lookups.unique_lookup(out, ship, "inb", "inb",
+                                ["container_number", "actual_arrival_date", "telex_release_date_ffwp", "ffw"])
+    out = lookups.unique_lookup(out, views.planned_dates(T(spark, "planned_pickup")), "batch_id", "batch_id", ["spd"])
+    return out.select("document_number", "ord", "line_key", "tracker", "deliver_to_location", "container_number",
+                      "actual_arrival_date", "telex_release_date_ffwp", "ffw", "spd")
+
+
+@query("rollup_labels", ("order_lines",))
+def rollup_labels(spark):
+    """Roll-up id of every tracked line."""
+    return rollup.label_rows(tracked_lines(spark)).select("document_number", "ord", "line_key", "id_col")
+
+
+ROLLUP_ORDER = ("document_number", "ord")
+
+
+def _collapsed(spark, scope: str) -> DataFrame:
+    rows = rollup.label_rows(tracked_lines(spark))
+    if scope == "batch":
+        coll = rollup.collapse(rows.where("batch_scope"), "batch_id", ROLLUP_ORDER,
+                               sum_cols=("quantity", "pending_value"), first_cols=("tracker", "id_col"),
+                               ordered_cols=("item",),
+                               set_cols=("document_number", "line_key", "current_status", "sub_status"))
+    else:
+        coll = rollup.collapse(rows.where("document_scope"), "document_number", ROLLUP_ORDER,
+                               sum_cols=("quantity", "pending_value"), first_cols=("tracker", "id_col"),
+                               ordered_cols=("item",), set_cols=("line_key", "current_status", "sub_status"))
+        coll = coll.withColumn("batch_id", F.lit(None).cast("string"))
+    return coll.select(F.col("id_col").alias("otif_id"), F.col("line_key").alias("po_razin_id"), "batch_id",
+                       "document_number", "tracker", "item", "quantity",
+                       F.round("pending_value", 2).alias("pending_value"), "current_status", "sub_status")
+
+
+@query("rollup_batch", ("order_lines",))
+def rollup_batch(spark):
+    """Batch-scope lines collapsed to one row per batch."""
+    return _collapsed(spark, "batch")
+
+
+@query("rollup_document", ("order_lines",))
+def rollup_document(spark):
+    """Document-scope lines collapsed to one row per document."""
+    return _collapsed(spark, "document")
+
+
+@query("rollup_all", ("order_lines",))
+def rollup_all(spark):
+    """Untouched lines + batch rows + document rows, first key of each list."""
+    rows = rollup.label_rows(tracked_lines(spark))
+    rest = rows.where(~(F.col("batch_scope") | F.col("document_scope"))).select(
+        F.col("line_key").alias("otif_id"), F.col("line_key").alias("po_razin_id"), "batch_id", "document_number",
+        "tracker", "item", "quantity", F.round("pending_value", 2).alias("pending_value"),
+        "current_status", "sub_status")
+    allrows = rest.unionByName(_collapsed(spark, "batch")).unionByName(_collapsed(spark, "document"))
+    return allrows.withColumn("po_razin_id", F.split_part(F.col("po_razin_id"), F.lit(","), F.lit(1)))
