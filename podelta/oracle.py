@@ -398,3 +398,125 @@ FROM (SELECT line_key AS otif_id, line_key AS po_razin_id, batch_id, document_nu
       UNION ALL SELECT * FROM CB
       UNION ALL SELECT * FROM CD) u
 """, extra=COLLAPSE_CTES)
+
+
+# --- inspection flow ---------------------------------------------------------------
+_NORM = ("CASE WHEN line_id_raw IS NULL THEN 'nan' WHEN line_id_raw = '' THEN '0' "
+         "ELSE regexp_replace(line_id_raw, '\\.0$', '') END")
+_NEAR = "date_diff('day', DATE '1998-06-15', prd)"
+_INTID = "coalesce(CAST(trunc(TRY_CAST(trim({x}) AS DOUBLE)) AS BIGINT), 0)"
+
+INSPECTION_BASE = f"""
+IL AS (SELECT * REPLACE ({_NORM} AS line_id), split_part(name, ' ', 1) AS vendor_id,
+              document_number || item || {_NORM} AS po_razin_id
+       FROM order_lines),
+ES AS (SELECT po_razin_id, CAST(MIN(prd) - INTERVAL 10 DAY AS DATE) AS email_scheduled_for
+       FROM IL GROUP BY po_razin_id
+       HAVING bool_or(coalesce({_NEAR} BETWEEN -90 AND 90, false)) AND MIN(prd) IS NOT NULL),
+SL AS (SELECT x.* EXCLUDE (rn), ES.email_scheduled_for
+       FROM (SELECT *, row_number() OVER (PARTITION BY po_razin_id ORDER BY ord) AS rn
+             FROM IL WHERE po_razin_id IN (SELECT po_razin_id FROM ES)) x
+       JOIN ES ON x.po_razin_id = ES.po_razin_id WHERE rn = 1),
+V1 AS (SELECT vid, name AS vendor_table_name, email AS vendor_email
+       FROM (SELECT *, {_INTID.format(x='id')} AS vid,
+                    row_number() OVER (PARTITION BY {_INTID.format(x='id')} ORDER BY email, name) AS rn
+             FROM vendors) v WHERE rn = 1),
+SLV AS (SELECT SL.*, {_INTID.format(x='SL.vendor_id')} AS vendor_id_num, V1.vendor_table_name, V1.vendor_email
+        FROM SL LEFT JOIN V1 ON {_INTID.format(x='SL.vendor_id')} = V1.vid)"""
+
+sql("email_schedule", ("order_lines",), "SELECT * FROM ES", extra=INSPECTION_BASE.split(",\nSL AS")[0])
+
+sql("vendor_join", ("order_lines", "vendors"), """
+SELECT po_razin_id, vendor_id_num AS vendor_id,
+       CASE WHEN strpos(name, ' ') > 0 THEN substr(name, strpos(name, ' ') + 1) END AS vendor_name, vendor_email
+FROM SLV
+""", extra=INSPECTION_BASE)
+
+sql("sent_flag", ("order_lines", "sent_ledger"), """
+SELECT po_razin_id,
+       CASE WHEN po_razin_id IN (SELECT line_key FROM sent_ledger WHERE line_key IS NOT NULL) THEN 'Yes' ELSE 'No' END
+         AS sent_already
+FROM ES
+""", extra=INSPECTION_BASE.split(",\nSL AS")[0])
+
+sql("inspection_list", ("order_lines", "vendors", "sent_ledger"), """
+SELECT po_razin_id, batch_id, document_number,
+       CASE WHEN po_razin_id IN (SELECT line_key FROM sent_ledger WHERE line_key IS NOT NULL) THEN 'Yes' ELSE 'No' END
+         AS sent_already,
+       strftime(email_scheduled_for, '%Y-%m-%d') AS email_scheduled_for, '' AS send_early,
+       strftime(prd, '%Y-%m-%d') AS prd, item AS razin, line_id, brand,
+       CAST(vendor_id_num AS VARCHAR) AS vendor_id,
+       CASE WHEN strpos(name, ' ') > 0 THEN substr(name, strpos(name, ' ') + 1) END AS vendor_name,
+       vendor_email, compliance_status,
+       regexp_replace(qc_status, '^\\d+\\s*\\|?\\s*', '') AS quality_control_status,
+       strftime(qc_date, '%Y-%m-%d') AS quality_control_date,
+       current_status, sub_status, final_poc, sm,
+       CASE WHEN sub_status IN ('17. QC Schedule Pending', '20a. QC Release Missing') THEN 'otif' ELSE '' END AS subset,
+       po_razin_id || CAST(vendor_id_num AS VARCHAR) AS key
+FROM SLV
+""", extra=INSPECTION_BASE)
+
+
+def _checks(key: str, src: str, where: str = "TRUE") -> str:
+    return f"""SELECT {key} FROM {src} WHERE {where} GROUP BY {key}
+       HAVING bool_or(coalesce(im_signoff = 'Yes', false))
+          AND bool_or(coalesce({_NEAR} BETWEEN 0 AND 10, false))
+          AND bool_and(coalesce(contains(lower(qc_status), 'awaiting release'), false))
+          AND bool_and(qc_date IS NULL)"""
+
+
+_SQ = "\\{.*?'Value'\\s*:\\s*'([^']*)'\\s*[,}]"
+_DQ = '\\{.*?"Value"\\s*:\\s*"([^"]*)"\\s*[,}]'
+_EARLY = (f"CASE WHEN regexp_matches(send_early, '^\\s*{_SQ.replace(chr(39), chr(39) * 2)}') "
+          f"THEN regexp_extract(send_early, '^\\s*{_SQ.replace(chr(39), chr(39) * 2)}', 1) "
+          f"WHEN regexp_matches(send_early, '^\\s*{_DQ.replace(chr(39), chr(39) * 2)}') "
+          f"THEN regexp_extract(send_early, '^\\s*{_DQ.replace(chr(39), chr(39) * 2)}', 1) ELSE send_early END")
+
+BOOKING_CTES = INSPECTION_BASE.split(",\nES AS")[0] + f""",
+BASE AS (SELECT * FROM IL b
+         WHERE NOT EXISTS (SELECT 1 FROM deny_list d WHERE d.document_number = b.document_number)
+           AND NOT coalesce(contains(lower(qc_status), 'not applicable'), false)),
+CHK AS ({_checks('po_razin_id', 'BASE')}),
+EARLY AS (SELECT title FROM qi_list WHERE {_EARLY} = 'Yes'),
+ELIG AS (SELECT po_razin_id, document_number, item, line_id, vendor_id, brand, DATE '1998-06-15' AS date_sent,
+                'No' AS resend
+         FROM BASE WHERE po_razin_id IN (SELECT po_razin_id FROM CHK UNION SELECT title FROM EARLY)),
+SUB AS (SELECT * FROM BASE WHERE document_number IN (SELECT document_number FROM sent_ledger WHERE resend = 'No')),
+RDOCS AS ({_checks('document_number', 'SUB', 'prd IS DISTINCT FROM first_prd')}),
+RES AS (SELECT po_razin_id, document_number, item, line_id, vendor_id, brand, DATE '1998-06-15' AS date_sent,
+               'Yes' AS resend
+        FROM SUB WHERE document_number IN (SELECT document_number FROM RDOCS)),
+NEWL AS (SELECT * FROM (SELECT * FROM ELIG UNION ALL SELECT * FROM RES) c
+         WHERE NOT EXISTS (SELECT 1 FROM sent_ledger l
+                           WHERE concat_ws('|', coalesce(l.document_number, 'nan'), coalesce(l.item, 'nan'),
+                                           coalesce(l.line_id, 'nan'), coalesce(l.resend, 'nan'))
+                               = concat_ws('|', coalesce(c.document_number, 'nan'), coalesce(c.item, 'nan'),
+                                           coalesce(c.line_id, 'nan'), coalesce(c.resend, 'nan'))))"""
+_BOOK = ("order_lines", "deny_list", "qi_list", "sent_ledger")
+
+sql("booking_eligible", _BOOK, "SELECT * FROM ELIG", extra=BOOKING_CTES)
+sql("resend_lines", _BOOK, "SELECT * FROM RES", extra=BOOKING_CTES)
+sql("new_booking_lines", _BOOK, "SELECT * FROM NEWL", extra=BOOKING_CTES)
+sql("booking_forms", _BOOK,
+    "SELECT DISTINCT document_number, item, concat_ws(' - ', document_number, item) AS sheet FROM NEWL",
+    extra=BOOKING_CTES)
+sql("ledger_next", _BOOK, """
+SELECT line_key AS po_razin_id, document_number, item, line_id, CAST(try_strptime(date_sent, '%Y-%m-%d') AS DATE) AS date_sent,
+       resend FROM sent_ledger
+UNION ALL
+SELECT po_razin_id, document_number, item, line_id, date_sent, resend FROM NEWL
+""", extra=BOOKING_CTES)
+
+_V1 = "V1 AS (" + INSPECTION_BASE.split("V1 AS (")[1].split(",\nSLV AS")[0]
+sql("booking_log", _BOOK + ("vendors",), f"""
+SELECT f.document_number, '/inspection/attachments/' || f.document_number || '_QI_Booking_Form.xlsx' AS directory,
+       {_INTID.format(x='f.vendor_id')} AS vendor_id, f.brand, V1.vendor_table_name AS vendor_name, V1.vendor_email
+FROM (SELECT *, row_number() OVER (PARTITION BY document_number
+                                   ORDER BY CAST(resend = 'Yes' AS INT),
+                                            CASE WHEN resend = 'Yes' THEN document_number ELSE po_razin_id END,
+                                            CASE WHEN resend = 'Yes' THEN line_id ELSE '' END,
+                                            po_razin_id, item, line_id, vendor_id, brand) AS rn
+      FROM NEWL) f
+LEFT JOIN V1 ON {_INTID.format(x='f.vendor_id')} = V1.vid
+WHERE rn = 1
+""", extra=BOOKING_CTES + ",\n" + _V1)

@@ -286,3 +286,92 @@ def rollup_all(spark):
         "current_status", "sub_status")
     allrows = rest.unionByName(_collapsed(spark, "batch")).unionByName(_collapsed(spark, "document"))
     return allrows.withColumn("po_razin_id", F.split_part(F.col("po_razin_id"), F.lit(","), F.lit(1)))
+
+
+# --- inspection flow ------------------------------------------------------------
+from podelta.operators import inspection  # noqa: E402
+
+ATTACHMENT_BASE = "/inspection/attachments/"
+
+
+def _ilines(spark) -> DataFrame:
+    return inspection.inspection_lines(T(spark, "order_lines"))
+
+
+@query("email_schedule", ("order_lines",))
+def email_schedule(spark):
+    """A1: e-mail date per line key with a prd near the as-of date."""
+    return inspection.email_schedule(_ilines(spark), AS_OF)
+
+
+@query("vendor_join", ("order_lines", "vendors"))
+def vendor_join(spark):
+    """Vendor contact of every scheduled line key."""
+    rows = inspection.vendor_join(inspection.scheduled_lines(_ilines(spark), AS_OF), T(spark, "vendors"))
+    return rows.select("po_razin_id", F.col("vendor_id_num").alias("vendor_id"),
+                       X.after_first_token("name").alias("vendor_name"), "vendor_email")
+
+
+@query("sent_flag", ("order_lines", "sent_ledger"))
+def sent_flag(spark):
+    """Whether each scheduled key was already sent."""
+    sched = inspection.email_schedule(_ilines(spark), AS_OF)
+    return lookups.membership_flag(sched, T(spark, "sent_ledger"), "po_razin_id", "line_key",
+                                   "sent_already").select("po_razin_id", "sent_already")
+
+
+@query("inspection_list", ("order_lines", "vendors", "sent_ledger"))
+def inspection_list(spark):
+    """Q1: the inspection list rows to publish."""
+    return inspection.inspection_list(_ilines(spark), T(spark, "vendors"), T(spark, "sent_ledger"), AS_OF,
+                                      INSPECTION_SUBSET_STATUSES, INSPECTION_SUBSET_LABEL)
+
+
+BOOKING_INPUTS = ("order_lines", "deny_list", "qi_list", "sent_ledger")
+
+
+def _base(spark) -> DataFrame:
+    return inspection.booking_base(_ilines(spark), T(spark, "deny_list"))
+
+
+def _new_lines(spark) -> DataFrame:
+    base = _base(spark)
+    cands = inspection.booking_eligible(base, T(spark, "qi_list"), AS_OF).unionByName(
+        inspection.resend_lines(base, T(spark, "sent_ledger"), AS_OF))
+    return inspection.new_booking_lines(cands, T(spark, "sent_ledger"))
+
+
+@query("booking_eligible", BOOKING_INPUTS)
+def booking_eligible(spark):
+    """Q2, Q3, A2: lines of keys ready for an inspection booking (or sent early)."""
+    return inspection.booking_eligible(_base(spark), T(spark, "qi_list"), AS_OF)
+
+
+@query("resend_lines", BOOKING_INPUTS)
+def resend_lines(spark):
+    """Q4, A3: lines of already-sent documents to send again after a prd change."""
+    return inspection.resend_lines(_base(spark), T(spark, "sent_ledger"), AS_OF)
+
+
+@query("new_booking_lines", BOOKING_INPUTS)
+def new_booking_lines(spark):
+    """Q5: candidate lines not yet in the sent ledger."""
+    return _new_lines(spark)
+
+
+@query("booking_log", BOOKING_INPUTS + ("vendors",))
+def booking_log(spark):
+    """Q6: one log row per document with the form path and vendor contact."""
+    return inspection.booking_log(_new_lines(spark), T(spark, "vendors"), ATTACHMENT_BASE)
+
+
+@query("booking_forms", BOOKING_INPUTS)
+def booking_forms(spark):
+    """Form sheets to prepare, one per (document, item)."""
+    return inspection.booking_forms(_new_lines(spark))
+
+
+@query("ledger_next", BOOKING_INPUTS)
+def ledger_next(spark):
+    """Q7: sent ledger after this run."""
+    return inspection.ledger_next(T(spark, "sent_ledger"), _new_lines(spark))
