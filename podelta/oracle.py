@@ -520,3 +520,88 @@ FROM (SELECT *, row_number() OVER (PARTITION BY document_number
 LEFT JOIN V1 ON {_INTID.format(x='f.vendor_id')} = V1.vid
 WHERE rn = 1
 """, extra=BOOKING_CTES + ",\n" + _V1)
+
+
+# --- outbox ---------------------------------------------------------------------------
+_PAYLOAD_COLS = ("title",) + _ALL_FIELDS + ("ids_with_access",)
+
+
+def _pl_part(c: str) -> str:
+    if c == "pending_value":
+        return (f"CASE WHEN {c} IS NOT NULL AND NOT isnan({c}) "
+                f"THEN '\"{c}\":' || to_json(left(CAST({c} AS VARCHAR), 2000)) END")
+    s = _strip(c)
+    return (f"CASE WHEN NOT ({c} IS NULL OR lower({s}) IN ('', 'nan', 'none', 'null')) "
+            f"AND NOT (starts_with({s}, '{{') AND ends_with({s}, '}}')) "
+            f"THEN '\"{c}\":' || to_json(left({s}, 2000)) END")
+
+
+_PAYLOAD = "'{' || concat_ws(',', " + ", ".join(_pl_part(c) for c in _PAYLOAD_COLS) + ") || '}'"
+_IDS = "list_filter(list_transform(string_split(coalesce({c}, ''), ';'), lambda t: trim(t)), lambda t: t <> '')"
+_REQ_T = "STRUCT(kind VARCHAR, principal VARCHAR, payload VARCHAR)"
+
+
+def _access_reqs(g: str, r: str) -> str:
+    return (f"list_concat(CASE WHEN len({g}) > 0 THEN [{{'kind': 'break_inheritance', 'principal': NULL, 'payload': NULL}}::{_REQ_T}]"
+            f" ELSE CAST([] AS {_REQ_T}[]) END, "
+            f"list_transform({g}, lambda u: {{'kind': 'grant', 'principal': u, 'payload': NULL}}::{_REQ_T}), "
+            f"list_transform({r}, lambda u: {{'kind': 'revoke', 'principal': u, 'payload': NULL}}::{_REQ_T}))")
+
+
+_AF_SELECT = ORACLE["access_final"].split("\nSELECT title, CAST(item_id AS BIGINT) AS list_id,", 1)[1]
+OUTBOX_CTES = TRACKER_CTES + f""",
+AF AS (SELECT title, CAST(item_id AS BIGINT) AS list_id, {_AF_SELECT}),
+OB AS (SELECT title,
+              CASE WHEN list_id IS NULL THEN '' ELSE trim(CAST(list_id AS VARCHAR)) END AS item_id,
+              lower(trim(action)) AS action,
+              {_IDS.format(c='add_user_ids')} AS grants, {_IDS.format(c='remove_user_ids')} AS revokes,
+              {_PAYLOAD} AS payload,
+              row_number() OVER (ORDER BY CAST(action = 'delete' AS INT), title) AS row_no
+       FROM AF),
+RQ AS (SELECT *, (row_no - 1) // 30 AS chunk_no FROM OB)"""
+
+sql("outbox_payload", ("existing_list", "desired_list"), "SELECT title, action, payload FROM OB", extra=OUTBOX_CTES)
+
+sql("outbox_requests", ("existing_list", "desired_list"), f"""
+SELECT batch_no, chunk_no, row_no, CAST(i - 1 AS BIGINT) AS seq, reqs[i].kind AS kind, title, item_id,
+       reqs[i].principal AS principal, reqs[i].payload AS payload
+FROM (SELECT chunk_no * 3 + CASE WHEN action = 'add' THEN 0 ELSE 2 END + 1 AS batch_no, chunk_no, row_no, title,
+             item_id,
+             CASE WHEN action = 'add' THEN [{{'kind': 'create', 'principal': NULL, 'payload': payload}}::{_REQ_T}]
+                  WHEN action = 'update' AND item_id <> ''
+                    THEN list_concat([{{'kind': 'update', 'principal': NULL, 'payload': payload}}::{_REQ_T}],
+                                     {_access_reqs('grants', 'revokes')})
+                  WHEN action = 'delete' AND item_id <> ''
+                    THEN [{{'kind': 'delete', 'principal': NULL, 'payload': NULL}}::{_REQ_T}]
+                  ELSE CAST([] AS {_REQ_T}[]) END AS reqs
+      FROM RQ) q, unnest(range(1, len(reqs) + 1)) AS t(i)
+""", extra=OUTBOX_CTES)
+
+sql("outbox_summary", ("existing_list", "desired_list"), """
+SELECT chunk_no * 3 + CASE WHEN action = 'add' THEN 0 ELSE 2 END + 1 AS batch_no,
+       COUNT(*) AS rows_read,
+       COUNT(*) FILTER (WHERE action = 'add' OR item_id <> '') AS rows_processed,
+       CAST(SUM(CASE WHEN action = 'add' THEN 1 WHEN item_id = '' THEN 0 WHEN action = 'delete' THEN 1
+                     ELSE 1 + CASE WHEN len(grants) > 0 THEN 1 + len(grants) ELSE 0 END + len(revokes) END) AS BIGINT)
+         AS requests
+FROM RQ WHERE action IN ('add', 'update', 'delete')
+GROUP BY 1
+""", extra=OUTBOX_CTES)
+
+sql("permission_requests", ("existing_list", "desired_list"), f"""
+SELECT chunk_no * 3 + 2 AS batch_no, chunk_no, row_no, CAST(i - 1 AS BIGINT) AS seq, reqs[i].kind AS kind, title,
+       item_id, reqs[i].principal AS principal
+FROM (SELECT p.chunk_no, p.row_no, p.title, p.new_item_id AS item_id, {_access_reqs('p.grants', 'p.revokes')} AS reqs
+      FROM PR p) q, unnest(range(1, len(reqs) + 1)) AS t(i)
+""", extra=OUTBOX_CTES + """,
+NEED AS (SELECT *, row_number() OVER (PARTITION BY chunk_no ORDER BY row_no) AS position
+         FROM RQ WHERE action = 'add' AND (len(grants) > 0 OR len(revokes) > 0)),
+LASTP AS (SELECT chunk_no, MAX(position) AS last_pos FROM NEED GROUP BY chunk_no),
+RET AS (SELECT n.chunk_no, n.position, 1000000 + n.row_no AS item_id
+        FROM NEED n JOIN LASTP l ON n.chunk_no = l.chunk_no
+        WHERE NOT (n.chunk_no % 4 = 3 AND n.position = l.last_pos)),
+OKC AS (SELECT a.chunk_no FROM (SELECT chunk_no, COUNT(*) AS c FROM NEED GROUP BY chunk_no) a
+        JOIN (SELECT chunk_no, COUNT(*) AS c FROM RET GROUP BY chunk_no) b ON a.chunk_no = b.chunk_no WHERE a.c = b.c),
+PR AS (SELECT n.*, CAST(r.item_id AS VARCHAR) AS new_item_id
+       FROM NEED n JOIN RET r ON n.chunk_no = r.chunk_no AND n.position = r.position
+       WHERE n.chunk_no IN (SELECT chunk_no FROM OKC))""")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from podelta.operators import rules
@@ -375,3 +375,54 @@ def booking_forms(spark):
 def ledger_next(spark):
     """Q7: sent ledger after this run."""
     return inspection.ledger_next(T(spark, "sent_ledger"), _new_lines(spark))
+
+
+# --- outbox ---------------------------------------------------------------------
+from podelta.operators import outbox  # noqa: E402
+
+RESERVED_EXTRA = ("list_id", "add_user_ids", "remove_user_ids")
+
+
+def _tracker_changes(spark) -> DataFrame:
+    return changeset.change_set(T(spark, "existing_list"), T(spark, "desired_list"), TRACKER_LIST)
+
+
+def _outbox_rows(spark) -> DataFrame:
+    return outbox.outbox_rows(_tracker_changes(spark), reserved_extra=RESERVED_EXTRA)
+
+
+@query("outbox_payload", LISTS)
+def outbox_payload(spark):
+    """The JSON body each change-set row would send."""
+    ch = _tracker_changes(spark)
+    return ch.select("title", "action", outbox.payload(ch, RESERVED_EXTRA).alias("payload"))
+
+
+@query("outbox_requests", LISTS)
+def outbox_requests(spark):
+    """Numbered create / update / access / delete requests."""
+    return outbox.outbox_requests(_outbox_rows(spark))
+
+
+def returned_ids_standin(rows: DataFrame) -> DataFrame:
+    """Stand-in for the ids a create batch returns: one per add needing access,
+    except that every fourth chunk returns one id too few (exercises C15)."""
+    need = rows.where((F.col("action") == "add") & ((F.size("grants") > 0) | (F.size("revokes") > 0)))
+    ranked = need.select("chunk_no", "row_no").withColumn(
+        "position", F.row_number().over(Window.partitionBy("chunk_no").orderBy("row_no")))
+    last = ranked.groupBy("chunk_no").agg(F.max("position").alias("__last"))
+    short = ranked.join(last, "chunk_no").where(~((F.col("chunk_no") % 4 == 3) & (F.col("position") == F.col("__last"))))
+    return short.select("chunk_no", "position", (F.lit(1000000) + F.col("row_no")).alias("item_id"))
+
+
+@query("permission_requests", LISTS)
+def permission_requests(spark):
+    """Access requests for created rows, paired with returned ids."""
+    rows = _outbox_rows(spark)
+    return outbox.permission_requests(rows, returned_ids_standin(rows))
+
+
+@query("outbox_summary", LISTS)
+def outbox_summary(spark):
+    """A10: rows read / processed and requests per batch."""
+    return outbox.outbox_summary(_outbox_rows(spark))
