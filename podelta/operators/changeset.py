@@ -56,7 +56,14 @@ def user_id_lookup(spec: ListSpec, name: Column) -> Column:
 
 
 class ChangeSet:
-    """Builds every stage of the change set from one joined frame."""
+    """Builds every stage of the change set from one joined frame.
+
+    All text work (dropdown decode, rounding, canonical compare values, user
+    lookups) happens in a projection on each side *before* the join, once
+    per row.  After the join only attribute comparisons remain, which keeps
+    the plan small even when Catalyst pushes the final filter down and
+    inlines the per-field expressions into it.
+    """
 
     def __init__(self, existing: DataFrame, desired: DataFrame, spec: ListSpec):
         self.spec = spec
@@ -65,43 +72,62 @@ class ChangeSet:
         extra = [c for c in existing.columns if c not in fields and c not in (key, iid, spec.access_column)]
         self.value_cols = fields + extra
         self.has_access_col = spec.access_column in existing.columns
+        self.identity = [c for c in spec.identity_columns if c in self.value_cols] if spec.item_level_access else []
 
         old = keep_first(existing.where(F.col(key).isNotNull()), [key], [iid])
         new = desired.where(F.col(key).isNotNull())
         self.types = {}
-        o_sel = [F.col(key).alias("__k"), F.lit(True).alias("__in_old"), F.col(iid).alias("__item_id")]
-        n_sel = [F.col(key).alias("__k"), F.lit(True).alias("__in_new")]
         for c in self.value_cols:
-            to, tn = _dtype(old, c), _dtype(new, c)
-            present = [t for t in (to, tn) if t is not None]
+            present = [t for t in (_dtype(old, c), _dtype(new, c)) if t is not None]
             self.types[c] = "double" if present and all(_is_num(t) for t in present) else "string"
-            if to is not None:
-                o_sel.append(F.col(c).alias(f"o__{c}"))
-            if tn is not None:
-                n_sel.append(F.col(c).alias(f"n__{c}"))
-        if self.has_access_col:
-            o_sel.append(F.col(spec.access_column).alias("__access_old"))
         self.old_cols = {c for c in self.value_cols if _dtype(old, c) is not None}
         self.new_cols = {c for c in self.value_cols if _dtype(new, c) is not None}
+
+        o_sel = [F.col(key).alias("__k"), F.lit(True).alias("__in_old"), F.col(iid).alias("__item_id")]
+        n_sel = [F.col(key).alias("__k"), F.lit(True).alias("__in_new")]
+        for c in self.value_cols:
+            t = self.types[c]
+            o_raw = self._typed(c, F.col(c)) if c in self.old_cols else F.lit(None).cast(t)
+            o_dec = self._decoded(c, o_raw)
+            n_raw = self._typed(c, F.col(c)) if c in self.new_cols else F.lit(None).cast(t)
+            if c in self.old_cols:
+                o_sel += [self.fmt(c, o_raw).alias(f"of__{c}"), canon(self.fmt(c, o_dec), t).alias(f"oc__{c}")]
+            if c in self.new_cols:
+                n_fmt = self.fmt(c, n_raw)
+                if t == "double":
+                    n_keep = n_fmt.isNotNull() & ~F.isnan(n_fmt)
+                else:
+                    n_keep = n_fmt.isNotNull() & ~strip(n_fmt).isin("", *NAN_WORDS)
+                n_sel += [n_raw.alias(f"n__{c}"), n_fmt.alias(f"nf__{c}"), canon(n_fmt, t).alias(f"nc__{c}"),
+                          n_keep.alias(f"nk__{c}")]
+            if c in self.identity:
+                num = t == "double"
+                if c in self.old_cols:
+                    o_sel += [canon(o_dec, t).alias(f"ocr__{c}"),
+                              F.when(~_simple_blank(o_dec, num), user_id_lookup(spec, o_dec.cast("string")))
+                              .alias(f"orid__{c}")]
+                if c in self.new_cols:
+                    n_sel += [canon(n_raw, t).alias(f"ncr__{c}"),
+                              F.when(~_simple_blank(n_raw, num), user_id_lookup(spec, n_raw.cast("string")))
+                              .alias(f"ngid__{c}")]
+        if self.has_access_col:
+            o_sel.append(parse_id_list(F.col(spec.access_column)).alias("__have"))
         self.joined = old.select(*o_sel).join(new.select(*n_sel), "__k", "full_outer")
 
     # -- per-field pieces ---------------------------------------------------
     def _typed(self, c: str, x: Column) -> Column:
         return x.cast("double") if self.types[c] == "double" else x.cast("string")
 
-    def old(self, c: str, decoded: bool = False) -> Column:
-        if c not in self.old_cols:
-            return F.lit(None).cast(self.types[c])
-        x = F.col(f"o__{c}")
+    def _decoded(self, c: str, x: Column) -> Column:
         f = self.spec.field(c)
-        if decoded and f is not None and f.dropdown and self.types[c] == "string":
-            x = dropdown_value(x)
-        return self._typed(c, x)
+        if f is not None and f.dropdown and self.types[c] == "string":
+            return dropdown_value(x)
+        return x
 
-    def new(self, c: str) -> Column:
-        if c not in self.new_cols:
-            return F.lit(None).cast(self.types[c])
-        return self._typed(c, F.col(f"n__{c}"))
+    def _col(self, name: str, c: str, side_cols) -> Column:
+        return F.col(f"{name}__{c}") if c in side_cols else F.lit(None).cast(
+            "boolean" if name == "nk" else ("string" if name in ("oc", "nc", "ocr", "ncr", "orid", "ngid")
+                                            else self.types[c]))
 
     def fmt(self, c: str, x: Column) -> Column:
         f = self.spec.field(c)
@@ -113,15 +139,13 @@ class ChangeSet:
         return F.when(num.isNotNull() & ~F.isnan(num), F.round(num, 3).cast("string")).otherwise(x)
 
     def changed(self, c: str) -> Column:
-        t = self.types[c]
-        return ~canon(self.fmt(c, self.old(c, decoded=True)), t).eqNullSafe(canon(self.fmt(c, self.new(c)), t))
+        return ~self._col("oc", c, self.old_cols).eqNullSafe(self._col("nc", c, self.new_cols))
 
     # -- stages -------------------------------------------------------------
     def frame(self) -> DataFrame:
         in_old = F.coalesce(F.col("__in_old"), F.lit(False))
         in_new = F.coalesce(F.col("__in_new"), F.lit(False))
         checked = [c for c in self.spec.checked if c in self.value_cols]
-        # Each field is compared once; later stages read the ch__ flags.
         flags = self.joined.withColumns({f"ch__{c}": self.changed(c) for c in self.value_cols})
         changed_names = F.filter(F.array(*[F.when(F.col(f"ch__{c}"), F.lit(c)) for c in checked]),
                                  lambda x: x.isNotNull()) if checked else F.array().cast("array<string>")
@@ -150,54 +174,38 @@ class ChangeSet:
         spec = self.spec
         f = self.frame()
         act = F.col("__pre")
-        values = {}
-        for c in self.value_cols:
-            values[c] = (F.when(act == "add", self.fmt(c, self.new(c)))
-                         .when(act == "update", F.when(F.col(f"ch__{c}"), self.fmt(c, self.new(c))))
-                         .when(act == "delete", self.fmt(c, self.old(c))))
-        f = f.withColumns({f"v__{c}": values[c] for c in self.value_cols})
         checked = [c for c in spec.checked if c in self.value_cols]
+        nf = {c: self._col("nf", c, self.new_cols) for c in self.value_cols}
+        values = {c: (F.when(act == "add", nf[c])
+                      .when(act == "update", F.when(F.col(f"ch__{c}"), nf[c]))
+                      .when(act == "delete", self._col("of", c, self.old_cols)))
+                  for c in self.value_cols}
 
         admins = F.array(*[F.lit(str(a)) for a in spec.admin_ids]).cast("array<string>")
         empty = F.array().cast("array<string>")
         if spec.item_level_access:
-            grants, revokes = [], []
-            for c in spec.identity_columns:
-                if c not in self.value_cols:
-                    continue
-                num = self.types[c] == "double"
-                o, n = self.old(c, decoded=True), self.new(c)
-                grants.append(F.when(~_simple_blank(n, num), user_id_lookup(spec, n.cast("string"))))
-                same = canon(o, self.types[c]).eqNullSafe(canon(n, self.types[c]))
-                revokes.append(F.when(~same & ~_simple_blank(o, num), user_id_lookup(spec, o.cast("string"))))
+            grants = [self._col("ngid", c, self.new_cols) for c in self.identity]
+            revokes = [F.when(~self._col("ocr", c, self.old_cols).eqNullSafe(self._col("ncr", c, self.new_cols)),
+                              self._col("orid", c, self.old_cols)) for c in self.identity]
             add_l = F.array_distinct(F.filter(F.array(*grants).cast("array<string>"), lambda x: x.isNotNull())) \
                 if grants else empty
             rem_l = F.array_distinct(F.filter(F.array(*revokes).cast("array<string>"), lambda x: x.isNotNull())) \
                 if revokes else empty
             with_admins = F.concat(add_l, admins)
             if self.has_access_col:
-                have = parse_id_list(F.col("__access_old"))
-                add_common = F.array_sort(F.array_except(with_admins, have))
-                rem_common = F.array_sort(F.array_intersect(rem_l, have))
+                add_common = F.array_sort(F.array_except(with_admins, F.col("__have")))
+                rem_common = F.array_sort(F.array_intersect(rem_l, F.col("__have")))
             else:
                 add_common, rem_common = with_admins, rem_l
-            add_pre = (F.when(F.col("__both"), add_common)
-                       .when(act == "add", admins)
-                       .otherwise(empty))
-            rem_pre = F.when(F.col("__both"), rem_common).otherwise(empty)
-            f = f.withColumn("__add", add_pre).withColumn("__rem", rem_pre)
-            data_changed = _any(F.col(f"v__{c}").isNotNull() for c in checked)
+            f = (f.withColumn("__add", F.when(F.col("__both"), add_common).when(act == "add", admins).otherwise(empty))
+                  .withColumn("__rem", F.when(F.col("__both"), rem_common).otherwise(empty)))
+            data_changed = _any(F.col(f"ch__{c}") & nf[c].isNotNull() for c in checked)
             cancel = (act == "update") & (F.size("__add") == 0) & (F.size("__rem") == 0) & ~data_changed
         else:
             f = f.withColumn("__add", empty).withColumn("__rem", empty)
-            kept = []
-            for c in checked:
-                v = F.col(f"v__{c}")
-                if self.types[c] == "double":
-                    kept.append(v.isNotNull() & ~F.isnan(v))
-                else:
-                    kept.append(v.isNotNull() & ~strip(v).isin("", *NAN_WORDS))
-            cancel = (act == "update") & ~_any(kept)
+            kept = _any(F.col(f"ch__{c}") & F.coalesce(self._col("nk", c, self.new_cols), F.lit(False))
+                        for c in checked)
+            cancel = (act == "update") & ~kept
         f = f.withColumn("action", F.when(cancel, F.lit("")).otherwise(act)).where(F.col("action") != "")
         if stage == "access":
             return f.select(F.col("__k").alias(spec.key), "action",
@@ -206,12 +214,11 @@ class ChangeSet:
 
         out = {}
         for c in self.value_cols:
-            v = F.col(f"v__{c}")
-            out[c] = nan_to_empty(v) if self.types[c] == "string" else v
+            out[c] = nan_to_empty(values[c]) if self.types[c] == "string" else values[c]
         # Owner fields refilled from the desired side wherever it has a value.
         for c in spec.refill_columns:
             if c in self.value_cols:
-                out[c] = F.coalesce(self.new(c), out[c])
+                out[c] = F.coalesce(self._col("n", c, self.new_cols), out[c])
         f = f.withColumns({f"r__{c}": e for c, e in out.items()})
         # Final grants = earlier grants + ids of the owner names + admins.
         names = [F.split(F.coalesce(F.col(f"r__{c}").cast("string"), F.lit("")), "[,;]")
