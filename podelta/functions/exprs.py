@@ -26,9 +26,13 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Whitespace that Python's str.strip() removes (ASCII and Latin-1 range).
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
+
 def strip(c) -> Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace."""
-    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading and trailing whitespace (no regex)."""
+    return F.trim(col_(c), F.lit(WHITESPACE))
 
 
 def text(c) -> Column:

@@ -1,7 +1,9 @@
 """Multi-label rule classification of order lines.
 
-Every rule compiles to one boolean expression, so the whole labelling is a
-single narrow projection + filter (no shuffle, no Python per row).
+Every rule compiles to one boolean expression and the label text to one
+``concat_ws``; they are evaluated over the distinct rule-key combinations
+(a table bounded by the configuration), which the lines join back to
+without being shuffled.  No Python runs per row.
 """
 
 from __future__ import annotations
@@ -11,14 +13,24 @@ from pyspark.sql import functions as F
 
 from podelta.config import LAST_LABEL, NOT_BLANK, TRACKER_RULES, Condition, Rule
 from podelta.functions.exprs import strip
+from podelta.session import ensure_checkpoint_dir
+
+
+def _stripped_name(column: str) -> str:
+    return f"__s_{column}"
 
 
 def condition_expr(cond: Condition, columns) -> Column:
-    """R1 for one condition; NULL-safe (always TRUE or FALSE)."""
+    """R1 for one condition; NULL-safe (always TRUE or FALSE).
+
+    Reads the stripped text from ``__s_<column>`` when the frame has it
+    (see ``label_lines``), so each column is stripped once per row.
+    """
     if cond.column not in columns:
         return F.lit(False)
     c = F.col(cond.column)
-    stripped = strip(c.cast("string"))
+    sname = _stripped_name(cond.column)
+    stripped = F.col(sname) if sname in columns else strip(c.cast("string"))
     if tuple(cond.values) == (NOT_BLANK,):
         return c.isNotNull() & (stripped != "")
     texts = [str(v).strip() for v in cond.values if v is not None]
@@ -34,21 +46,98 @@ def rule_expr(rule: Rule, columns) -> Column:
     return e
 
 
-def label_array(df: DataFrame, rules=TRACKER_RULES, last_label: str = LAST_LABEL) -> Column:
-    """R2 + R3: names of matching rules in rule order, ``last_label`` moved last."""
+def ordered_rules(rules=TRACKER_RULES, last_label: str = LAST_LABEL):
+    """Rule order with ``last_label`` moved to the end.
+
+    Moving one label behind the others when a line has several is the same
+    as always evaluating its rule last, so the joined text can be built in
+    a single pass.
+    """
+    return [r for r in rules if r.name != last_label] + [r for r in rules if r.name == last_label]
+
+
+def label_text(df: DataFrame, rules=TRACKER_RULES, last_label: str = LAST_LABEL) -> Column:
+    """R2 + R3: names of matching rules joined with ', ' ('' when none).
+
+    ``concat_ws`` skips NULLs and compiles into whole-stage codegen, unlike
+    array lambdas.
+    """
     cols = set(df.columns)
-    hits = F.filter(F.array(*[F.when(rule_expr(r, cols), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
-    move = (F.size(hits) > 1) & F.array_contains(hits, last_label)
-    return F.when(move, F.concat(F.array_remove(hits, last_label), F.array(F.lit(last_label)))).otherwise(hits)
+    return F.concat_ws(", ", *[F.when(rule_expr(r, cols), F.lit(r.name)) for r in ordered_rules(rules, last_label)])
+
+
+_OTHER = "\u0000other"
+BROADCAST_COMBOS_LIMIT = 1_000_000
+
+
+def rule_keys(rules, columns) -> dict[str, Column]:
+    """Per rule column, a key that keeps exactly what the rules can see.
+
+    A condition only tests NULL-ness, blank-ness, or membership in its value
+    list, so the stripped text is kept when it is one of the listed values
+    and otherwise reduced to '' (blank) or a single 'other' marker.  The
+    number of distinct keys per column is therefore at most (listed values
+    + 3), whatever the data holds.
+    """
+    keys = {}
+    for col in sorted({c.column for r in rules for c in r.conditions if c.column in columns}):
+        texts = sorted({str(v).strip() for r in rules for c in r.conditions if c.column == col
+                        for v in c.values if v is not None and tuple(c.values) != (NOT_BLANK,)})
+        s = strip(F.col(col).cast("string"))
+        key = F.when(s.isNull(), F.lit(None).cast("string"))
+        if texts:
+            key = key.when(s.isin(texts), s)
+        keys[col] = key.when(s == "", F.lit("")).otherwise(F.lit(_OTHER))
+    return keys
+
+
+def combos_bound(rules, columns) -> int:
+    """Upper bound on distinct key combinations (from the configuration alone)."""
+    bound = 1
+    for col in {c.column for r in rules for c in r.conditions if c.column in columns}:
+        texts = {str(v).strip() for r in rules for c in r.conditions if c.column == col
+                 for v in c.values if v is not None}
+        bound *= len(texts) + 3
+    return bound
 
 
 def label_lines(df: DataFrame, rules=TRACKER_RULES, keep_unlabelled: bool = False) -> DataFrame:
-    """Add ``trackers`` (array) and ``tracker`` (', '-joined); R4 keeps labelled lines only."""
-    out = df.withColumn("trackers", label_array(df, rules)).withColumn("tracker", F.array_join("trackers", ", "))
-    return out if keep_unlabelled else out.where(F.size("trackers") > 0)
+    """Add ``tracker`` (', '-joined labels); R4 keeps labelled lines only.
+
+    Rules are evaluated once per distinct combination of rule keys (see
+    ``rule_keys``), not once per line; lines pick their labels up through an
+    equi-join on the keys.  The combination table's size is bounded by the
+    rule configuration, so it is broadcast when that bound is small, and the
+    line side is never shuffled for labelling.  Building the frame runs one
+    small job (the distinct combinations, written to the checkpoint folder).
+    """
+    keys = rule_keys(rules, df.columns)
+    if not keys:
+        out = df.withColumn("tracker", label_text(df, rules))
+        return out if keep_unlabelled else out.where(F.col("tracker") != "")
+    knames = {c: f"__k_{c}" for c in keys}
+    staged = df.withColumns({knames[c]: e for c, e in keys.items()})
+    # The combination table is pinned by a reliable checkpoint: otherwise
+    # Catalyst pushes the label filter below the distinct (it only reads
+    # grouping keys) and re-inlines every rule into the per-line stage.
+    ensure_checkpoint_dir(df.sparkSession)
+    combos = staged.select(*[F.col(knames[c]).alias(c) for c in keys]).distinct().checkpoint(eager=True)
+    labelled = combos.withColumn("tracker", label_text(combos, rules))
+    if not keep_unlabelled:
+        labelled = labelled.where(F.col("tracker") != "")
+    labelled = labelled.select(*[F.col(c).alias(f"__l_{c}") for c in keys], "tracker")
+    if combos_bound(rules, df.columns) <= BROADCAST_COMBOS_LIMIT:
+        labelled = F.broadcast(labelled)
+    cond = None
+    for c in keys:
+        e = staged[knames[c]].eqNullSafe(labelled[f"__l_{c}"])
+        cond = e if cond is None else cond & e
+    out = staged.join(labelled, cond, "left" if keep_unlabelled else "inner")
+    out = out.drop(*knames.values(), *[f"__l_{c}" for c in keys])
+    return out.withColumn("tracker", F.coalesce("tracker", F.lit(""))) if keep_unlabelled else out
 
 
 def tracker_counts(labelled: DataFrame) -> DataFrame:
     """Open lines per tracker (a line counts once for each of its labels)."""
-    return (labelled.select(F.explode("trackers").alias("tracker"))
+    return (labelled.select(F.explode(F.split("tracker", ", ")).alias("tracker"))
             .groupBy("tracker").agg(F.count(F.lit(1)).alias("lines")))

@@ -247,8 +247,8 @@ def rollup_labels(spark):
 ROLLUP_ORDER = ("document_number", "ord")
 
 
-def _collapsed(spark, scope: str) -> DataFrame:
-    rows = rollup.label_rows(tracked_lines(spark))
+def _collapsed(spark, scope: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = rows if rows is not None else rollup.label_rows(tracked_lines(spark))
     if scope == "batch":
         coll = rollup.collapse(rows.where("batch_scope"), "batch_id", ROLLUP_ORDER,
                                sum_cols=("quantity", "pending_value"), first_cols=("tracker", "id_col"),
@@ -284,7 +284,7 @@ def rollup_all(spark):
         F.col("line_key").alias("otif_id"), F.col("line_key").alias("po_razin_id"), "batch_id", "document_number",
         "tracker", "item", "quantity", F.round("pending_value", 2).alias("pending_value"),
         "current_status", "sub_status")
-    allrows = rest.unionByName(_collapsed(spark, "batch")).unionByName(_collapsed(spark, "document"))
+    allrows = rest.unionByName(_collapsed(spark, "batch", rows)).unionByName(_collapsed(spark, "document", rows))
     return allrows.withColumn("po_razin_id", F.split_part(F.col("po_razin_id"), F.lit(","), F.lit(1)))
 
 
