@@ -83,9 +83,10 @@ def strip_numeric_prefix(c) -> Column:
 def int_or_zero(c) -> Column:
     """Numeric text -> integer (truncated); anything else -> 0."""
     s = strip(text(c))
-    num = F.when(s.rlike(PY_FLOAT_PATTERN) & ~s.rlike(PY_NAN_PATTERN),
-                 F.regexp_replace(s, "_", "").try_cast("double"))
-    return F.coalesce(F.when(F.abs(num) < 9.2e18, num.cast("long")), F.lit(0).cast("long"))
+    num = F.regexp_replace(s, "_", "").try_cast("double")
+    as_long = F.when(F.abs(num) < 9.2e18, num.cast("long"))
+    ok = s.rlike(PY_FLOAT_PATTERN) & ~s.rlike(PY_NAN_PATTERN)
+    return F.when(ok, F.coalesce(as_long, F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
 
 
 # P3 / P9 -------------------------------------------------------------------
@@ -104,8 +105,10 @@ def date_text(c) -> Column:
 def dropdown_value(c) -> Column:
     """JSON object text with a ``Value`` key -> that value; anything else unchanged."""
     s = text(c)
-    has_value = F.array_contains(F.json_object_keys(s), "Value")
-    return F.when(F.coalesce(has_value, F.lit(False)), F.get_json_object(s, "$.Value")).otherwise(s)
+    # Only text that starts like an object is handed to the JSON parser.
+    looks_like_object = F.ltrim(s).startswith("{")
+    has_value = F.coalesce(F.array_contains(F.json_object_keys(s), "Value"), F.lit(False))
+    return F.when(~looks_like_object, s).when(has_value, F.get_json_object(s, "$.Value")).otherwise(s)
 
 
 # P11 -----------------------------------------------------------------------
@@ -146,11 +149,15 @@ def canon(c, dtype: str = "string") -> Column:
         return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(
             F.concat(F.lit("N:"), (x.cast("double") + F.lit(0.0)).cast("string")))
     s = strip(text(x))
-    num = F.regexp_replace(s, "_", "").try_cast("double")
+    as_text = F.concat(F.lit("S:"), s)
+    # The number is parsed in exactly one branch, behind the pattern test, so
+    # no value that fails the pattern ever reaches the (exception-based)
+    # string-to-double parse.
+    as_number = F.concat(F.lit("N:"), (F.regexp_replace(s, "_", "").try_cast("double") + F.lit(0.0)).cast("string"))
     return (F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
+            .when(~s.rlike(PY_FLOAT_PATTERN), as_text)
             .when(s.rlike(PY_NAN_PATTERN), F.lit("NAN"))
-            .when(s.rlike(PY_FLOAT_PATTERN) & num.isNotNull(), F.concat(F.lit("N:"), (num + F.lit(0.0)).cast("string")))
-            .otherwise(F.concat(F.lit("S:"), s)))
+            .otherwise(F.coalesce(as_number, as_text)))
 
 
 def equivalent(a, b, dtype_a: str = "string", dtype_b: str = "string") -> Column:
