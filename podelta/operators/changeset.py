@@ -24,13 +24,6 @@ from podelta.operators.lookups import keep_first
 _NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
 
-def _dtype(df: DataFrame, c: str) -> str | None:
-    for name, t in df.dtypes:
-        if name == c:
-            return t
-    return None
-
-
 def _is_num(t: str | None) -> bool:
     return t is not None and (t in _NUMERIC or t.startswith("decimal"))
 
@@ -76,12 +69,13 @@ class ChangeSet:
 
         old = keep_first(existing.where(F.col(key).isNotNull()), [key], [iid])
         new = desired.where(F.col(key).isNotNull())
+        old_types, new_types = dict(existing.dtypes), dict(desired.dtypes)
         self.types = {}
         for c in self.value_cols:
-            present = [t for t in (_dtype(old, c), _dtype(new, c)) if t is not None]
+            present = [t for t in (old_types.get(c), new_types.get(c)) if t is not None]
             self.types[c] = "double" if present and all(_is_num(t) for t in present) else "string"
-        self.old_cols = {c for c in self.value_cols if _dtype(old, c) is not None}
-        self.new_cols = {c for c in self.value_cols if _dtype(new, c) is not None}
+        self.old_cols = {c for c in self.value_cols if c in old_types}
+        self.new_cols = {c for c in self.value_cols if c in new_types}
 
         o_sel = [F.col(key).alias("__k"), F.lit(True).alias("__in_old"), F.col(iid).alias("__item_id")]
         n_sel = [F.col(key).alias("__k"), F.lit(True).alias("__in_new")]
