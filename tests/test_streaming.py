@@ -1,0 +1,30 @@
+"""The snapshot-triggered stream gives the same change set as the batch job."""
+
+from __future__ import annotations
+
+import tempfile
+
+from podelta.config import INSPECTION_LIST
+from podelta.operators import changeset
+from podelta.sources.fixtures import register_fixtures
+from podelta.streaming.snapshots import desired_rows, start_snapshot_sync
+
+SF = "/root/testdata/sf0.001"
+MAPPING = [("title", "line_key"), ("current_status", "current_status"), ("sub_status", "sub_status"),
+           ("quantity", "quantity"), ("pending_value", "pending_value"), ("qc_status", "qc_status"),
+           ("final_poc", "final_poc"), ("sm", "sm")]
+
+
+def test_stream_matches_batch(spark):
+    register_fixtures(spark, SF, ["order_line_snapshots", "existing_list"])
+    snaps = spark.table("order_line_snapshots")
+    existing = spark.table("existing_list")
+    work = tempfile.mkdtemp(prefix="podelta-stream-")
+    snaps.write.mode("overwrite").parquet(f"{work}/snapshots")
+    query = start_snapshot_sync(spark, f"{work}/snapshots", snaps.schema, existing, INSPECTION_LIST, MAPPING,
+                                f"{work}/outbox", f"{work}/checkpoint")
+    query.awaitTermination(300)
+    streamed = spark.read.parquet(f"{work}/outbox").drop("sync_batch")
+    batch = changeset.change_set(existing, desired_rows(snaps, MAPPING), INSPECTION_LIST)
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
