@@ -156,7 +156,8 @@ def document_projection(spark):
 def latest_snapshot(spark):
     """Every line of the newest snapshot."""
     snaps = T(spark, "order_line_snapshots").select("document_number", "ord", "line_key", "snapshot_ts")
-    return views.latest_snapshot(snaps, "snapshot_ts")
+    # Wall-clock output, independent of the session time zone.
+    return views.latest_snapshot(snaps, "snapshot_ts").withColumn("snapshot_ts", F.col("snapshot_ts").cast("timestamp_ntz"))
 
 
 @query("batch_planned_date", ("planned_pickup",))
