@@ -284,3 +284,13 @@ def test_delivery_summary(spark):
                                 "batch_no int, status string, success boolean")
     assert tuple(outbox.delivery_summary(res).first()) == (3, 1, 1, 1)
 
+
+
+def test_number_rows_with_imbalanced_partitions(spark):
+    # one large and several tiny input partitions make the range partitioner re-sample
+    big = spark.range(0, 30000, numPartitions=1)
+    small = spark.range(30000, 30016, numPartitions=8)
+    df = big.union(small).select(((F.col("id") * 7919) % 30016).alias("k"))
+    out = outbox.number_rows(df, ["k"], partitions=8)
+    assert out.where(F.col("row_no") != F.col("k") + 1).count() == 0
+    assert out.count() == 30016
