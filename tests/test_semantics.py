@@ -294,3 +294,20 @@ def test_number_rows_with_imbalanced_partitions(spark):
     out = outbox.number_rows(df, ["k"], partitions=8)
     assert out.where(F.col("row_no") != F.col("k") + 1).count() == 0
     assert out.count() == 30016
+
+
+def test_collapse_hot_group_in_pieces(spark):
+    # one group holding every row, split into many pieces (chunk_rows=7)
+    n = 2000
+    data = [("G", f"D{i % 13:02d}", i // 13, f"i{i}", (i * 31) % 97, f"s{i % 5}", None if i % 13 < 3 else f"f{i}")
+            for i in range(n)]
+    df = spark.createDataFrame(data, "g string, document_number string, ord int, item string, q int, s string, "
+                                     "f string")
+    out = rollup.collapse(df, "g", ("document_number", "ord"), sum_cols=("q",), first_cols=("f",),
+                          ordered_cols=("item",), set_cols=("s",), chunk_rows=7)
+    row = out.first()
+    ordered = sorted(data, key=lambda r: (r[1], r[2]))
+    assert row["item"] == ",".join(r[3] for r in ordered)
+    assert row["q"] == sum(r[4] for r in data)
+    assert row["s"] == ",".join(sorted({r[5] for r in data}))
+    assert row["f"] == next(r[6] for r in ordered if r[6] is not None)
