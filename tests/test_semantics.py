@@ -311,3 +311,10 @@ def test_collapse_hot_group_in_pieces(spark):
     assert row["q"] == sum(r[4] for r in data)
     assert row["s"] == ",".join(sorted({r[5] for r in data}))
     assert row["f"] == next(r[6] for r in ordered if r[6] is not None)
+
+
+def test_invoice_lists_repeats_and_nulls(spark):
+    df = spark.createDataFrame([("L1", "b"), ("L1", "a"), ("L1", "b"), ("L2", None), ("L3", "x"), ("L3", None)],
+                               "po_line_unique_key string, document_number string")
+    got = dict(_rows(views.invoice_lists(df), "po_line_unique_key", "invoice_numbers"))
+    assert got == {"L1": "a, b, b", "L2": None, "L3": "x"}
