@@ -51,8 +51,8 @@ SELECT 'PO' || CAST(l_orderkey AS STRING) AS document_number,
        l_extendedprice AS pending_value,
        'User' || CAST(l_suppkey % 20 AS STRING) AS final_poc,
        'User' || CAST(l_orderkey % 20 AS STRING) AS sm,
-       ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-                          l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS ord
+       CAST(ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                               l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS BIGINT) AS ord
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
 """, ()),
     "order_line_snapshots": ("""
