@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from podelta.operators import rules
+from podelta.session import ensure_checkpoint_dir
 from podelta.sources.fixtures import register_fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -280,7 +281,10 @@ def rollup_document(spark):
 @query("rollup_all", ("order_lines",))
 def rollup_all(spark):
     """Untouched lines + batch rows + document rows, first key of each list."""
-    rows = rollup.label_rows(tracked_lines(spark))
+    # The labelled lines feed three branches; write them once (shared checkpoint
+    # folder) instead of re-deriving labels and roll-up ids per branch.
+    ensure_checkpoint_dir(spark)
+    rows = rollup.label_rows(tracked_lines(spark)).checkpoint(eager=True)
     rest = rows.where(~(F.col("batch_scope") | F.col("document_scope"))).select(
         F.col("line_key").alias("otif_id"), F.col("line_key").alias("po_razin_id"), "batch_id", "document_number",
         "tracker", "item", "quantity", F.round("pending_value", 2).alias("pending_value"),
