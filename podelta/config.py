@@ -86,6 +86,12 @@ LAST_LABEL = "BP"
 BATCH_SCOPE_LABELS = ("G4", "TLX", "BP", "SPD")
 DOCUMENT_SCOPE_LABELS = ("PP",)
 
+# Trackers that get (Status, Blocker, Comments) note columns on
+# tracked lines, in output order, and the audit columns added after them.
+NOTE_TRACKERS = ("G2", "G4", "Pickup", "SPD", "TLX", "BP", "PP", "CPRD", "PRD")
+NOTE_KINDS = ("Status", "Blocker", "Comments")
+AUDIT_COLUMNS = ("update_type", "initial_access", "final_access", "final_access_email", "poc_changed")
+
 # Sub statuses that mark a line for the inspection subset.
 INSPECTION_SUBSET_STATUSES = ("17. QC Schedule Pending", "20a. QC Release Missing")
 INSPECTION_SUBSET_LABEL = "otif"

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podelta.config import LAST_LABEL, NOT_BLANK, TRACKER_RULES, Condition, Rule
-from podelta.functions.exprs import strip
+from podelta.config import (AUDIT_COLUMNS, LAST_LABEL, NOT_BLANK, NOTE_KINDS, NOTE_TRACKERS, TRACKER_RULES,
+                            Condition, Rule)
+from podelta.functions.exprs import blank_to_zero, strip
 from podelta.session import ensure_checkpoint_dir
 
 
@@ -141,3 +142,15 @@ def tracker_counts(labelled: DataFrame) -> DataFrame:
     """Open lines per tracker (a line counts once for each of its labels)."""
     return (labelled.select(F.explode(F.split("tracker", ", ")).alias("tracker"))
             .groupBy("tracker").agg(F.count(F.lit(1)).alias("lines")))
+
+
+def note_column_names() -> list[str]:
+    """Empty note columns per tracker (snake-cased) followed by the audit columns."""
+    notes = [f"sm_{t.lower()}_{k.lower()}" for t in NOTE_TRACKERS for k in NOTE_KINDS]
+    return notes + list(AUDIT_COLUMNS)
+
+
+def tracked_line_frame(labelled: DataFrame, quantity_cols=("quantity",)) -> DataFrame:
+    """P12 + P18: blank quantities become 0 and the empty note / audit columns are added."""
+    out = labelled.withColumns({c: blank_to_zero(c) for c in quantity_cols if c in labelled.columns})
+    return out.withColumns({c: F.lit("") for c in note_column_names()})

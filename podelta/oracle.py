@@ -55,6 +55,14 @@ sql("tracker_labels", ("order_lines",), """
 SELECT document_number, ord, line_key, tracker FROM labelled WHERE tracker <> ''
 """, extra=LABELLED)
 
+_NOTES = ", ".join(f"'' AS sm_{t}_{k}" for t in ("g2", "g4", "pickup", "spd", "tlx", "bp", "pp", "cprd", "prd")
+                   for k in ("status", "blocker", "comments"))
+sql("order_lines_tracked", ("order_lines",), f"""
+SELECT document_number, ord, line_key, tracker, coalesce(quantity, 0) AS quantity, {_NOTES},
+       '' AS update_type, '' AS initial_access, '' AS final_access, '' AS final_access_email, '' AS poc_changed
+FROM labelled WHERE tracker <> ''
+""", extra=LABELLED)
+
 sql("tracker_counts", ("order_lines",), """
 SELECT t AS tracker, COUNT(*) AS lines
 FROM (SELECT unnest(string_split(tracker, ', ')) AS t FROM labelled WHERE tracker <> '') s

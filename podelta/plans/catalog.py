@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podelta.operators import rules
+from podelta.config import INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, TRACKER_LIST
+from podelta.functions import exprs as X
+from podelta.operators import changeset, inspection, lookups, outbox, rollup, rules, views
 from podelta.session import ensure_checkpoint_dir
-from podelta.sources.fixtures import register_fixtures
+from podelta.sources.fixtures import AS_OF, register_fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -42,6 +44,14 @@ def tracker_labels(spark):
     return rules.label_lines(lines).select("document_number", "ord", "line_key", "tracker")
 
 
+@query("order_lines_tracked", ("order_lines",))
+def order_lines_tracked(spark):
+    """Labelled lines with zero-filled quantity and the empty note / audit columns."""
+    lines = rules.label_lines(T(spark, "order_lines")).select("document_number", "ord", "line_key", "tracker",
+                                                             "quantity")
+    return rules.tracked_line_frame(lines)
+
+
 @query("tracker_counts", ("order_lines",))
 def tracker_counts(spark):
     """How many open lines sit in each tracker."""
@@ -49,9 +59,6 @@ def tracker_counts(spark):
 
 
 # --- keys, dedupe, alignment -----------------------------------------------
-from podelta.config import INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, TRACKER_LIST  # noqa: E402
-from podelta.functions import exprs as X  # noqa: E402
-from podelta.operators import changeset, lookups  # noqa: E402
 
 
 def line_key_columns(df: DataFrame) -> DataFrame:
@@ -137,8 +144,6 @@ def access_final(spark):
 
 
 # --- warehouse views ----------------------------------------------------------
-from podelta.operators import views  # noqa: E402
-from podelta.sources.fixtures import AS_OF  # noqa: E402
 
 ATTRIBUTES_SINCE = "1996-01-01"
 EXCLUDED_MEMO = "internal_flow"
@@ -214,7 +219,6 @@ def open_confirmed(spark):
 
 
 # --- enrichment and roll-up ---------------------------------------------------
-from podelta.operators import rollup  # noqa: E402
 
 LINE_COLUMNS = ("document_number", "ord", "line_key", "batch_id", "item", "quantity", "pending_value",
                 "current_status", "sub_status", "inb", "tracker")
@@ -294,7 +298,6 @@ def rollup_all(spark):
 
 
 # --- inspection flow ------------------------------------------------------------
-from podelta.operators import inspection  # noqa: E402
 
 ATTACHMENT_BASE = "/inspection/attachments/"
 
@@ -383,7 +386,6 @@ def ledger_next(spark):
 
 
 # --- outbox ---------------------------------------------------------------------
-from podelta.operators import outbox  # noqa: E402
 
 RESERVED_EXTRA = ("list_id", "add_user_ids", "remove_user_ids")
 
