@@ -395,6 +395,8 @@ CD AS ({_collapse_sql('document_number', 'ds')})"""
 
 sql("rollup_batch", ("order_lines",), "SELECT * FROM CB", extra=COLLAPSE_CTES)
 sql("rollup_document", ("order_lines",), "SELECT * FROM CD", extra=COLLAPSE_CTES)
+sql("rollup_dropped", ("order_lines",),
+    "SELECT COUNT(*) AS dropped_lines FROM TF WHERE bs AND batch_id IS NULL AND NOT ds", extra=ROLLUP_CTES)
 sql("rollup_all", ("order_lines",), """
 SELECT otif_id, split_part(po_razin_id, ',', 1) AS po_razin_id, batch_id, document_number, tracker, item, quantity,
        pending_value, current_status, sub_status

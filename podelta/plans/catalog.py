@@ -282,6 +282,12 @@ def rollup_document(spark):
     return _collapsed(spark, "document")
 
 
+@query("rollup_dropped", ("order_lines",))
+def rollup_dropped(spark):
+    """Count of tracked lines the roll-up loses (batch scope without a batch id)."""
+    return rollup.dropped_lines(rollup.scope_flags(tracked_lines(spark)))
+
+
 @query("rollup_all", ("order_lines",))
 def rollup_all(spark):
     """Untouched lines + batch rows + document rows, first key of each list."""
