@@ -42,7 +42,7 @@ CONTENT_TAGS = frozenset(("article", "main"))
 
 MAX_DEPTH = 200  # deeper elements count as children of the one at this depth
 MAX_CELLS = 250_000  # children pairs that are matched in full; longer lists are aligned by equal nodes
-COPY_SHARE = 0.5  # a page that has more of its text in common with the pivot is a copy and tells nothing
+COPY_SHARE, BARE_COPY_SHARE = 0.5, 0.8  # a page with more of its content (without an article: of its text) in common is a copy
 MIN_PAGES, SAME_SHARE = 3, 0.9  # pages that must tell, and the share of them that makes a node template
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|"
@@ -308,13 +308,14 @@ def _content(nodes: list[Node]) -> list[Node]:
 
 
 def evidence(root: Node, pivot: Node) -> list[int] | None:
-    """Numbers of the pivot nodes whose text the page repeats; None for a copy of the pivot, which tells nothing."""
+    """Numbers of the pivot nodes whose text the page repeats; None for a copy of the pivot or no text, which tell nothing."""
     nodes = _numbered(root)
     same = [(a, b) for a, b in align(root, pivot) if a.number == b.text]
     body = _content(nodes)
     size = sum(len(x.text) for x in body)
     held = {id(a) for a, _ in same}
-    if size and sum(len(x.text) for x in body if id(x) in held) > COPY_SHARE * size:
+    limit = COPY_SHARE if size and body[0].content else BARE_COPY_SHARE
+    if not size or sum(len(x.text) for x in body if id(x) in held) > limit * size:
         return None
     return [b.number for _, b in same]
 

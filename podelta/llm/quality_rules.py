@@ -8,6 +8,7 @@ Fixed word rules come first; a text that fails them is rejected whatever its rat
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 import zstandard
@@ -65,25 +66,23 @@ def judge(raw: bytes, compressor, bands=BANDS, chunk: int = CHUNK_BYTES, share:
     return ratio, judged, low + high, reason
 
 
-def _assess(key, text) -> Iterator[tuple]:
+def _assess(compressor, key, text) -> Iterator[tuple]:
     raw = (text or "").encode()
     words = words_of(raw)
     n, repeat = len(words), repeated_words(words)
     spaces = count_of(raw, SPACE)
     failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * n
-    ratio, judged, bad, reason = judge(raw, _compressor())
+    ratio, judged, bad, reason = judge(raw, compressor)
     yield (key, n, len(text or "") - spaces, count_of(raw, SYMBOLS), duplicate_lines(raw), repeat, failed,
            not failed and reason is None, ratio, judged, bad, "words" if failed else reason)
 
 
 KEPT = 7  # place of the verdict in a row of _assess
-_made: list = []
 
 
-def _compressor():
-    if not _made:
-        _made.append(zstandard.ZstdCompressor(level=LEVEL))
-    return _made[0]
+def compressor():
+    """One per task: it holds memory and cannot be sent."""
+    return zstandard.ZstdCompressor(level=LEVEL)
 
 
 def assess(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -95,12 +94,17 @@ def assess(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     schema = arrow_schema(docs, key, n_words=pa.int64(), word_chars=pa.int64(), n_symbols=pa.int64(),
                           n_dup_lines=pa.int64(), n_repeat_words=pa.int64(), base_failed=pa.bool_(), kept=pa.bool_(),
                           ratio=pa.float64(), n_chunks=pa.int32(), n_bad_chunks=pa.int32(), reason=pa.string())
-    return docs.select(key, text).mapInArrow(batches(_assess, schema), spark_schema(schema))
+
+    def run(it):
+        yield from batches(partial(_assess, compressor()), schema)(it)
+
+    return docs.select(key, text).mapInArrow(run, spark_schema(schema))
 
 
 def _verdicts(it, text_at: int):
+    used = compressor()
     for batch in it:
-        kept = [next(_assess(None, t))[KEPT] for t in batch.column(text_at).to_pylist()]
+        kept = [next(_assess(used, None, t))[KEPT] for t in batch.column(text_at).to_pylist()]
         yield batch.filter(pa.array(kept, pa.bool_()))
 
 
