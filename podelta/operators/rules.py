@@ -1,9 +1,7 @@
 """Multi-label rule classification of order lines.
 
 Every rule compiles to one boolean expression and the label text to one
-``concat_ws``; they are evaluated over the distinct rule-key combinations
-(a table bounded by the configuration), which the lines join back to
-without being shuffled.  No Python runs per row.
+``concat_ws``, evaluated on each line as it is read.  No Python runs per row.
 """
 
 from __future__ import annotations
@@ -14,7 +12,6 @@ from pyspark.sql import functions as F
 from podelta.config import (AUDIT_COLUMNS, LAST_LABEL, NOT_BLANK, NOTE_KINDS, NOTE_TRACKERS, TRACKER_RULES,
                             Condition, Rule)
 from podelta.functions.exprs import blank_to_zero, strip
-from podelta.session import ensure_checkpoint_dir
 
 
 def _stripped_name(column: str) -> str:
@@ -67,75 +64,16 @@ def label_text(df: DataFrame, rules=TRACKER_RULES, last_label: str = LAST_LABEL)
     return F.concat_ws(", ", *[F.when(rule_expr(r, cols), F.lit(r.name)) for r in ordered_rules(rules, last_label)])
 
 
-_OTHER = "\u0000other"
-BROADCAST_COMBOS_LIMIT = 1_000_000
-
-
-def rule_keys(rules, columns) -> dict[str, Column]:
-    """Per rule column, a key that keeps exactly what the rules can see.
-
-    A condition only tests NULL-ness, blank-ness, or membership in its value
-    list, so the stripped text is kept when it is one of the listed values
-    and otherwise reduced to '' (blank) or a single 'other' marker.  The
-    number of distinct keys per column is therefore at most (listed values
-    + 3), whatever the data holds.
-    """
-    keys = {}
-    for col in sorted({c.column for r in rules for c in r.conditions if c.column in columns}):
-        texts = sorted({str(v).strip() for r in rules for c in r.conditions if c.column == col
-                        for v in c.values if v is not None and tuple(c.values) != (NOT_BLANK,)})
-        s = strip(F.col(col).cast("string"))
-        key = F.when(s.isNull(), F.lit(None).cast("string"))
-        if texts:
-            key = key.when(s.isin(texts), s)
-        keys[col] = key.when(s == "", F.lit("")).otherwise(F.lit(_OTHER))
-    return keys
-
-
-def combos_bound(rules, columns) -> int:
-    """Upper bound on distinct key combinations (from the configuration alone)."""
-    bound = 1
-    for col in {c.column for r in rules for c in r.conditions if c.column in columns}:
-        texts = {str(v).strip() for r in rules for c in r.conditions if c.column == col
-                 for v in c.values if v is not None}
-        bound *= len(texts) + 3
-    return bound
-
-
 def label_lines(df: DataFrame, rules=TRACKER_RULES, keep_unlabelled: bool = False) -> DataFrame:
     """Add ``tracker`` (', '-joined labels); R4 keeps labelled lines only.
 
-    Rules are evaluated once per distinct combination of rule keys (see
-    ``rule_keys``), not once per line; lines pick their labels up through an
-    equi-join on the keys.  The combination table's size is bounded by the
-    rule configuration, so it is broadcast when that bound is small, and the
-    line side is never shuffled for labelling.  Building the frame runs one
-    small job (the distinct combinations, written to the checkpoint folder).
+    A projection and a filter on the line itself: no job runs while the frame is built, no line moves, and each line is
+    labelled from the values that are read with it.
     """
-    keys = rule_keys(rules, df.columns)
-    if not keys:
-        out = df.withColumn("tracker", label_text(df, rules))
-        return out if keep_unlabelled else out.where(F.col("tracker") != "")
-    knames = {c: f"__k_{c}" for c in keys}
-    staged = df.withColumns({knames[c]: e for c, e in keys.items()})
-    # The combination table is pinned by a reliable checkpoint: otherwise
-    # Catalyst pushes the label filter below the distinct (it only reads
-    # grouping keys) and re-inlines every rule into the per-line stage.
-    ensure_checkpoint_dir(df.sparkSession)
-    combos = staged.select(*[F.col(knames[c]).alias(c) for c in keys]).distinct().checkpoint(eager=True)
-    labelled = combos.withColumn("tracker", label_text(combos, rules))
-    if not keep_unlabelled:
-        labelled = labelled.where(F.col("tracker") != "")
-    labelled = labelled.select(*[F.col(c).alias(f"__l_{c}") for c in keys], "tracker")
-    if combos_bound(rules, df.columns) <= BROADCAST_COMBOS_LIMIT:
-        labelled = F.broadcast(labelled)
-    cond = None
-    for c in keys:
-        e = staged[knames[c]].eqNullSafe(labelled[f"__l_{c}"])
-        cond = e if cond is None else cond & e
-    out = staged.join(labelled, cond, "left" if keep_unlabelled else "inner")
-    out = out.drop(*knames.values(), *[f"__l_{c}" for c in keys])
-    return out.withColumn("tracker", F.coalesce("tracker", F.lit(""))) if keep_unlabelled else out
+    texts = sorted({c.column for r in rules for c in r.conditions if c.column in df.columns})
+    staged = df.withColumns({_stripped_name(c): strip(F.col(c).cast("string")) for c in texts})
+    out = staged.withColumn("tracker", label_text(staged, rules)).drop(*map(_stripped_name, texts))
+    return out if keep_unlabelled else out.where(F.col("tracker") != "")
 
 
 def tracker_counts(labelled: DataFrame) -> DataFrame:
@@ -152,5 +90,7 @@ def note_column_names() -> list[str]:
 
 def tracked_line_frame(labelled: DataFrame, quantity_cols=("quantity",)) -> DataFrame:
     """P12 + P18: blank quantities become 0 and the empty note / audit columns are added."""
-    out = labelled.withColumns({c: blank_to_zero(c) for c in quantity_cols if c in labelled.columns})
+    types = dict(labelled.dtypes)
+    out = labelled.withColumns({c: blank_to_zero(c, "double" if types[c] == "string" else None) for c in quantity_cols
+                                if c in labelled.columns})
     return out.withColumns({c: F.lit("") for c in note_column_names()})
