@@ -289,20 +289,18 @@ FROM invoice_map GROUP BY po_line_unique_key
 """)
 
 SHIP_DATES = BATCH_TELEX + """,
-po_line AS (
-  SELECT DISTINCT a.po_line_unique_key, b.batch_id
-  FROM shipment_lines a LEFT JOIN batch_lines b ON a.po_line_unique_key = b.po_line_key
+released AS (
+  SELECT l.shipment_number, MAX(t.batch_telex_date) AS day
+  FROM batch_telex t JOIN batch_lines b USING (batch_id) JOIN shipment_lines l ON l.po_line_unique_key = b.po_line_key
+  GROUP BY ALL
 ),
 ship_dates AS (
-  SELECT h.shipment_number,
-         MAX(bt.batch_telex_date) AS telex_release_date_supplier,
-         MAX(CAST(try_strptime(h.telex_release_date, '%d.%m.%Y') AS DATE)) AS telex_release_date_ffwp,
-         MAX(CAST(try_strptime(h.actual_arrival_date, '%Y-%m-%d') AS DATE)) AS actual_arrival_date
-  FROM shipment_header h
-  JOIN (SELECT shipment_number AS ship_num, po_line_unique_key FROM shipment_lines) sl ON h.shipment_number = sl.ship_num
-  LEFT JOIN po_line pl ON sl.po_line_unique_key = pl.po_line_unique_key
-  LEFT JOIN batch_telex bt ON pl.batch_id = bt.batch_id
-  GROUP BY h.shipment_number
+  SELECT shipment_number, MAX(r.day) AS telex_release_date_supplier,
+         MAX(CAST(try_strptime(telex_release_date, '%d.%m.%Y') AS DATE)) AS telex_release_date_ffwp,
+         MAX(CAST(try_strptime(actual_arrival_date, '%Y-%m-%d') AS DATE)) AS actual_arrival_date
+  FROM shipment_header LEFT JOIN released r USING (shipment_number)
+  WHERE shipment_number IN (SELECT shipment_number FROM shipment_lines)
+  GROUP BY ALL
 )"""
 _SHIP = ("shipment_header", "shipment_lines", "batch_lines", "packing_log")
 
@@ -318,20 +316,17 @@ ship_overview AS (
 sql("shipment_overview", _SHIP, "SELECT * FROM ship_overview", extra=SHIP_OVERVIEW)
 
 sql("open_confirmed", ("confirmations", "po_line_snapshots"), """
-SELECT DISTINCT po_number || item || line_id AS po_razin_id, confirmation_date
-FROM (
-  SELECT d.*, p.quantity, p.received
-  FROM confirmations d
-  LEFT JOIN (SELECT document_number, line_id, quantity, received,
-                    dense_rank() OVER (PARTITION BY document_number, line_id ORDER BY snapshot_ts DESC) AS rk
-             FROM po_line_snapshots) p
-    ON d.po_number = p.document_number AND d.line_id = p.line_id
-  WHERE rk = 1
-) f
-WHERE final_status NOT IN ('Closed', 'Legacy Closed', 'Fully Billed')
-  AND (quantity - received) > 0
-  AND (memo IS NULL OR memo <> 'internal_flow')
-""")
+SELECT DISTINCT c.po_number || c.item || c.line_id AS po_razin_id, c.confirmation_date
+FROM confirmations c SEMI JOIN undelivered u ON u.document_number = c.po_number AND u.line_id = c.line_id
+WHERE coalesce(c.memo, '') <> 'internal_flow' AND c.final_status NOT IN ('Closed', 'Legacy Closed', 'Fully Billed')
+""", extra="""newest AS (
+  SELECT document_number, line_id, MAX(snapshot_ts) AS at FROM po_line_snapshots GROUP BY ALL
+),
+undelivered AS (
+  SELECT DISTINCT s.document_number, s.line_id FROM po_line_snapshots s JOIN newest USING (document_number, line_id)
+  WHERE s.snapshot_ts = newest.at AND s.quantity > s.received
+)""")
+
 
 
 # --- enrichment and roll-up --------------------------------------------------------
