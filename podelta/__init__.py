@@ -7,7 +7,6 @@ Sub-packages:
 * ``operators`` - ``DataFrame -> DataFrame`` jobs (views, rules, roll-ups,
   change sets, access, inspection, outbox).
 * ``plans``     - end-to-end syncs and the query catalogue.
-* ``streaming`` - snapshot-driven incremental runs on Structured Streaming.
 """
 
 from podelta.session import get_session, ensure_checkpoint_dir

@@ -109,6 +109,11 @@ RESERVED_COLUMNS = (
     "{Path}", "{FullPath}", "{HasAttachments}", "{ContentType}",
     "{ContentType}#Id", "Add_UserIDs", "Remove_UserIDs", "@odata.etag",
 )
+# Reserved forms of a column name as (form, sign, whether case is ignored).
+RESERVED_FORMS = (
+    ("prefix", "{", False), ("prefix", "odata", True), ("part", "@odata", False),
+    ("suffix", "Claims", False), ("suffix", "#Id", False), ("suffix", "#Value", False),
+)
 MAX_FIELD_LENGTH = 2000
 CHUNK_SIZE = 30
 

@@ -122,9 +122,26 @@ def literal_dict_value(c) -> Column:
 
 
 # P12 -----------------------------------------------------------------------
-def blank_to_zero(c) -> Column:
+def blank_to_zero(c, target: str | None = None) -> Column:
+    """Blank -> 0.  ``target`` is the numeric type of a text column; text that is no number becomes NULL."""
     s = col_(c)
-    return F.when(s.isNull() | (strip(text(s)) == ""), F.lit(0)).otherwise(s)
+    blank = s.isNull() | (strip(text(s)) == "")
+    if target is None:
+        return F.when(blank, F.lit(0)).otherwise(s)
+    return F.when(blank, F.lit(0).cast(target)).when(strip(text(s)).rlike(PLAIN_NUMBER), strip(text(s)).try_cast(target))
+
+
+# Plain decimal numbers; type suffixes ('5d') and digit separators ('1_000') are text.
+PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def float_text(c) -> Column:
+    """Text of a double without exponent from 1e-4 up to 1e16, with at least one decimal ('12345678.5', '0.0005', '5.0')."""
+    d = col_(c).cast("double")
+    size = F.abs(d)
+    wide = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
+    cut = F.regexp_replace(d.try_cast("decimal(38,18)").cast("string"), "0+$", "")
+    return F.when(wide, F.when(cut.endswith("."), F.concat(cut, F.lit("0"))).otherwise(cut)).otherwise(d.cast("string"))
 
 
 # P13 -----------------------------------------------------------------------

@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from podelta.config import NAN_WORDS, ListSpec
-from podelta.functions.exprs import canon, dropdown_value, nan_to_empty, parse_id_list, round3, strip
+from podelta.functions.exprs import (PLAIN_NUMBER, canon, dropdown_value, float_text, nan_to_empty, parse_id_list, round3,
+                                     strip)
 from podelta.operators.lookups import keep_first
 
 _NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
@@ -58,7 +59,11 @@ class ChangeSet:
     inlines the per-field expressions into it.
     """
 
-    def __init__(self, existing: DataFrame, desired: DataFrame, spec: ListSpec):
+    def __init__(self, existing: DataFrame, desired: DataFrame, spec: ListSpec, on_duplicate: str = "error",
+                 order: tuple[str, ...] = ()):
+        """``on_duplicate``: "error" fails the run where a desired key repeats; "first" keeps the first by ``order``."""
+        if on_duplicate not in ("error", "first") or (on_duplicate == "first" and not order):
+            raise ValueError("on_duplicate is 'error', or 'first' with an order")
         self.spec = spec
         key, iid = spec.key, spec.item_id
         fields = [f.name for f in spec.fields if f.name != key]
@@ -69,6 +74,14 @@ class ChangeSet:
 
         old = keep_first(existing.where(F.col(key).isNotNull()), [key], [iid])
         new = desired.where(F.col(key).isNotNull())
+        once = F.lit(True)
+        if on_duplicate == "first":
+            new = keep_first(new, [key], list(order))
+        else:
+            # Counted on the partitioning that the join needs anyway.
+            new = new.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(key)))
+            once = F.when(F.col("__rows") > 1, F.raise_error(F.concat(F.lit("desired key occurs more than once: "),
+                                                                      F.col(key).cast("string"))).cast("boolean")).otherwise(True)
         old_types, new_types = dict(existing.dtypes), dict(desired.dtypes)
         self.types = {}
         for c in self.value_cols:
@@ -78,7 +91,7 @@ class ChangeSet:
         self.new_cols = {c for c in self.value_cols if c in new_types}
 
         o_sel = [F.col(key).alias("__k"), F.lit(True).alias("__in_old"), F.col(iid).alias("__item_id")]
-        n_sel = [F.col(key).alias("__k"), F.lit(True).alias("__in_new")]
+        n_sel = [F.col(key).alias("__k"), once.alias("__in_new")]
         for c in self.value_cols:
             t = self.types[c]
             o_raw = self._typed(c, F.col(c)) if c in self.old_cols else F.lit(None).cast(t)
@@ -129,8 +142,9 @@ class ChangeSet:
             return x
         if self.types[c] == "double":
             return round3(x)
-        num = strip(x).try_cast("double")
-        return F.when(num.isNotNull() & ~F.isnan(num), F.round(num, 3).cast("string")).otherwise(x)
+        # Only text in number form is parsed; the guard keeps '5d' and '1_000' as they are.
+        num = F.when(strip(x).rlike(PLAIN_NUMBER), strip(x).try_cast("double"))
+        return F.when(num.isNotNull() & ~F.isnan(num), float_text(F.round(num, 3))).otherwise(x)
 
     def changed(self, c: str) -> Column:
         return ~self._col("oc", c, self.old_cols).eqNullSafe(self._col("nc", c, self.new_cols))
@@ -193,7 +207,9 @@ class ChangeSet:
                 add_common, rem_common = with_admins, rem_l
             f = (f.withColumn("__add", F.when(F.col("__both"), add_common).when(act == "add", admins).otherwise(empty))
                   .withColumn("__rem", F.when(F.col("__both"), rem_common).otherwise(empty)))
-            data_changed = _any(F.col(f"ch__{c}") & nf[c].isNotNull() for c in checked)
+            # NaN is no value to send
+            data_changed = _any(F.col(f"ch__{c}") & nf[c].isNotNull() & (~F.isnan(nf[c]) if self.types[c] == "double" else F.lit(True))
+                                for c in checked)
             cancel = (act == "update") & (F.size("__add") == 0) & (F.size("__rem") == 0) & ~data_changed
         else:
             f = f.withColumn("__add", empty).withColumn("__rem", empty)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -318,3 +319,42 @@ def test_invoice_lists_repeats_and_nulls(spark):
                                "po_line_unique_key string, document_number string")
     got = dict(_rows(views.invoice_lists(df), "po_line_unique_key", "invoice_numbers"))
     assert got == {"L1": "a, b, b", "L2": None, "L3": "x"}
+
+
+# --- faults found by review ---------------------------------------------------
+def test_labels_follow_the_lines_that_are_read(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    schema = "line_key string, current_status string"
+    spark.createDataFrame([("k1", "x")], schema).write.parquet(path)
+    labelled = rules.label_lines(spark.read.schema(schema).parquet(path), keep_unlabelled=True)
+    spark.createDataFrame([("k2", "02. Supplier Confirmation Pending")], schema).write.mode("append").parquet(path)
+    again = rules.label_lines(spark.read.schema(schema).parquet(path), keep_unlabelled=True)
+    assert {r.line_key for r in again.collect()} == {"k1", "k2"} and "checkpoint" not in str(labelled._jdf.queryExecution())
+
+
+def test_repeated_desired_keys(spark):
+    from podelta.config import TRACKER_LIST
+    from podelta.operators.changeset import ChangeSet
+    spec = TRACKER_LIST
+    field = next(f.name for f in spec.fields if f.name != spec.key)
+    old = spark.createDataFrame([("a", 1, "1")], f"{spec.key} string, {spec.item_id} int, {field} string")
+    new = spark.createDataFrame([("a", "3"), ("a", "2")], f"{spec.key} string, {field} string")
+    with pytest.raises(Exception, match="occurs more than once"):
+        ChangeSet(old, new, spec).joined.collect()
+    assert ChangeSet(old, new, spec, "first", (field,)).joined.count() == 1
+    with pytest.raises(ValueError):
+        ChangeSet(old, new, spec, "first")
+
+
+def test_number_texts(spark):
+    from podelta.functions import exprs
+    df = spark.createDataFrame([(12345678.5, "12.5"), (0.0005, " "), (5.0, "5d"), (-1e7, "1_000"), (1e-9, None), (0.25, "7")], "d double, t string")
+    got = [tuple(r) for r in df.select(exprs.float_text("d"), exprs.blank_to_zero("t", "double")).collect()]
+    assert got == [("12345678.5", 12.5), ("0.0005", 0.0), ("5.0", None), ("-10000000.0", None), ("1.0E-9", 0.0), ("0.25", 7.0)]
+
+
+def test_bad_date_text_counts_as_none(spark):
+    from podelta.operators import inspection
+    df = spark.createDataFrame([("a", "2020-01-10"), ("a", "soon"), ("b", "soon")], "po_razin_id string, prd string")
+    got = inspection.email_schedule(df, "2020-01-01").collect()
+    assert [(r[0], str(r[1])) for r in got] == [("a", "2019-12-31")]
