@@ -12,6 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from podelta.llm.common import bind, stage
 
@@ -73,6 +74,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: d
     times = bind(draw, lambda u: F.size(F.filter(F.col("__rate.cdf"), lambda c: c <= u)))
     counted = rated.withColumn("__rate", times).where("__rate > 0")
     copies = counted.withColumn("__rate", F.explode(F.sequence(F.lit(0), F.col("__rate") - 1)))
-    place = F.xxhash64(F.lit(seed), F.col(key), F.col(source), F.col("__rate"))
+    # All columns take part, so that rows without a key, or of one key, are dealt out as well.
+    place = F.xxhash64(F.lit(seed), *(F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, AtomicType)), F.col("__rate"))
     dealt = copies.withColumn("__place", place).repartition("__place").sortWithinPartitions("__place")
     return dealt.drop("__place", "__rate") if copy is None else dealt.drop("__place", *([copy] if copy in docs.columns else [])).withColumnRenamed("__rate", copy)

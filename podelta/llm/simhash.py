@@ -152,11 +152,34 @@ def shard_links(home: np.ndarray, visitors: np.ndarray, bits: int = MAX_BITS) ->
     return edges
 
 
+def shard_edges(home: np.ndarray, visitors: np.ndarray, bits: int = MAX_BITS, leaf: int = SHARD, sample: int = SAMPLE,
+                seed: int = 11) -> Iterator[tuple[int, int]]:
+    """Edges that connect the links of one shard; one of far more than ``leaf`` fingerprints is cut by a tree of its own.
+
+    The driver's tree is as large as its sample allows, so beyond that size shards grow with the data; cutting them here
+    keeps the comparisons of a fingerprint bounded.
+    """
+    nodes: list = []
+    if len(home) > 4 * leaf:
+        rng = np.random.default_rng(seed)
+        points = home if len(home) <= sample else rng.choice(home, sample, replace=False)
+        nodes = build_tree(points, max(2, leaf * len(points) // len(home)), rng)
+    if not nodes:
+        yield from shard_links(np.sort(home), visitors, bits)
+        return
+    every = np.concatenate([home, visitors])
+    rows, to, own = route(every, nodes, bits)
+    order = np.argsort(to, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+        fps, mine = every[rows[part]], own[part]
+        yield from shard_links(np.sort(fps[mine]), fps[~mine], bits)
+
+
 def link_edges(distinct: DataFrame, bits: int = MAX_BITS, shard: int = SHARD, sample: int = SAMPLE, seed: int = 7) -> DataFrame:
     """Edges (a, b) that connect all fingerprints (column fp, distinct) within ``bits`` of each other.
 
     The driver sees at most about ``sample`` fingerprints, to place the tree.  The tree has as many shards as the count of
-    fingerprints asks for, up to sample / 8.
+    fingerprints asks for, up to sample / 8; larger shards are cut again within their tasks.
     """
     total = distinct.count()
     shards = min(max(1, -(-total // shard)), max(1, sample // 8))
@@ -178,8 +201,8 @@ def link_edges(distinct: DataFrame, bits: int = MAX_BITS, shard: int = SHARD, sa
     def search(part: pd.DataFrame) -> pd.DataFrame:
         fps = part["fp"].to_numpy(np.int64).view(np.uint64)
         home = part["home"].to_numpy(bool)
-        edges = shard_links(np.sort(fps[home]), fps[~home], bits)
-        pairs = np.array(edges, np.uint64).reshape(-1, 2).view(np.int64)
+        edges = shard_edges(fps[home], fps[~home], bits, shard, sample)
+        pairs = np.array(list(edges), np.uint64).reshape(-1, 2).view(np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     dealt = distinct.select("fp").mapInArrow(deal, "shard int, fp long, home boolean")

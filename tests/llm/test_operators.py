@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -212,6 +213,16 @@ def test_mixing_edges(odd, none):
         mixing.mix(odd, weights={"a": -1.0})
 
 
+def test_rows_without_key_are_dealt_out(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = mixing.mix(frame(spark, [(None, f"text {i}", "a") for i in range(200)]), weights={"a": 1.0}, total=2000)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(sizes) < sum(sizes) / 2
+
+
 def test_mixing_large_rate(spark):
     n = mixing.mix(frame(spark, [(i, "t", "a") for i in range(20)]), total=20 * 900).count()
     assert abs(n - 18_000) < 6 * math.sqrt(18_000)
@@ -417,6 +428,31 @@ def test_links_in_dense_space(spark):
     assert len(set(linked.values())) == sum(len(m) > 1 for m in groups.values())
 
 
+def test_large_shards_are_cut_again():
+    rng = random.Random(13)
+    seeds = [rng.getrandbits(64) for _ in range(30)]
+    fps = set()
+    while len(fps) < 1200:
+        f = rng.choice(seeds)
+        for _ in range(rng.randrange(9)):
+            f ^= 1 << rng.randrange(64)
+        fps.add(f)
+    every = np.array(sorted(fps), np.uint64)
+    edges = list(simhash.shard_edges(every, every[:0], leaf=20, sample=200))
+    assert {x for e in edges for x in e} <= fps
+    root = {f: f for f in fps}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    assert {f: find(f) for f in fps} == brute_components({f: f for f in fps})
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
