@@ -505,3 +505,32 @@ def test_private_job(spark, odd, none):
     red = {r.doc_id: r.text for r in pii.redact(data, booster=booster).collect()}
     assert red[3].startswith("write to mail [EMAIL] or call [PHONE] now")
     assert pii.redact(odd).columns == odd.columns
+
+
+def test_private_data_in_other_formats(spark):
+    rng = random.Random(9)
+    number = lambda n: "".join(rng.choices("0123456789", k=n))
+
+    def card(prefix, n):
+        body = prefix + number(n - len(prefix) - 1)
+        return next(body + c for c in "0123456789" if passes_luhn(body + c))
+
+    # The corpus holds base formats only, besides ids and prices.
+    base = [lambda: f"{rng.choice(['write to', 'see', 'mail'])} u{number(3)}.x@host{number(2)}.org", lambda: f"{rng.choice(['server', 'from'])} {'.'.join(str(rng.randrange(256)) for _ in range(4))} up",
+            lambda: f"{rng.choice(['card', 'with'])} {card('4', 16)} paid", lambda: f"{rng.choice(['call', 'or'])} +{rng.choice(['1', '49'])} ({number(3)}) {number(3)}-{number(4)} now",
+            lambda: f"+49 {number(2)} {number(6)} open", lambda: f"order {number(15)} at {number(5)}.{number(2)} EUR on 2021-0{rng.randrange(1, 10)}-12"]
+    corpus = frame(spark, [(i, " and ".join(rng.choice(base)() for _ in range(4)), "a") for i in range(600)])
+    booster = pii.train(corpus)
+    amex = card("37", 15)
+    new = [("email", "write to ", "name (at) host.org", " soon"), ("email", "ask ", "jo.doe[at]mail.example.com", "."), ("phone", "call ", "(017) 555-7713", " now"),
+           ("phone", "or ", "0049 30 123456", " now"), ("card", "paid ", amex, " then"), ("card", "paid ", f"{amex[:4]}-{amex[4:10]}-{amex[10:]}", " then"),
+           ("ip", "server ", "10-20-30-41", " is up")]
+    like = ["meet (at) noon", "user@localhost said", "at 12345.67 EUR each", "on 2021-05-13 we", "order 123456789012 came", "paid " + amex[:-1] + str((int(amex[-1]) + 1) % 10) + " then",
+            "from 999-20-30-41 on", "tel 01-23-45-67-89 x"]
+    texts = [b + v + a for _, b, v, a in new] + like + ["mail a@b.org."]
+    got = {r.doc_id: {tuple(s) for s in r.spans} for r in pii.find_personal_data(frame(spark, [(i, t, "a") for i, t in enumerate(texts)]), booster=booster).collect()}
+    for i, (kind, b, v, _) in enumerate(new):
+        assert (kind, len(b), len(b + v)) in got[i], texts[i]
+    for i in range(len(new), len(new) + len(like)):
+        assert not {s for s in got[i] if s[0] != "phone" or texts[i][:4] not in ("tel ", "from")}, texts[i]
+    assert got[len(texts) - 1] == {("email", 5, 12)}
