@@ -41,7 +41,7 @@ DROP_WORDS = frozenset("ad ads advert adverts advertisement advertising adsbygoo
 CONTENT_TAGS = frozenset(("article", "main"))
 
 MAX_DEPTH = 200  # deeper elements count as children of the one at this depth
-MAX_CELLS = 250_000  # children pairs that are matched in full; longer lists are aligned by equal nodes
+MAX_CELLS = 250_000  # children pairs that are matched in one table; longer lists take less memory and give the same weight
 COPY_SHARE, BARE_COPY_SHARE = 0.5, 0.8  # a page with more of its content (without an article: of its text) in common is a copy
 MIN_PAGES, SAME_SHARE = 3, 0.9  # pages that must tell, and the share of them that makes a node template
 
@@ -203,7 +203,7 @@ def align(page: Node, pivot: Node) -> list[tuple[Node, Node]]:
             return 2.5 if x[0].number == y[0].text else 2.0
         found = score.get((id(a), id(b)))
         if found is None:
-            found = score[(id(a), id(b))] = _match(x, y, weigh)
+            found = score[(id(a), id(b))] = _match(x, y, weigh, score)
         return 1.0 + found[0]
 
     def pairs(a: Node, b: Node, out: list):
@@ -222,13 +222,13 @@ def align(page: Node, pivot: Node) -> list[tuple[Node, Node]]:
     return out
 
 
-def _match(left: list[Node], right: list[Node], weigh) -> tuple[float, list]:
+def _match(left: list[Node], right: list[Node], weigh, score: dict) -> tuple[float, list]:
     """Best order-preserving matching of two lists of children: (weight, pairs)."""
     m, n = len(left), len(right)
     if not m or not n:
         return 0.0, []
     if m * n > MAX_CELLS:
-        return _match_long(left, right, weigh)
+        return _match_long(left, right, weigh, score)
     table = [[0.0] * (n + 1)]
     weights = []
     for x in left:
@@ -260,26 +260,82 @@ def _match(left: list[Node], right: list[Node], weigh) -> tuple[float, list]:
     return table[m][n], out
 
 
-def _signature(node: Node, own: bool):
-    return (node.tag, node.number if own else node.text) if node.tag == "#text" else (node.tag, len(node.children), tuple(_signature(c, own) for c in node.children[:4]))
+def _equal(a: Node, b: Node) -> bool:
+    """Whether a page's subtree and a pivot's are the same in tags and texts."""
+    todo = [(a, b)]
+    while todo:
+        x, y = todo.pop()
+        if x.tag != y.tag or len(x.children) != len(y.children) or x.tag == "#text" and x.number != y.text:
+            return False
+        todo += zip(x.children, y.children)
+    return True
 
 
-def _match_long(left, right, weigh):
-    """For very long lists: pair equal nodes in order, each with the next equal one (linear time)."""
-    places: dict = {}
-    for j, y in enumerate(right):
-        places.setdefault(_signature(y, False), []).append(j)
-    out, total, last = [], 0.0, -1
-    for x in left:
-        found = places.get(_signature(x, True), ())
-        k = int(np.searchsorted(found, last + 1)) if found else 0
-        if k < len(found):
-            last = found[k]
-            w = weigh(x, right[last])
-            if w:
-                total += w
-                out.append((x, right[last]))
-    return total, out
+def _kind(node: Node, own: bool) -> tuple | None:
+    """(tag, text hash) of a text or a block of one text, whose weights need no matching of children."""
+    leaf = node if node.tag == "#text" else node.children[0] if len(node.children) == 1 and node.children[0].tag == "#text" else None
+    return None if leaf is None else (node.tag, leaf.number if own else leaf.text)
+
+
+def _match_long(left, right, weigh, score):
+    """The same best matching for long lists, in memory that follows their length (Hirschberg's halving).
+
+    Equal ends are paired first: no matching gains by leaving them.  Rows of the table are computed whole, and what
+    ``weigh`` notes on the way is kept for the chosen pairs only.
+    """
+    head = 0
+    while head < min(len(left), len(right)) and _equal(left[head], right[head]):
+        head += 1
+    tail = 0
+    while tail < min(len(left), len(right)) - head and _equal(left[-1 - tail], right[-1 - tail]):
+        tail += 1
+    inner_left, inner_right = left[head : len(left) - tail], right[head : len(right) - tail]
+    tags: dict = {}
+    code = lambda tag: tags.setdefault(tag, len(tags))
+    kinds = [_kind(y, False) for y in inner_right]
+    tag = np.array([code(y.tag) for y in inner_right], np.int64)
+    text = np.array([k[1] if k else -1 for k in kinds], np.int64)
+    simple = np.array([k is not None for k in kinds], bool)
+
+    def line(x: Node, lo: int, hi: int) -> np.ndarray:
+        own, same = _kind(x, True), tag[lo:hi] == code(x.tag)
+        out = np.zeros(hi - lo)
+        if own is not None:
+            base = 1.0 if x.tag == "#text" else 2.0
+            np.copyto(out, base + 0.5 * (text[lo:hi] == own[1]), where=same & simple[lo:hi])
+            same = same & ~simple[lo:hi]
+        noted = len(score)
+        for j in np.flatnonzero(same):
+            out[j] = weigh(x, inner_right[lo + j])
+            while len(score) > noted:
+                score.popitem()
+        return out
+
+    def last_row(rows, lo: int, hi: int, backwards: bool) -> np.ndarray:
+        row = np.zeros(hi - lo + 1)
+        for i in reversed(rows) if backwards else rows:
+            w = line(inner_left[i], lo, hi)
+            w = w[::-1] if backwards else w
+            row[1:] = np.maximum(row[1:], row[:-1] + w)
+            np.maximum.accumulate(row, out=row)
+        return row
+
+    chosen, todo = [], [(0, len(inner_left), 0, len(inner_right))]
+    while todo:
+        a, b, lo, hi = todo.pop()
+        if a == b or lo == hi:
+            continue
+        if b - a == 1:
+            w = line(inner_left[a], lo, hi)
+            if w.max() > 0:
+                chosen.append((a, lo + int(w.argmax())))
+            continue
+        middle = (a + b) // 2
+        cut = int((last_row(range(a, middle), lo, hi, False) + last_row(range(middle, b), lo, hi, True)[::-1]).argmax())
+        todo += [(a, middle, lo, lo + cut), (middle, b, lo + cut, hi)]
+    out = list(zip(left[:head], right[:head])) + [(inner_left[i], inner_right[j]) for i, j in sorted(chosen)]
+    out += list(zip(left[len(left) - tail :], right[len(right) - tail :]))
+    return sum(weigh(x, y) for x, y in out), out
 
 
 def leaves(root: Node) -> list[Node]:

@@ -181,6 +181,36 @@ def test_markup(markup, text):
     assert html_text.extract(html_text.parse(markup), None, frozenset()) == text
 
 
+def test_long_lists_match_as_the_full_table(monkeypatch):
+    rng = random.Random(6)
+    blocks = [f"<p>{w}</p>" for w in "abcdef"] + ["text", "<ul><li>x</ul>", "<ul><li>x<li>y</ul>", "<div><p>a</p><p>b</p></div>", "<div><p>a</p>c</div>", "<h2>a</h2>"]
+
+    def weight(first, second, cells):
+        monkeypatch.setattr(html_text, "MAX_CELLS", cells)
+        left, right = html_text.parse(first), html_text.rebuild(html_text.encode(html_text.parse(second)))[0]
+        html_text._numbered(left)
+        pairs = html_text.align(left, right)
+        return sum(1.5 if a.number == b.text else 1.0 for a, b in pairs), len(pairs)
+
+    for _ in range(150):
+        first, second = ("".join(rng.choices(blocks, k=rng.randrange(1, 25))) for _ in range(2))
+        scores = []
+        for cells in (10**9, 0):
+            monkeypatch.setattr(html_text, "MAX_CELLS", cells)
+            left, right = html_text.parse(first), html_text.rebuild(html_text.encode(html_text.parse(second)))[0]
+            html_text._numbered(left)
+            real, totals = html_text._match, []
+            monkeypatch.setattr(html_text, "_match", lambda x, y, *rest: totals.append(real(x, y, *rest)) or totals[-1])
+            html_text.align(left, right)
+            monkeypatch.setattr(html_text, "_match", real)
+            scores.append(totals[-1][0] if totals else None)
+        assert scores[0] == scores[1], (first, second)
+    # An early node whose equal stands at the end of the pivot.
+    first = "<p>late</p>" + "".join(f"<p>row {i}</p><ul><li>menu<li>{i}</ul>" for i in range(400))
+    second = "".join(f"<p>row {i}</p><ul><li>menu<li>{i}<li>more</ul>" for i in range(400)) + "<p>late</p>"
+    assert weight(first, second, 250_000)[1] >= 1200
+
+
 # --- 5 ---------------------------------------------------------------------
 def brute_copies(key, source, rate, seed=mixing.SEED):
     u = (int(hashlib.md5(f"{seed}:{'' if key is None else key}:{source or ''}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
