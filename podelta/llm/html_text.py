@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,7 @@ CLOSES_PARAGRAPH = frozenset("address article aside blockquote center details di
 CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"), "tfoot": ("tbody", "thead", "tr", "td", "th")}
 SCOPES = frozenset("ul ol dl table menu select body html".split())
+CELL_SCOPES = SCOPES | {"td", "th"}
 #: What is never content, by tag, ARIA role and word of a class or id.
 DROP_TAGS = frozenset("head nav footer aside form button select dialog menu template datalist object canvas audio video svg".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -40,7 +42,7 @@ DROP_WORDS = frozenset("ad ads advert adverts advertisement advertising adsbygoo
                        "comment comments disqus replies respond related recommended share sharing social widget".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 
-MAX_DEPTH = 200  # deeper elements count as children of the one at this depth
+MAX_DEPTH = 200  # texts of deeper elements stand in the tree as children of the element at this depth, with their own marks
 MAX_CELLS = 250_000  # children pairs that are matched in one table; longer lists take less memory and give the same weight
 COPY_SHARE, BARE_COPY_SHARE = 0.5, 0.8  # a page with more of its content (without an article: of its text) in common is a copy
 MIN_PAGES, SAME_SHARE = 3, 0.9  # pages that must tell, and the share of them that makes a node template
@@ -83,6 +85,7 @@ def parse(page: str | None) -> Node:
     page = page or ""
     root = Node("html")
     stack = [root]
+    places: dict[str, list[int]] = {}  # of the open elements in the stack, by tag
     run: list[str] = []
     at = 0
 
@@ -91,12 +94,17 @@ def parse(page: str | None) -> Node:
             text = " ".join(html.unescape("".join(run)).split())
             run.clear()
             if text:
-                stack[-1].children.append(Node("#text", text, stack[-1].drop, stack[-1].content))
+                stack[min(len(stack), MAX_DEPTH) - 1].children.append(Node("#text", text, stack[-1].drop, stack[-1].content))
 
     def close(count: int):
         flush()
+        for node in stack[count:]:
+            places[node.tag].pop()
         del stack[count:]
 
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     while m := _TOKEN.search(page, at):
         if m.start() > at:
             run.append(page[at : m.start()])
@@ -105,10 +113,8 @@ def parse(page: str | None) -> Node:
             tag = m[1].lower()
             if tag in INLINE:
                 continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
+            if k := last((tag,)):
+                close(k)
             continue
         tag, attributes, end = (m[2], m[3], m[4]) if m[2] else (m[5], m[6], m[7])
         if not tag:
@@ -128,29 +134,23 @@ def parse(page: str | None) -> Node:
             flush()
             continue
         if tag in CLOSES_PARAGRAPH:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    close(k)
-                    break
-                if stack[k].tag in SCOPES or stack[k].tag in ("td", "th"):
-                    break
+            k = last(("p",))
+            if k and k > last(CELL_SCOPES):
+                close(k)
         if tag in CLOSES:
-            first = 0
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in CLOSES[tag]:
-                    first = k
-                elif stack[k].tag in SCOPES:
-                    break
-            if first:
-                close(first)
+            scope = last(SCOPES)
+            inside = [places[t][n] for t in CLOSES[tag] if t in places and (n := bisect_right(places[t], scope)) < len(places[t])]
+            if inside:
+                close(min(inside))
         flush()
         if tag in ("html", "body"):
             continue
         parent = stack[-1]
         node = Node(tag, "", parent.drop or _dropped(tag, attributes, parent.content), parent.content or tag in CONTENT_TAGS)
-        parent.children.append(node)
         if len(stack) < MAX_DEPTH:
-            stack.append(node)
+            parent.children.append(node)
+        places.setdefault(tag, []).append(len(stack))
+        stack.append(node)
     if at < len(page) and not page[at:].startswith("<"):
         run.append(page[at:])
     flush()
@@ -296,6 +296,7 @@ def _match_long(left, right, weigh, score):
     tag = np.array([code(y.tag) for y in inner_right], np.int64)
     text = np.array([k[1] if k else -1 for k in kinds], np.int64)
     simple = np.array([k is not None for k in kinds], bool)
+    empty = np.array([not y.children for y in inner_right], bool)
 
     def line(x: Node, lo: int, hi: int) -> np.ndarray:
         own, same = _kind(x, True), tag[lo:hi] == code(x.tag)
@@ -304,6 +305,10 @@ def _match_long(left, right, weigh, score):
             base = 1.0 if x.tag == "#text" else 2.0
             np.copyto(out, base + 0.5 * (text[lo:hi] == own[1]), where=same & simple[lo:hi])
             same = same & ~simple[lo:hi]
+        if x.tag != "#text":
+            bare = empty[lo:hi] | (not x.children)  # without children on one side only the tags count
+            out[same & bare] = 1.0
+            same = same & ~bare
         noted = len(score)
         for j in np.flatnonzero(same):
             out[j] = weigh(x, inner_right[lo + j])

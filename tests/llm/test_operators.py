@@ -183,7 +183,7 @@ def test_markup(markup, text):
 
 def test_long_lists_match_as_the_full_table(monkeypatch):
     rng = random.Random(6)
-    blocks = [f"<p>{w}</p>" for w in "abcdef"] + ["text", "<ul><li>x</ul>", "<ul><li>x<li>y</ul>", "<div><p>a</p><p>b</p></div>", "<div><p>a</p>c</div>", "<h2>a</h2>"]
+    blocks = [f"<p>{w}</p>" for w in "abcdef"] + ["text", "<ul><li>x</ul>", "<ul><li>x<li>y</ul>", "<div><p>a</p><p>b</p></div>", "<div><p>a</p>c</div>", "<h2>a</h2>", "<p></p>", "<div></div>"]
 
     def weight(first, second, cells):
         monkeypatch.setattr(html_text, "MAX_CELLS", cells)
@@ -211,6 +211,16 @@ def test_long_lists_match_as_the_full_table(monkeypatch):
     assert weight(first, second, 250_000)[1] >= 1200
 
 
+@pytest.mark.parametrize("markup, text", [
+    ("<div><article>" + "<div>" * 250 + "in" + "</div>" * 250 + "<p>rest</p></article><p>out</p></div>", "in\nrest"),
+    ("<div>" * 250 + "<nav>menu</nav><p>kept</p><footer>foot</footer>" + "</div>" * 250 + "<p>end</p>", "kept\nend"),
+    ("<div>" * 300 + "<p>one<p>two<ul><li>x<li>y</ul>" + "</div>" * 300, "one\ntwo\nx\ny"),
+    ("<div>" * 60_000 + "<p>a" + "</div>" * 60_000 + "<p>b", "a\nb"),
+])
+def test_deep_markup(markup, text):
+    assert html_text.extract(html_text.parse(markup), None, frozenset()) == text
+
+
 # --- 5 ---------------------------------------------------------------------
 def brute_copies(key, source, rate, seed=mixing.SEED):
     u = (int(hashlib.md5(f"{seed}:{'' if key is None else key}:{source or ''}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
