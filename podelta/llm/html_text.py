@@ -44,7 +44,7 @@ CONTENT_TAGS = frozenset(("article", "main"))
 
 MAX_DEPTH = 200  # texts of deeper elements stand in the tree as children of the element at this depth, with their own marks
 MAX_CELLS = 250_000  # children pairs that are matched in one table; longer lists take less memory and give the same weight
-COPY_SHARE, BARE_COPY_SHARE = 0.5, 0.8  # a page with more of its content (without an article: of its text) in common is a copy
+COPY_SHARE = 0.5  # a page with more of its article in common is a copy; without an article only one whose whole text is
 MIN_PAGES, SAME_SHARE = 3, 0.9  # pages that must tell, and the share of them that makes a node template
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|"
@@ -375,8 +375,8 @@ def evidence(root: Node, pivot: Node) -> list[int] | None:
     body = _content(nodes)
     size = sum(len(x.text) for x in body)
     held = {id(a) for a, _ in same}
-    limit = COPY_SHARE if size and body[0].content else BARE_COPY_SHARE
-    if not size or sum(len(x.text) for x in body if id(x) in held) > limit * size:
+    common = sum(len(x.text) for x in body if id(x) in held)
+    if not size or (common > COPY_SHARE * size if body[0].content else common == size):
         return None
     return [b.number for _, b in same]
 

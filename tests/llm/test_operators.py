@@ -221,6 +221,14 @@ def test_deep_markup(markup, text):
     assert html_text.extract(html_text.parse(markup), None, frozenset()) == text
 
 
+def test_long_boilerplate_of_short_posts(spark):
+    notice = "<div>" + "All posts of this site are shown as their authors wrote them. " * 6 + "</div><div>Links: one, two, three</div>"
+    rows = [(i, f"http://short.org/{i}", f"<html><body>{notice}<p>Post {i}</p></body></html>") for i in range(12)]
+    rows += [(100 + i, f"http://short.org/again/{i}", rows[3][2]) for i in range(5)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id int, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == {i: f"Post {3 if i >= 100 else i}" for i, _, _ in rows}
+
+
 # --- 5 ---------------------------------------------------------------------
 def brute_copies(key, source, rate, seed=mixing.SEED):
     u = (int(hashlib.md5(f"{seed}:{'' if key is None else key}:{source or ''}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
