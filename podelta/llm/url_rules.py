@@ -1,8 +1,8 @@
 """URL filtering by association rules (operator 7), in DataFrame functions and Spark ML only.
 
 Fixed rules on host and path come first: the longest that fits decides.  For the rest FP-growth mines combinations of URL
-tokens that go with bad labels; rules that pass the confidence, support and lift limits, and that no shorter kept rule
-implies, block the URLs that hold all their tokens.  Matching uses an inverted index: a rule stands under its rarest
+tokens that go with bad labels; rules that pass the confidence and support limits and clear the base rate, and that no shorter kept
+rule implies, block the URLs that hold all their tokens.  Matching uses an inverted index: a rule stands under its rarest
 token, URLs look their tokens up there, and only those candidates are compared whole.
 """
 
@@ -22,7 +22,10 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE, MIN_LIFT = 0.002, 20, 0.6, 2.0
+MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE = 0.002, 20, 0.6
+#: Share of the way from the base rate of bad pages to 1 that a rule's confidence must cover, so that where most pages are bad
+#: a rule tells more than that; any base rate can be cleared, and up to 0.4 the confidence limit is the higher one.
+MIN_MARGIN = 1 / 3
 BAD = "label=bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -51,7 +54,10 @@ def fitting_rule(h: Column, p: Column, rules=RULES) -> Column:
 
 
 def tokens(url: Column) -> Column:
-    """Distinct tokens of a URL: scheme, host labels, path words, query names, fragment; digits become one sign."""
+    """Distinct tokens of a URL: scheme, host labels, path words, query names, fragment; digits become one sign.
+
+    Host labels with digits are tokens as they are, too, so that numbered hosts are told apart.
+    """
     whole = F.coalesce(url, F.lit(""))
     scheme = F.when(F.instr(whole, "://") > 0, F.substring_index(whole, "://", 1)).otherwise("")
     query = F.split(F.regexp_extract(whole, r"(?s)\?([^#]*)", 1), "&")
@@ -59,16 +65,18 @@ def tokens(url: Column) -> Column:
         F.lit(name), F.regexp_replace(F.lower(x), "[0-9]+", "9")))
     return F.array_distinct(F.concat(
         prefixed("scheme=", F.array(scheme)), prefixed("host=", F.split(host(whole), r"\.")),
+        F.transform(F.filter(F.split(host(whole), r"\."), lambda x: F.regexp_like(x, F.lit("[0-9]"))), lambda x: F.concat(F.lit("exact="), x)),
         prefixed("path=", F.split(path(whole), "[/.]")), prefixed("query=", F.transform(query, lambda x: F.substring_index(x, "=", 1))),
         prefixed("end=", F.array(F.when(F.instr(whole, "#") > 0, "fragment").otherwise("")))))
 
 
 def mine(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str = "url", label_key: str = "doc_id",
-         min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT) -> DataFrame:
+         min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE, min_margin: float = MIN_MARGIN) -> DataFrame:
     """(tokens, confidence, lift, support): token sets that go with a bad label (quality 0 or toxic 1).
 
     A page's label is the row of ``labels`` with its key; pages without one teach nothing, rows of several labels count
-    each.  A rule's support is at least ``min_support`` of the labelled pages and ``min_count`` pages.  A rule is pruned if it keeps within the limits but holds another kept rule's tokens.
+    each.  A rule's support is at least ``min_support`` of the labelled pages and ``min_count`` pages; its confidence is at least
+    ``min_confidence`` and covers ``min_margin`` of the way from the share of bad pages to 1.  A rule is pruned if it keeps within the limits but holds another kept rule's tokens.
     """
     bad = ((F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1)).alias("bad")
     known = labels.select(F.col(label_key).alias("label_key"), bad)
@@ -77,11 +85,11 @@ def mine(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str = "
                     .select(F.concat(tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items")),
                     "baskets")
     schema = "tokens array<string>, confidence double, lift double, support double"
-    n = baskets.count()
+    n, base = baskets.agg(F.count("*"), F.coalesce(F.avg(F.array_contains("items", BAD).cast("double")), F.lit(0.0))).first()
     if n < min_count:
         return pages.sparkSession.createDataFrame([], schema)
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_count / n)), minConfidence=min_confidence).fit(baskets)
-    rules = stage(model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= min_lift))
+    rules = stage(model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("confidence") >= base + min_margin * (1 - base) - 1e-9))
                   .select(F.array_sort("antecedent").alias("tokens"), "confidence", "lift", "support"), "rules")
     # A longer rule that contains a kept one can match nothing more: join each rule to the rules under each of its tokens.
     posted = rules.select(F.col("tokens").alias("short"), F.col("tokens")[0].alias("token"))

@@ -379,6 +379,22 @@ def test_mined_rules(spark):
     assert all((verdicts[i] == "block") == (i % 8 == 0) for i, _ in rows)  # also those without a label
 
 
+def test_rules_where_most_pages_are_bad(spark):
+    rows = [(i, f"http://{'pills' if i % 10 < 6 else 'news'}.org/p/{i}") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id int, url string")
+    labels = spark.createDataFrame([(i, 0 if i % 10 < 6 else 1, None) for i in range(200)], "doc_id int, quality int, toxic int")
+    verdicts = {r.page_id: r.verdict for r in url_rules.judge(pages, labels).collect()}
+    assert all((verdicts[i] == "block") == (i % 10 < 6) for i, _ in rows)
+
+
+def test_numbered_hosts_are_told_apart(spark):
+    rows = [(i, f"http://site{i % 5}.org/p/{i}") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id int, url string")
+    labels = spark.createDataFrame([(i, 0 if i % 5 == 3 else 1, None) for i in range(200)], "doc_id int, quality int, toxic int")
+    verdicts = {r.page_id: r.verdict for r in url_rules.judge(pages, labels).collect()}
+    assert all((verdicts[i] == "block") == (i % 5 == 3) for i, _ in rows)
+
+
 # --- 8 ---------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def model():
