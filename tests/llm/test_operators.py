@@ -116,6 +116,18 @@ def test_quality_bands(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == 0
 
 
+def test_noise_of_each_length_is_rejected(texts):
+    rng, used = random.Random(3), quality_rules.compressor()
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    noise = lambda n, k: " ".join("".join(rng.choices(signs, k=k)) for _ in range(n // k + 1))[:n].encode()
+    for n in (100, 140, 200, 300, 400, 600, 900, 1500, 3000, 9000):
+        for k in (8, 60):
+            assert quality_rules.judge(noise(n, k), used)[3] == "incompressible", (n, k)
+    prose = b" ".join(t.encode() for t in texts.values() if quality_rules.judge(t.encode(), used)[3] is None)
+    mixed = prose[:13 * 4096] + noise(12 * 4096, 60)
+    assert quality_rules.judge(prose[:13 * 4096], used)[3] is None and quality_rules.judge(mixed, used)[3]
+
+
 # --- 3 ---------------------------------------------------------------------
 def test_classifier_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
