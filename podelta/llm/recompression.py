@@ -32,7 +32,7 @@ from podelta.llm.common import arrow_schema, batches, spark_schema, stage
 #: Fixed value of the contract.
 WINDOW = 13
 #: Windows that a task names at once, and characters of text that a bucket stands for (about 4 million windows).
-BLOCK, BUCKET_CHARS = 1 << 20, 27_000_000
+BLOCK, BUCKET_CHARS = 1 << 19, 27_000_000
 #: Words of a text that are named at once; longer texts go on with an overlap, as a window's name does not depend on the rest.
 PIECE = 1 << 18
 #: Windows that are named in one go.
@@ -144,55 +144,72 @@ def _unpack(raw: bytes, dtype: str) -> np.ndarray:
     return np.cumsum(np.frombuffer(raw, np.uint8).reshape(size, -1).T.copy().view(dtype).ravel(), dtype=dtype)
 
 
-# What travels between tasks, one row per block and bucket: names, and for each run of names of one document its key, the hash of
-# its text, and how many; places are the first words of the windows.  Bucket -1 - n holds places already known to be repeated.
-SENT = pa.schema([("bucket", pa.int64()), ("names", pa.binary()), ("places", pa.binary()), ("docs", pa.binary()),
-                  ("texts", pa.binary()), ("counts", pa.binary())])
-FOUND = pa.schema([("doc", pa.int64()), ("text", pa.int64()), ("places", pa.binary())])
+# What travels between tasks: the first words of windows, packed for many documents; for each run of windows of one document its
+# key, the hash of its text, and how many.  Towards a bucket the windows' names go along (bucket -1 - n: already known to be
+# repeated); back from it windows are dealt to slots, each for some of the documents.
+_PACKED = [("docs", pa.binary()), ("texts", pa.binary()), ("counts", pa.binary()), ("places", pa.binary())]
+SENT = pa.schema([("bucket", pa.int64()), ("names", pa.binary()), *_PACKED])
+FOUND = pa.schema([("slot", pa.int64()), *_PACKED])
+RANGES = pa.schema([("doc", pa.int64()), ("text_hash", pa.int64()), ("borders", pa.list_(pa.int64()))])
 
 
-def _sent(bucket: int, names: np.ndarray, places: np.ndarray, docs: np.ndarray, texts: np.ndarray) -> tuple:
-    """One row; rows of a document are adjacent."""
-    change = np.flatnonzero(np.append(True, (docs[1:] != docs[:-1]) | (texts[1:] != texts[:-1])))
-    counts = np.diff(np.append(change, len(docs)))
-    return (bucket, names.tobytes(), _pack(places, "<u4"), _pack(docs[change], "<i8"), texts[change].tobytes(), _pack(counts, "<u4"))
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """First place of each run of equal rows."""
+    fresh = np.ones(len(columns[0]), bool)
+    fresh[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(fresh)
 
 
-def _received(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    counts = _unpack(row["counts"], "<u4")
-    return (np.frombuffer(row["names"], "<u8"), _unpack(row["places"], "<u4"), np.repeat(_unpack(row["docs"], "<i8"), counts),
-            np.repeat(np.frombuffer(row["texts"], "<i8"), counts))
+def _packed(docs: np.ndarray, texts: np.ndarray, run: np.ndarray, places: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
+    """Windows of the documents numbered in ``run``."""
+    first = _changes(run)
+    at = run[first]
+    return _pack(docs[at], "<i8"), texts[at].tobytes(), _pack(np.diff(np.append(first, len(run))), "<u4"), _pack(places, "<u4")
+
+
+def _unpacked(part: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(docs, texts, run, places) of many rows."""
+    docs = np.concatenate([_unpack(x, "<i8") for x in part["docs"]])
+    texts = np.frombuffer(b"".join(part["texts"]), "<i8")
+    run = np.repeat(np.arange(len(docs), dtype=np.int32), np.concatenate([_unpack(x, "<u4") for x in part["counts"]]))
+    return docs, texts, run, np.concatenate([_unpack(x, "<u4") for x in part["places"]])
+
+
+def _least(names: np.ndarray, docs: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """Whether a smaller document holds the same name; ``more`` tells names apart that agree in their 64 bits."""
+    order = np.argsort(names)
+    docs = docs[order]
+    first = _changes(names[order], *(m[order] for m in more))
+    out = np.empty(len(names), bool)
+    out[order] = docs > np.repeat(np.minimum.reduceat(docs, first), np.diff(np.append(first, len(docs))))
+    return out
 
 
 def _block(words: Words, ids: list[np.ndarray], docs: list[int], texts: list[int], offsets: list[int], buckets: int, size: int,
-           serial: int) -> list[tuple]:
+           serial: int) -> Iterator[tuple]:
     """Rows to send for the pieces of one block."""
     lengths = np.array([len(x) for x in ids])
     windows = lengths - size + 1
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    symbols, starts = words.symbols()[:, np.concatenate(ids)], np.repeat(first, windows) + within
-    # Slices keep the work space small; a window's name does not depend on where the slice ends.
-    cuts = range(0, len(starts), SLICE)
-    names = np.concatenate([window_names(symbols[:, part[0] : part[-1] + size], part - part[0], size)
-                            for part in (starts[c : c + SLICE] for c in cuts)], axis=1)
-    place = within + np.repeat(np.array(offsets), windows)
-    doc, text = np.repeat(np.array(docs, np.int64), windows), np.repeat(np.array(texts, np.int64), windows)
-    bucket = (names[1] % np.uint64(buckets)).astype(np.int64)
-    # Of equal names the one of the least document goes out; the others are repeats if their document is a larger one.
-    order = np.argsort(names[0])
-    n, k, d = names[0][order], bucket[order], doc[order]
-    lead = np.append(True, (n[1:] != n[:-1]) | (k[1:] != k[:-1]))
-    repeat = np.zeros(len(doc), bool)
-    repeat[order] = d > np.minimum.reduceat(d, np.flatnonzero(lead))[np.cumsum(lead) - 1]
-    # Further windows of the least document itself share the fate of the first, so they go out as well.
-    out = [_sent(-1 - serial, names[0][:0], place[repeat], doc[repeat], text[repeat])] if repeat.any() else []
+    piece = np.repeat(np.arange(len(ids), dtype=np.int32), windows)
+    place = np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)
+    starts = np.repeat(np.cumsum(lengths) - lengths, windows) + place
+    place = (place + np.repeat(np.array(offsets), windows)).astype(np.uint32)
+    symbols, ids = words.symbols(), np.concatenate(ids)
+    names, bucket = np.empty(len(piece), np.uint64), np.empty(len(piece), np.min_scalar_type(buckets))
+    for at in range(0, len(starts), SLICE):  # slices keep the work space small; no name depends on where a slice ends
+        part = starts[at : at + SLICE]
+        names[at : at + SLICE], other = window_names(symbols[:, ids[part[0] : part[-1] + size]], part - part[0], size)
+        bucket[at : at + SLICE] = other % np.uint64(buckets)
+    del starts, symbols, ids
+    docs, texts = np.array(docs, np.int64), np.array(texts, np.int64)
+    # Of equal names the one of the least document goes out, with its repeats in that document, which share its fate.
+    repeat = _least(names, docs[piece], bucket)
     mine = np.flatnonzero(~repeat)
-    mine = mine[np.argsort(bucket[mine].astype(np.min_scalar_type(buckets)), kind="stable")]
-    for part in np.split(mine, np.flatnonzero(np.diff(bucket[mine])) + 1):
+    mine = mine[np.argsort(bucket[mine], kind="stable")]
+    parts = [(-1 - serial, np.flatnonzero(repeat))] + [(int(bucket[p[0]]), p) for p in np.split(mine, _changes(bucket[mine])[1:])]
+    for to, part in parts:
         if len(part):
-            out.append(_sent(int(bucket[part[0]]), names[0][part], place[part], doc[part], text[part]))
-    return out
+            yield to, names[part].tobytes() if to >= 0 else b"", *_packed(docs, texts, piece[part], place[part])
 
 
 def _name_blocks(buckets: int, size: int, block: int, piece: int):
@@ -207,7 +224,7 @@ def _name_blocks(buckets: int, size: int, block: int, piece: int):
                 doc, text = batch.column(0)[at].as_py(), batch.column(1)[at].as_py()
                 for start in range(0, len(split) - size + 1, piece):
                     part = split[start : start + piece + size - 1]
-                    ids.append(np.fromiter(map(words.__getitem__, part), np.int64, len(part)))
+                    ids.append(np.fromiter(map(words.__getitem__, part), np.int32, len(part)))
                     docs.append(doc), texts.append(text), offsets.append(start)
                     held += len(part)
                     if held >= block:
@@ -221,34 +238,41 @@ def _name_blocks(buckets: int, size: int, block: int, piece: int):
     return run
 
 
-def _find(group: pa.Table) -> pa.Table:
-    """Places of one bucket whose name a smaller document holds too."""
-    rows = group.to_pylist()
-    parts = [_received(r) for r in rows]
-    names, places, docs, texts = (np.concatenate(x) for x in zip(*parts))
-    if rows[0]["bucket"] >= 0:
-        order = np.argsort(names)
-        lead = np.append(True, np.diff(names[order]) != 0)
-        least = np.minimum.reduceat(docs[order], np.flatnonzero(lead))
-        hit = np.zeros(len(names), bool)
-        hit[order] = docs[order] > least[np.cumsum(lead) - 1]
-        places, docs, texts = places[hit], docs[hit], texts[hit]
-    if not len(docs):
-        return FOUND.empty_table()
-    change = np.flatnonzero(np.append(True, (docs[1:] != docs[:-1]) | (texts[1:] != texts[:-1])))
-    return pa.Table.from_arrays([pa.array(docs[change], pa.int64()), pa.array(texts[change], pa.int64()),
-                                 pa.array([_pack(p, "<u4") for p in np.split(places, change[1:])], pa.binary())], schema=FOUND)
+def _find(slots: int):
+    """Function for applyInArrow: the windows of one bucket whose name a smaller document holds too, dealt to slots."""
+    from podelta.llm.common import to_batch
 
+    def run(group: pa.Table) -> pa.Table:
+        part = group.to_pydict()
+        docs, texts, at, places = _unpacked(part)
+        if part["bucket"][0] >= 0:
+            hit = _least(np.frombuffer(b"".join(part["names"]), "<u8"), docs[at])
+            places, at = places[hit], at[hit]
+        slot = ((docs ^ texts).view(np.uint64) % np.uint64(slots)).astype(np.int64)[at]
+        order = np.argsort(slot, kind="stable")
+        rows = [(int(slot[p[0]]), *_packed(docs, texts, at[p], places[p])) for p in np.split(order, _changes(slot[order])[1:]) if len(p)]
+        return pa.Table.from_batches([to_batch(rows, FOUND)] if rows else [], FOUND)
 
-def _ranges(size: int):
-    """Function for mapInArrow: (doc, text hash, lists of places) to (doc, text hash, borders of the word ranges covered)."""
+    return run
 
-    def rows(doc, text, lists) -> Iterator[tuple]:
-        at = np.unique(np.concatenate([_unpack(p, "<u4") for p in lists])).astype(np.int64)
-        gap = np.flatnonzero(np.diff(at) > size)
-        yield doc, text, np.ravel([at[np.append(0, gap + 1)], at[np.append(gap, len(at) - 1)] + size], order="F").tolist()
 
-    return rows
+def _ranges(size: int):
+    """Function for applyInArrow: word ranges that the windows of a slot's documents cover."""
+
+    def run(group: pa.Table) -> pa.Table:
+        docs, texts, at, places = _unpacked(group.select(["docs", "texts", "counts", "places"]).to_pydict())
+        order = np.lexsort((places, texts[at], docs[at]))
+        docs, texts, places = docs[at][order], texts[at][order], places[order].astype(np.int64)
+        new = np.zeros(len(docs), bool)
+        new[_changes(docs, texts)] = True
+        first = np.flatnonzero(new | np.append(False, np.diff(places) > size))
+        borders = np.ravel([places[first], places[np.append(first[1:], len(places)) - 1] + size], order="F")
+        lead = np.flatnonzero(new[first])  # ranges at which a document begins
+        offsets = np.append(2 * lead, len(borders)).astype(np.int32)
+        return pa.Table.from_arrays([pa.array(docs[first[lead]]), pa.array(texts[first[lead]]), pa.ListArray.from_arrays(offsets, borders)],
+                                    schema=RANGES)
+
+    return run
 
 
 def covered(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW, block: int = BLOCK,
@@ -259,10 +283,8 @@ def covered(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     chars = read.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, -(-chars // bucket_chars))
     sent = read.mapInArrow(_name_blocks(buckets, size, block, piece), spark_schema(SENT))
-    found = sent.groupBy("bucket").applyInArrow(_find, spark_schema(FOUND))
-    lists = found.groupBy("doc", "text").agg(F.collect_list("places").alias("places"))
-    schema = pa.schema([("doc", pa.int64()), ("text_hash", pa.int64()), ("borders", pa.list_(pa.int64()))])
-    return lists.mapInArrow(batches(_ranges(size), schema, 256), spark_schema(schema))
+    found = sent.groupBy("bucket").applyInArrow(_find(buckets), spark_schema(FOUND))
+    return found.groupBy("slot").applyInArrow(_ranges(size), spark_schema(RANGES))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW, block: int = BLOCK,
