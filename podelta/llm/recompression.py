@@ -185,8 +185,8 @@ def _least(names: np.ndarray, docs: np.ndarray, *more: np.ndarray) -> np.ndarray
     return out
 
 
-def _block(words: Words, ids: list[np.ndarray], docs: list[int], texts: list[int], offsets: list[int], buckets: int, size: int,
-           serial: int) -> Iterator[tuple]:
+def _block(words: Words, ids: list[np.ndarray], docs: list[int], texts: list[int], offsets: list[int], buckets: int,
+           size: int) -> Iterator[tuple]:
     """Rows to send for the pieces of one block."""
     lengths = np.array([len(x) for x in ids])
     windows = lengths - size + 1
@@ -206,10 +206,10 @@ def _block(words: Words, ids: list[np.ndarray], docs: list[int], texts: list[int
     repeat = _least(names, docs[piece], bucket)
     mine = np.flatnonzero(~repeat)
     mine = mine[np.argsort(bucket[mine], kind="stable")]
-    parts = [(-1 - serial, np.flatnonzero(repeat))] + [(int(bucket[p[0]]), p) for p in np.split(mine, _changes(bucket[mine])[1:])]
+    parts = [(-1 - (docs[0] ^ texts[0]) % buckets, np.flatnonzero(repeat))] + [(int(bucket[p[0]]), p) for p in np.split(mine, _changes(bucket[mine])[1:])]
     for to, part in parts:
         if len(part):
-            yield to, names[part].tobytes() if to >= 0 else b"", *_packed(docs, texts, piece[part], place[part])
+            yield int(to), names[part].tobytes() if to >= 0 else b"", *_packed(docs, texts, piece[part], place[part])
 
 
 def _name_blocks(buckets: int, size: int, block: int, piece: int):
@@ -217,7 +217,7 @@ def _name_blocks(buckets: int, size: int, block: int, piece: int):
     from podelta.llm.common import to_batch
 
     def run(it) -> Iterator[pa.RecordBatch]:
-        words, ids, docs, texts, offsets, held, serial = Words(), [], [], [], [], 0, 0
+        words, ids, docs, texts, offsets, held = Words(), [], [], [], [], 0
         for batch in it:
             for at in range(batch.num_rows):
                 split = (batch.column(2)[at].as_py() or "").encode("utf-8", "surrogatepass").split()  # bytes.split knows ASCII space only
@@ -228,11 +228,11 @@ def _name_blocks(buckets: int, size: int, block: int, piece: int):
                     docs.append(doc), texts.append(text), offsets.append(start)
                     held += len(part)
                     if held >= block:
-                        for row in _block(words, ids, docs, texts, offsets, buckets, size, serial):
+                        for row in _block(words, ids, docs, texts, offsets, buckets, size):
                             yield to_batch([row], SENT)
-                        words, ids, docs, texts, offsets, held, serial = Words(), [], [], [], [], 0, serial + 1
+                        words, ids, docs, texts, offsets, held = Words(), [], [], [], [], 0
         if ids:
-            for row in _block(words, ids, docs, texts, offsets, buckets, size, serial):
+            for row in _block(words, ids, docs, texts, offsets, buckets, size):
                 yield to_batch([row], SENT)
 
     return run

@@ -237,7 +237,7 @@ def test_a_hot_passage_is_one_entry_a_block(spark):
     """A passage in every document: within a block only the least document's windows go on."""
     words = recompression.Words()
     ids = [np.array([words[b"p%d" % i] for i in range(30)])] * 50
-    rows = list(recompression._block(words, ids, list(range(50)), [7] * 50, [0] * 50, 4, 13, 0))
+    rows = list(recompression._block(words, ids, list(range(50)), [7] * 50, [0] * 50, 4, 13))
     assert sum(len(r[1]) // 8 for r in rows if r[0] >= 0) == 18
 
 
