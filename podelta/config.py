@@ -174,3 +174,12 @@ INSPECTION_LIST = ListSpec(fields=_LIST_FIELDS, item_level_access=False, identit
 # Tracker-style list: item-level access from the two owner fields.
 TRACKER_LIST = ListSpec(fields=_LIST_FIELDS, item_level_access=True, identity_columns=("final_poc", "sm"),
                         refill_columns=("final_poc", "sm"), admin_ids=(101, 119), user_ids=fixture_user_ids())
+
+# The list that the tracked-lines job keeps: one item per roll-up row.
+ROLLUP_LIST = ListSpec(
+    fields=(FieldSpec("title", "rollup_id", update_check=False), FieldSpec("order_line_id", update_check=False), FieldSpec("batch_id"),
+            FieldSpec("document_number"), FieldSpec("tracker"), FieldSpec("item"), FieldSpec("quantity"),
+            FieldSpec("pending_value", format_float=True), FieldSpec("current_status"), FieldSpec("sub_status"), FieldSpec("final_poc"),
+            FieldSpec("sm")),
+    item_level_access=True, identity_columns=("final_poc", "sm"), refill_columns=("final_poc", "sm"), admin_ids=(101, 119),
+    user_ids=fixture_user_ids())

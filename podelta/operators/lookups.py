@@ -34,26 +34,24 @@ def first_match_lookup(left: DataFrame, right: DataFrame, left_key: str, right_k
     return left.join(r, left[left_key] == r["__rk"], "left").drop("__rk")
 
 
-class DuplicateKeyError(ValueError):
-    pass
-
-
 def unique_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, columns,
                   on_duplicate: str = "error", order=None) -> DataFrame:
     """Left join to a side whose key must be unique.
 
-    ``on_duplicate='error'`` runs one aggregate over the right keys and
-    raises if any key repeats (the source's own behaviour);
-    ``'first'`` keeps the first row per key by ``order`` instead.
+    ``on_duplicate='error'`` fails the run where a right key repeats (the source's own behaviour): the right side is
+    aggregated by its key, which it is shuffled by for the join anyway, and the count is checked in the same plan.
+    ``'first'`` keeps the first row per key by ``order`` instead.  No job runs while the frame is built.
     """
-    r = right.select(right_key, *columns, *[o for o in (order or []) if o not in columns and o != right_key])
+    r = right.where(F.col(right_key).isNotNull()).select(right_key, *columns, *[o for o in (order or []) if o not in columns and o != right_key])
     if on_duplicate == "first":
-        r = keep_first(r, [right_key], order or [right_key])
+        r = keep_first(r, [right_key], order or [right_key]).select(F.col(right_key).alias("__rk"), *columns)
     elif on_duplicate == "error":
-        dup = r.where(F.col(right_key).isNotNull()).groupBy(right_key).count().where("count > 1").limit(1).collect()
-        if dup:
-            raise DuplicateKeyError(f"lookup key {right_key!r} repeats, e.g. {dup[0][0]!r}")
-    r = r.where(F.col(right_key).isNotNull()).select(F.col(right_key).alias("__rk"), *columns)
+        repeat = F.raise_error(F.concat(F.lit(f"lookup key {right_key} repeats: "), F.col("__rk").cast("string")))
+        r = (r.groupBy(F.col(right_key).alias("__rk")).agg(F.min(F.struct(*columns)).alias("__v"), F.count(F.lit(1)).alias("__n"))
+             .select(F.when(F.col("__n") == 1, F.col("__rk")).otherwise(repeat.cast(right.schema[right_key].dataType)).alias("__rk"),
+                     *[F.col(f"__v.{c}").alias(c) for c in columns]))
+    else:
+        raise ValueError("on_duplicate is 'error' or 'first'")
     return left.join(r, left[left_key] == r["__rk"], "left").drop("__rk")
 
 

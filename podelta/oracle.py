@@ -47,10 +47,14 @@ def _tracker_sql() -> str:
     return "concat_ws(', ', " + ", ".join(cases) + ")"
 
 
-LABELLED = f"""labelled AS (
-  SELECT *, {_tracker_sql()} AS tracker FROM order_lines
+def _labelled(source: str = "order_lines") -> str:
+    return f"""labelled AS (
+  SELECT *, {_tracker_sql()} AS tracker FROM {source}
 )"""
 
+
+LABELLED = _labelled()
+
 sql("tracker_labels", ("order_lines",), """
 SELECT document_number, ord, line_key, tracker FROM labelled WHERE tracker <> ''
 """, extra=LABELLED)
@@ -79,8 +83,8 @@ SELECT document_number, ord,
        CASE WHEN line_id_raw IS NULL THEN 'nan' WHEN line_id_raw = '' THEN '0'
             ELSE regexp_replace(line_id_raw, '\\.0$', '') END AS line_id,
        document_number || item || CASE WHEN line_id_raw IS NULL THEN 'nan' WHEN line_id_raw = '' THEN '0'
-            ELSE regexp_replace(line_id_raw, '\\.0$', '') END AS po_razin_id,
-       document_number || item || split_part(name, ' ', 1) AS po_razin_vendor,
+            ELSE regexp_replace(line_id_raw, '\\.0$', '') END AS order_line_id,
+       document_number || item || split_part(name, ' ', 1) AS vendor_line_id,
        CASE WHEN sub_status IN ('17. QC Schedule Pending', '20a. QC Release Missing') THEN 'otif' ELSE '' END AS subset
 FROM order_lines
 """)
@@ -121,107 +125,99 @@ def _canon_d(x: str) -> str:
 
 
 _ALL_FIELDS = ("current_status", "sub_status", "quantity", "pending_value", "qc_status", "final_poc", "sm")
+_UID = "CASE {x} " + " ".join(f"WHEN 'User{i}' THEN '{100 + i}'" for i in range(20)) + " END"
+_ADMINS = "['101', '119']"
+_OWNERS = ("final_poc", "sm")
 
 
-def _canon(f: str, x: str) -> str:
-    return _canon_d(x) if f == "pending_value" else _canon_s(x)
+def _uid(x: str) -> str:
+    return "(" + _UID.format(x=x) + ")"
 
 
-def _fmt(f: str, x: str) -> str:
-    return f"round({x}, 3)" if f == "pending_value" else x
+def _blank(x: str) -> str:
+    return f"({x} IS NULL OR {_strip(x)} = '')"
 
 
-def _clean(f: str, x: str) -> str:
-    if f == "pending_value":
-        return x
-    return f"coalesce(CASE WHEN {x} NOT IN ('nan', 'NaN', 'NAN') THEN {x} END, '')"
+class ListSql:
+    """Change set between two lists of the same columns, as CTEs.  ``numbers`` are compared as doubles, ``floats`` of them rounded."""
 
+    def __init__(self, fields, floats=(), numbers=(), dropdowns=(), unchecked=(), old="existing_list", new="desired_list"):
+        self.fields, self.floats, self.numbers, self.dropdowns = fields, floats, (*floats, *numbers), dropdowns
+        self.checked = [f for f in fields if f not in unchecked]
+        self.old, self.new = old, new
 
-_DECODE_QC = ("CASE WHEN json_valid(E.qc_status) AND starts_with(ltrim(E.qc_status), '{') "
-              "AND list_contains(json_keys(E.qc_status), 'Value') THEN E.qc_status ->> '$.Value' ELSE E.qc_status END")
+    def canon(self, f: str, x: str) -> str:
+        return _canon_d(x) if f in self.numbers else _canon_s(x)
 
-_UID = "CASE {x} " + " ".join(f"WHEN 'User{i}' THEN '{100 + i}'" for i in range(20)) + " END"
-_ADMINS = "['101', '119']"
+    def fmt(self, f: str, x: str) -> str:
+        return f"round({x}, 3)" if f in self.floats else x
 
+    def clean(self, f: str, x: str) -> str:
+        if f in self.numbers:
+            return x
+        return f"coalesce(CASE WHEN {x} NOT IN ('nan', 'NaN', 'NAN') THEN {x} END, '')"
 
-def _uid(x: str) -> str:
-    return "(" + _UID.format(x=x) + ")"
+    def decoded(self, f: str) -> str:
+        if f not in self.dropdowns:
+            return f"{self.typed(f, 'E')} AS od_{f}"
+        return (f"CASE WHEN json_valid(E.{f}) AND starts_with(ltrim(E.{f}), '{{') AND list_contains(json_keys(E.{f}), 'Value') "
+                f"THEN E.{f} ->> '$.Value' ELSE E.{f} END AS od_{f}")
 
+    def typed(self, f: str, side: str) -> str:
+        return f"CAST({side}.{f} AS DOUBLE)" if f in self.numbers else f"{side}.{f}"
 
-CHANGE_CTES = f"""
+    def changes(self) -> str:
+        every = self.fields
+        return f"""
 E AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY list_id NULLS FIRST) AS rn
-                                  FROM existing_list WHERE title IS NOT NULL) t WHERE rn = 1),
-N AS (SELECT * FROM desired_list WHERE title IS NOT NULL),
+                                  FROM {self.old} WHERE title IS NOT NULL) t WHERE rn = 1),
+N AS (SELECT * FROM {self.new} WHERE title IS NOT NULL),
 J AS (
   SELECT coalesce(E.title, N.title) AS title, E.title IS NOT NULL AS in_old, N.title IS NOT NULL AS in_new,
          E.list_id AS item_id, E.ids_with_access AS access_old,
-         {", ".join(f"E.{f} AS o_{f}, N.{f} AS n_{f}" for f in _ALL_FIELDS)},
-         {", ".join(f"E.{f} AS od_{f}" for f in _ALL_FIELDS if f != "qc_status")}, {_DECODE_QC} AS od_qc_status
+         {", ".join(f"{self.typed(f, 'E')} AS o_{f}, {self.typed(f, 'N')} AS n_{f}" for f in every)},
+         {", ".join(self.decoded(f) for f in every)}
   FROM E FULL OUTER JOIN N ON E.title = N.title
 ),
 C AS (
-  SELECT *, {", ".join(f"NOT ({_canon(f, _fmt(f, 'od_' + f))} IS NOT DISTINCT FROM {_canon(f, _fmt(f, 'n_' + f))}) AS ch_{f}"
-                        for f in _ALL_FIELDS)}
+  SELECT *, {", ".join(f"NOT ({self.canon(f, self.fmt(f, 'od_' + f))} IS NOT DISTINCT FROM {self.canon(f, self.fmt(f, 'n_' + f))}) AS ch_{f}"
+                        for f in every)}
   FROM J
 ),
 A AS (
   SELECT *, CASE WHEN in_new AND NOT in_old THEN 'add' WHEN in_old AND NOT in_new THEN 'delete'
-                 WHEN {" OR ".join(f"ch_{f}" for f in _ALL_FIELDS)} THEN 'update' ELSE '' END AS pre
+                 WHEN {" OR ".join(f"ch_{f}" for f in self.checked)} THEN 'update' ELSE '' END AS pre
   FROM C
 ),
 V AS (
-  SELECT *, {", ".join(f"CASE pre WHEN 'add' THEN {_fmt(f, 'n_' + f)} WHEN 'update' THEN CASE WHEN ch_{f} THEN {_fmt(f, 'n_' + f)} END "
-                        f"WHEN 'delete' THEN {_fmt(f, 'o_' + f)} END AS v_{f}" for f in _ALL_FIELDS)}
+  SELECT *, {", ".join(f"CASE pre WHEN 'add' THEN {self.fmt(f, 'n_' + f)} WHEN 'update' THEN CASE WHEN ch_{f} THEN {self.fmt(f, 'n_' + f)} END "
+                        f"WHEN 'delete' THEN {self.fmt(f, 'o_' + f)} END AS v_{f}" for f in every)}
   FROM A
 )"""
 
-sql("field_diff", ("existing_list", "desired_list"), f"""
-SELECT title, concat_ws(',', {", ".join(f"CASE WHEN ch_{f} THEN '{f}' END" for f in _ALL_FIELDS)}) AS changed_fields,
-       CAST({" + ".join(f"CAST(ch_{f} AS INT)" for f in _ALL_FIELDS)} AS BIGINT) AS n_changed
-FROM C WHERE in_old AND in_new AND ({" OR ".join(f"ch_{f}" for f in _ALL_FIELDS)})
-""", extra=CHANGE_CTES)
-
-sql("change_actions", ("existing_list", "desired_list"), """
-SELECT title, CASE WHEN pre = '' THEN 'none' ELSE pre END AS action FROM A
-""", extra=CHANGE_CTES)
-
-_KEPT_NO_ACCESS = " OR ".join(
-    (f"(v_{f} IS NOT NULL AND NOT isnan(v_{f}))" if f == "pending_value"
-     else f"(v_{f} IS NOT NULL AND {_strip('v_' + f)} NOT IN ('', 'nan', 'NaN', 'NAN'))") for f in _ALL_FIELDS)
-
-INSPECTION_CTES = CHANGE_CTES + f""",
-F AS (SELECT *, CASE WHEN pre = 'update' AND NOT ({_KEPT_NO_ACCESS}) THEN '' ELSE pre END AS action FROM V),
+    def no_access(self) -> str:
+        kept = " OR ".join(f"(v_{f} IS NOT NULL AND NOT isnan(v_{f}))" if f in self.numbers
+                           else f"(v_{f} IS NOT NULL AND {_strip('v_' + f)} NOT IN ('', 'nan', 'NaN', 'NAN'))" for f in self.checked)
+        return self.changes() + f""",
+F AS (SELECT *, CASE WHEN pre = 'update' AND NOT ({kept}) THEN '' ELSE pre END AS action FROM V),
 CS AS (
-  SELECT title, CAST(item_id AS BIGINT) AS list_id, {", ".join(f"{_clean(f, 'v_' + f)} AS {f}" for f in _ALL_FIELDS)},
+  SELECT title, CAST(item_id AS BIGINT) AS list_id, {", ".join(f"{self.clean(f, 'v_' + f)} AS {f}" for f in self.fields)},
          action, array_to_string(list_sort(list_distinct({_ADMINS})), '; ') AS add_user_ids,
          '' AS remove_user_ids, '' AS ids_with_access
   FROM F WHERE action <> ''
 )"""
 
-sql("change_set", ("existing_list", "desired_list"), "SELECT * FROM CS", extra=INSPECTION_CTES)
-sql("action_summary", ("existing_list", "desired_list"),
-    "SELECT action, COUNT(*) AS rows FROM CS GROUP BY action", extra=INSPECTION_CTES)
-
-
-def _blank(x: str) -> str:
-    return f"({x} IS NULL OR {_strip(x)} = '')"
-
-
-_OWNERS = ("final_poc", "sm")
-_GRANTS = ", ".join(f"CASE WHEN NOT {_blank('n_' + f)} THEN {_uid('n_' + f)} END" for f in _OWNERS)
-_REVOKES = ", ".join(
-    f"CASE WHEN NOT ({_canon_s('od_' + f)} IS NOT DISTINCT FROM {_canon_s('n_' + f)}) AND NOT {_blank('o_' + f)} "
-    f"THEN {_uid('o_' + f)} END" for f in _OWNERS)
-_HAVE = ("list_filter(list_transform(string_split_regex(coalesce(access_old, ''), '[,;]'), lambda t: trim(t)), "
-         "lambda t: t <> '')")
-_OWNER_IDS = ("list_filter(list_transform(list_filter(list_transform(list_concat("
-              + ", ".join(f"string_split_regex(coalesce(r_{f}, ''), '[,;]')" for f in _OWNERS)
-              + "), lambda t: trim(t)), lambda t: t <> ''), lambda t: " + _uid("t") + "), lambda x: x IS NOT NULL)")
-
-TRACKER_CTES = CHANGE_CTES + f""",
-X AS (SELECT *, list_filter([{_GRANTS}], lambda x: x IS NOT NULL) AS add_l,
-                list_filter([{_REVOKES}], lambda x: x IS NOT NULL) AS rem_l,
-                {_HAVE} AS have
+    def access(self) -> str:
+        grants = ", ".join(f"CASE WHEN NOT {_blank('n_' + f)} THEN {_uid('n_' + f)} END" for f in _OWNERS)
+        revokes = ", ".join(
+            f"CASE WHEN NOT ({_canon_s('od_' + f)} IS NOT DISTINCT FROM {_canon_s('n_' + f)}) AND NOT {_blank('o_' + f)} "
+            f"THEN {_uid('o_' + f)} END" for f in _OWNERS)
+        have = ("list_filter(list_transform(string_split_regex(coalesce(access_old, ''), '[,;]'), lambda t: trim(t)), "
+                "lambda t: t <> '')")
+        return self.changes() + f""",
+X AS (SELECT *, list_filter([{grants}], lambda x: x IS NOT NULL) AS add_l,
+                list_filter([{revokes}], lambda x: x IS NOT NULL) AS rem_l,
+                {have} AS have
       FROM V),
 Y AS (SELECT *,
         CASE WHEN in_old AND in_new
@@ -232,26 +228,48 @@ Y AS (SELECT *,
              ELSE CAST([] AS VARCHAR[]) END AS remp
       FROM X),
 Z AS (SELECT *, CASE WHEN pre = 'update' AND len(addp) = 0 AND len(remp) = 0
-                          AND NOT ({" OR ".join(f"v_{f} IS NOT NULL" for f in _ALL_FIELDS)}) THEN '' ELSE pre END AS action
+                          AND NOT ({" OR ".join(f"v_{f} IS NOT NULL" for f in self.checked)}) THEN '' ELSE pre END AS action
       FROM Y),
-R AS (SELECT *, {", ".join(f"coalesce(n_{f}, {_clean(f, 'v_' + f)}) AS r_{f}" for f in _OWNERS)}
+R AS (SELECT *, {", ".join(f"coalesce(n_{f}, {self.clean(f, 'v_' + f)}) AS r_{f}" for f in _OWNERS)}
       FROM Z WHERE action <> '')"""
 
-sql("access_delta", ("existing_list", "desired_list"), """
-SELECT title, action, array_to_string(addp, '; ') AS add_user_ids, array_to_string(remp, '; ') AS remove_user_ids
-FROM Z WHERE action <> ''
-""", extra=TRACKER_CTES)
-
-sql("access_final", ("existing_list", "desired_list"), f"""
-SELECT title, CAST(item_id AS BIGINT) AS list_id,
-       {", ".join((f"r_{f} AS {f}" if f in _OWNERS else f"{_clean(f, 'v_' + f)} AS {f}") for f in _ALL_FIELDS)},
+    def access_rows(self) -> str:
+        owner_ids = ("list_filter(list_transform(list_filter(list_transform(list_concat("
+                     + ", ".join(f"string_split_regex(coalesce(r_{f}, ''), '[,;]')" for f in _OWNERS)
+                     + "), lambda t: trim(t)), lambda t: t <> ''), lambda t: " + _uid("t") + "), lambda x: x IS NOT NULL)")
+        return f"""SELECT title, CAST(item_id AS BIGINT) AS list_id,
+       {", ".join((f"r_{f} AS {f}" if f in _OWNERS else f"{self.clean(f, 'v_' + f)} AS {f}") for f in self.fields)},
        action,
-       array_to_string(list_sort(list_distinct(list_concat(addp, {_OWNER_IDS}, {_ADMINS}))), '; ') AS add_user_ids,
+       array_to_string(list_sort(list_distinct(list_concat(addp, {owner_ids}, {_ADMINS}))), '; ') AS add_user_ids,
        array_to_string(remp, '; ') AS remove_user_ids,
        array_to_string(addp, '; ') AS ids_with_access
-FROM R
+FROM R"""
+
+
+_LISTS = ListSql(_ALL_FIELDS, floats=("pending_value",), dropdowns=("qc_status",))
+CHANGE_CTES, INSPECTION_CTES, TRACKER_CTES = _LISTS.changes(), _LISTS.no_access(), _LISTS.access()
+_LIST_VIEWS = ("existing_list", "desired_list")
+
+sql("field_diff", _LIST_VIEWS, f"""
+SELECT title, concat_ws(',', {", ".join(f"CASE WHEN ch_{f} THEN '{f}' END" for f in _ALL_FIELDS)}) AS changed_fields,
+       CAST({" + ".join(f"CAST(ch_{f} AS INT)" for f in _ALL_FIELDS)} AS BIGINT) AS n_changed
+FROM C WHERE in_old AND in_new AND ({" OR ".join(f"ch_{f}" for f in _ALL_FIELDS)})
+""", extra=CHANGE_CTES)
+
+sql("change_actions", _LIST_VIEWS, """
+SELECT title, CASE WHEN pre = '' THEN 'none' ELSE pre END AS action FROM A
+""", extra=CHANGE_CTES)
+
+sql("change_set", _LIST_VIEWS, "SELECT * FROM CS", extra=INSPECTION_CTES)
+sql("action_summary", _LIST_VIEWS, "SELECT action, COUNT(*) AS rows FROM CS GROUP BY action", extra=INSPECTION_CTES)
+
+sql("access_delta", _LIST_VIEWS, """
+SELECT title, action, array_to_string(addp, '; ') AS add_user_ids, array_to_string(remp, '; ') AS remove_user_ids
+FROM Z WHERE action <> ''
 """, extra=TRACKER_CTES)
 
+sql("access_final", _LIST_VIEWS, _LISTS.access_rows(), extra=TRACKER_CTES)
+
 
 # --- warehouse views ------------------------------------------------------------
 sql("document_projection", (), """
@@ -270,7 +288,7 @@ SELECT DISTINCT batch_id, batch_spd AS spd FROM planned_pickup WHERE batch_spd I
 """)
 
 sql("line_attributes", ("line_attributes",), """
-SELECT DISTINCT document_number || item || line_id AS otif_id, currency, deliver_to_location
+SELECT DISTINCT document_number || item || line_id AS rollup_id, currency, deliver_to_location
 FROM line_attributes
 WHERE CAST(try_strptime(date_created, '%d.%m.%Y %H:%M') AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-06-15'
 """)
@@ -316,7 +334,7 @@ ship_overview AS (
 sql("shipment_overview", _SHIP, "SELECT * FROM ship_overview", extra=SHIP_OVERVIEW)
 
 sql("open_confirmed", ("confirmations", "po_line_snapshots"), """
-SELECT DISTINCT c.po_number || c.item || c.line_id AS po_razin_id, c.confirmation_date
+SELECT DISTINCT c.po_number || c.item || c.line_id AS order_line_id, c.confirmation_date
 FROM confirmations c SEMI JOIN undelivered u ON u.document_number = c.po_number AND u.line_id = c.line_id
 WHERE coalesce(c.memo, '') <> 'internal_flow' AND c.final_status NOT IN ('Closed', 'Legacy Closed', 'Fully Billed')
 """, extra="""newest AS (
@@ -337,13 +355,13 @@ sql("line_enriched", _ENRICH_NEEDS, """
 SELECT t.document_number, t.ord, t.line_key, t.tracker, a.deliver_to_location, s.container_number,
        s.actual_arrival_date, s.telex_release_date_ffwp, s.ffw, p.spd
 FROM labelled t
-LEFT JOIN (SELECT otif_id, deliver_to_location FROM (
-             SELECT *, row_number() OVER (PARTITION BY otif_id ORDER BY deliver_to_location, currency) AS rn
-             FROM (SELECT DISTINCT document_number || item || line_id AS otif_id, currency, deliver_to_location
+LEFT JOIN (SELECT rollup_id, deliver_to_location FROM (
+             SELECT *, row_number() OVER (PARTITION BY rollup_id ORDER BY deliver_to_location, currency) AS rn
+             FROM (SELECT DISTINCT document_number || item || line_id AS rollup_id, currency, deliver_to_location
                    FROM line_attributes
                    WHERE CAST(try_strptime(date_created, '%d.%m.%Y %H:%M') AS DATE)
                          BETWEEN DATE '1996-01-01' AND DATE '1998-06-15') x) y WHERE rn = 1) a
-  ON t.line_key = a.otif_id
+  ON t.line_key = a.rollup_id
 LEFT JOIN ship_overview s ON t.inb = s.inb
 LEFT JOIN (SELECT DISTINCT batch_id, batch_spd AS spd FROM planned_pickup WHERE batch_spd IS NOT NULL) p
   ON t.batch_id = p.batch_id
@@ -355,11 +373,11 @@ TF AS (SELECT *, regexp_matches(tracker, 'G4|TLX|BP|SPD') AS bs, regexp_matches(
        FROM labelled WHERE tracker <> ''),
 CNT AS (SELECT document_number, COUNT(line_key) AS line_count FROM TF GROUP BY document_number),
 FC AS (SELECT TF.*, CNT.line_count FROM TF LEFT JOIN CNT ON TF.document_number = CNT.document_number),
-BL AS (SELECT batch_id, batch_id || ' - ' || array_to_string(list_sort(list_distinct(list(document_number))), ',')
-                 || ' - ' || CAST(MAX(line_count) AS VARCHAR) AS batch_label
+BL AS (SELECT batch_id, batch_id || ' - ' || array_to_string(list_sort(list_distinct(list(coalesce(document_number, 'nan')))), ',')
+                 || ' - ' || coalesce(CAST(MAX(line_count) AS VARCHAR), 'nan') AS batch_label
        FROM FC WHERE bs AND batch_id IS NOT NULL GROUP BY batch_id),
 DL AS (SELECT document_number, document_number || ' - ' || CAST(MAX(line_count) AS VARCHAR) AS doc_label
-       FROM FC WHERE ds GROUP BY document_number),
+       FROM FC WHERE ds AND document_number IS NOT NULL GROUP BY document_number),
 RL AS (SELECT FC.*, coalesce(BL.batch_label, DL.doc_label, FC.line_key) AS id_col
        FROM FC LEFT JOIN BL ON FC.batch_id = BL.batch_id LEFT JOIN DL ON FC.document_number = DL.document_number)"""
 
@@ -374,8 +392,8 @@ def _collapse_sql(group: str, where: str) -> str:
     doc = "document_number" if group == "document_number" else _set("document_number")
     batch = "CAST(NULL AS VARCHAR)" if group == "document_number" else "batch_id"
     return f"""
-SELECT first(id_col ORDER BY document_number, ord) FILTER (WHERE id_col IS NOT NULL) AS otif_id,
-       {_set('line_key')} AS po_razin_id, {batch} AS batch_id, {doc} AS document_number,
+SELECT first(id_col ORDER BY document_number, ord) FILTER (WHERE id_col IS NOT NULL) AS rollup_id,
+       {_set('line_key')} AS order_line_id, {batch} AS batch_id, {doc} AS document_number,
        first(tracker ORDER BY document_number, ord) FILTER (WHERE tracker IS NOT NULL) AS tracker,
        string_agg(coalesce(item, 'nan'), ',' ORDER BY document_number, ord) AS item,
        CAST(coalesce(SUM(quantity), 0) AS BIGINT) AS quantity,
@@ -393,9 +411,9 @@ sql("rollup_document", ("order_lines",), "SELECT * FROM CD", extra=COLLAPSE_CTES
 sql("rollup_dropped", ("order_lines",),
     "SELECT COUNT(*) AS dropped_lines FROM TF WHERE bs AND batch_id IS NULL AND NOT ds", extra=ROLLUP_CTES)
 sql("rollup_all", ("order_lines",), """
-SELECT otif_id, split_part(po_razin_id, ',', 1) AS po_razin_id, batch_id, document_number, tracker, item, quantity,
+SELECT rollup_id, split_part(order_line_id, ',', 1) AS order_line_id, batch_id, document_number, tracker, item, quantity,
        pending_value, current_status, sub_status
-FROM (SELECT line_key AS otif_id, line_key AS po_razin_id, batch_id, document_number, tracker, item, quantity,
+FROM (SELECT line_key AS rollup_id, line_key AS order_line_id, batch_id, document_number, tracker, item, quantity,
              round(pending_value, 2) AS pending_value, current_status, sub_status
       FROM RL WHERE NOT (bs OR ds)
       UNION ALL SELECT * FROM CB
@@ -403,6 +421,51 @@ FROM (SELECT line_key AS otif_id, line_key AS po_razin_id, batch_id, document_nu
 """, extra=COLLAPSE_CTES)
 
 
+# Roll-up rows by id: every line once per row that it belongs to, and per id once.
+_MEMBERS = """
+DR AS (SELECT document_number AS dr_doc, first(id_col ORDER BY document_number, ord) AS dr_id FROM RL
+       WHERE ds AND document_number IS NOT NULL GROUP BY document_number),
+M AS (
+  SELECT 'batch' AS scope, batch_id AS grp, id_col AS rid, batch_id AS b, RL.* FROM RL WHERE bs AND batch_id IS NOT NULL
+  UNION ALL SELECT 'document', document_number, dr_id, NULL, RL.* FROM RL JOIN DR ON document_number = dr_doc WHERE ds
+  UNION ALL SELECT 'line', line_key, line_key, batch_id, RL.* FROM RL WHERE NOT (bs OR ds)),
+ROWS_OF AS (SELECT rid, scope, CASE WHEN scope = 'line' THEN line_key || '#' || document_number || '#' || ord ELSE grp END AS one,
+                   COUNT(*) AS n FROM M GROUP BY ALL),
+COLLIDE AS (SELECT rid AS rollup_id, CAST(COUNT(*) AS BIGINT) AS rows, array_to_string(list_sort(list_distinct(list(scope))), ',') AS scopes,
+                   CAST(SUM(n) AS BIGINT) AS lines
+            FROM ROWS_OF GROUP BY rid HAVING COUNT(*) > 1),
+ONCE AS (SELECT * FROM M QUALIFY row_number() OVER (PARTITION BY rid, document_number, ord, line_key, item
+                                                    ORDER BY scope) = 1),
+MERGED AS (
+  SELECT rid AS rollup_id, split_part(""" + _set("line_key") + """, ',', 1) AS order_line_id,
+         first(b ORDER BY document_number, ord) FILTER (WHERE b IS NOT NULL) AS batch_id, """ + _set("document_number") + """ AS document_number,
+         first(tracker ORDER BY document_number, ord) FILTER (WHERE tracker IS NOT NULL) AS tracker,
+         string_agg(coalesce(item, 'nan'), ',' ORDER BY document_number, ord) AS item,
+         CAST(coalesce(SUM(quantity), 0) AS BIGINT) AS quantity, round(coalesce(SUM(pending_value), 0), 2) AS pending_value,
+         """ + ", ".join(f"{_set(c)} AS {c}" for c in ("current_status", "sub_status", "final_poc", "sm")) + """
+  FROM ONCE GROUP BY rid)"""
+
+
+def _merged(source: str) -> str:
+    return _labelled(source) + ROLLUP_CTES[len(LABELLED):] + "," + _MEMBERS
+
+
+def _nested(source: str, body: str) -> str:
+    """One roll-up as a subquery, so that two of them do not share names."""
+    return f"(WITH {_merged(source)} {body})"
+
+
+sql("rollup_collisions", ("order_lines",), "SELECT * FROM COLLIDE", extra=_merged("order_lines"))
+sql("rollup_merged", ("order_lines",), "SELECT * FROM MERGED", extra=_merged("order_lines"))
+
+_ROLLUP_LIST = ListSql(("order_line_id", "batch_id", "document_number", "tracker", "item", "quantity", "pending_value", "current_status",
+                        "sub_status", "final_poc", "sm"), floats=("pending_value",), numbers=("quantity",), unchecked=("order_line_id",),
+                       old="held", new="wanted")
+SYNC_CTES = f"""wanted AS MATERIALIZED {_nested("order_lines", "SELECT rollup_id AS title, * EXCLUDE (rollup_id) FROM MERGED")},
+held AS MATERIALIZED (
+  SELECT *, CASE list_id % 3 WHEN 0 THEN '101; 103' WHEN 1 THEN '102,104' END AS ids_with_access
+  FROM (SELECT *, CAST('0x' || substr(md5(title), 1, 12) AS BIGINT) AS list_id
+        FROM {_nested("previous_lines", "SELECT rollup_id AS title, * EXCLUDE (rollup_id) FROM MERGED")} p) q),"""
 # --- inspection flow ---------------------------------------------------------------
 _NORM = ("CASE WHEN line_id_raw IS NULL THEN 'nan' WHEN line_id_raw = '' THEN '0' "
          "ELSE regexp_replace(line_id_raw, '\\.0$', '') END")
@@ -411,15 +474,15 @@ _INTID = "coalesce(CAST(trunc(TRY_CAST(trim({x}) AS DOUBLE)) AS BIGINT), 0)"
 
 INSPECTION_BASE = f"""
 IL AS (SELECT * REPLACE ({_NORM} AS line_id), split_part(name, ' ', 1) AS vendor_id,
-              document_number || item || {_NORM} AS po_razin_id
+              document_number || item || {_NORM} AS order_line_id
        FROM order_lines),
-ES AS (SELECT po_razin_id, CAST(MIN(prd) - INTERVAL 10 DAY AS DATE) AS email_scheduled_for
-       FROM IL GROUP BY po_razin_id
+ES AS (SELECT order_line_id, CAST(MIN(prd) - INTERVAL 10 DAY AS DATE) AS email_scheduled_for
+       FROM IL GROUP BY order_line_id
        HAVING bool_or(coalesce({_NEAR} BETWEEN -90 AND 90, false)) AND MIN(prd) IS NOT NULL),
 SL AS (SELECT x.* EXCLUDE (rn), ES.email_scheduled_for
-       FROM (SELECT *, row_number() OVER (PARTITION BY po_razin_id ORDER BY ord) AS rn
-             FROM IL WHERE po_razin_id IN (SELECT po_razin_id FROM ES)) x
-       JOIN ES ON x.po_razin_id = ES.po_razin_id WHERE rn = 1),
+       FROM (SELECT *, row_number() OVER (PARTITION BY order_line_id ORDER BY ord) AS rn
+             FROM IL WHERE order_line_id IN (SELECT order_line_id FROM ES)) x
+       JOIN ES ON x.order_line_id = ES.order_line_id WHERE rn = 1),
 V1 AS (SELECT vid, name AS vendor_table_name, email AS vendor_email
        FROM (SELECT *, {_INTID.format(x='id')} AS vid,
                     row_number() OVER (PARTITION BY {_INTID.format(x='id')} ORDER BY email, name) AS rn
@@ -430,24 +493,24 @@ SLV AS (SELECT SL.*, {_INTID.format(x='SL.vendor_id')} AS vendor_id_num, V1.vend
 sql("email_schedule", ("order_lines",), "SELECT * FROM ES", extra=INSPECTION_BASE.split(",\nSL AS")[0])
 
 sql("vendor_join", ("order_lines", "vendors"), """
-SELECT po_razin_id, vendor_id_num AS vendor_id,
+SELECT order_line_id, vendor_id_num AS vendor_id,
        CASE WHEN strpos(name, ' ') > 0 THEN substr(name, strpos(name, ' ') + 1) END AS vendor_name, vendor_email
 FROM SLV
 """, extra=INSPECTION_BASE)
 
 sql("sent_flag", ("order_lines", "sent_ledger"), """
-SELECT po_razin_id,
-       CASE WHEN po_razin_id IN (SELECT line_key FROM sent_ledger WHERE line_key IS NOT NULL) THEN 'Yes' ELSE 'No' END
+SELECT order_line_id,
+       CASE WHEN order_line_id IN (SELECT line_key FROM sent_ledger WHERE line_key IS NOT NULL) THEN 'Yes' ELSE 'No' END
          AS sent_already
 FROM ES
 """, extra=INSPECTION_BASE.split(",\nSL AS")[0])
 
 sql("inspection_list", ("order_lines", "vendors", "sent_ledger"), """
-SELECT po_razin_id, batch_id, document_number,
-       CASE WHEN po_razin_id IN (SELECT line_key FROM sent_ledger WHERE line_key IS NOT NULL) THEN 'Yes' ELSE 'No' END
+SELECT order_line_id, batch_id, document_number,
+       CASE WHEN order_line_id IN (SELECT line_key FROM sent_ledger WHERE line_key IS NOT NULL) THEN 'Yes' ELSE 'No' END
          AS sent_already,
        strftime(email_scheduled_for, '%Y-%m-%d') AS email_scheduled_for, '' AS send_early,
-       strftime(prd, '%Y-%m-%d') AS prd, item AS razin, line_id, brand,
+       strftime(prd, '%Y-%m-%d') AS prd, item AS item_key, line_id, brand,
        CAST(vendor_id_num AS VARCHAR) AS vendor_id,
        CASE WHEN strpos(name, ' ') > 0 THEN substr(name, strpos(name, ' ') + 1) END AS vendor_name,
        vendor_email, compliance_status,
@@ -455,7 +518,7 @@ SELECT po_razin_id, batch_id, document_number,
        strftime(qc_date, '%Y-%m-%d') AS quality_control_date,
        current_status, sub_status, final_poc, sm,
        CASE WHEN sub_status IN ('17. QC Schedule Pending', '20a. QC Release Missing') THEN 'otif' ELSE '' END AS subset,
-       po_razin_id || CAST(vendor_id_num AS VARCHAR) AS key
+       order_line_id || CAST(vendor_id_num AS VARCHAR) AS key
 FROM SLV
 """, extra=INSPECTION_BASE)
 
@@ -479,14 +542,14 @@ BOOKING_CTES = INSPECTION_BASE.split(",\nES AS")[0] + f""",
 BASE AS (SELECT * FROM IL b
          WHERE NOT EXISTS (SELECT 1 FROM deny_list d WHERE d.document_number = b.document_number)
            AND NOT coalesce(contains(lower(qc_status), 'not applicable'), false)),
-CHK AS ({_checks('po_razin_id', 'BASE')}),
+CHK AS ({_checks('order_line_id', 'BASE')}),
 EARLY AS (SELECT title FROM qi_list WHERE {_EARLY} = 'Yes'),
-ELIG AS (SELECT po_razin_id, document_number, item, line_id, vendor_id, brand, DATE '1998-06-15' AS date_sent,
+ELIG AS (SELECT order_line_id, document_number, item, line_id, vendor_id, brand, DATE '1998-06-15' AS date_sent,
                 'No' AS resend
-         FROM BASE WHERE po_razin_id IN (SELECT po_razin_id FROM CHK UNION SELECT title FROM EARLY)),
+         FROM BASE WHERE order_line_id IN (SELECT order_line_id FROM CHK UNION SELECT title FROM EARLY)),
 SUB AS (SELECT * FROM BASE WHERE document_number IN (SELECT document_number FROM sent_ledger WHERE resend = 'No')),
 RDOCS AS ({_checks('document_number', 'SUB', 'prd IS DISTINCT FROM first_prd')}),
-RES AS (SELECT po_razin_id, document_number, item, line_id, vendor_id, brand, DATE '1998-06-15' AS date_sent,
+RES AS (SELECT order_line_id, document_number, item, line_id, vendor_id, brand, DATE '1998-06-15' AS date_sent,
                'Yes' AS resend
         FROM SUB WHERE document_number IN (SELECT document_number FROM RDOCS)),
 NEWL AS (SELECT * FROM (SELECT * FROM ELIG UNION ALL SELECT * FROM RES) c
@@ -504,10 +567,10 @@ sql("booking_forms", _BOOK,
     "SELECT DISTINCT document_number, item, concat_ws(' - ', document_number, item) AS sheet FROM NEWL",
     extra=BOOKING_CTES)
 sql("ledger_next", _BOOK, """
-SELECT line_key AS po_razin_id, document_number, item, line_id, CAST(try_strptime(date_sent, '%Y-%m-%d') AS DATE) AS date_sent,
+SELECT line_key AS order_line_id, document_number, item, line_id, CAST(try_strptime(date_sent, '%Y-%m-%d') AS DATE) AS date_sent,
        resend FROM sent_ledger
 UNION ALL
-SELECT po_razin_id, document_number, item, line_id, date_sent, resend FROM NEWL
+SELECT order_line_id, document_number, item, line_id, date_sent, resend FROM NEWL
 """, extra=BOOKING_CTES)
 
 _V1 = "V1 AS (" + INSPECTION_BASE.split("V1 AS (")[1].split(",\nSLV AS")[0]
@@ -516,9 +579,9 @@ SELECT f.document_number, '/inspection/attachments/' || f.document_number || '_Q
        {_INTID.format(x='f.vendor_id')} AS vendor_id, f.brand, V1.vendor_table_name AS vendor_name, V1.vendor_email
 FROM (SELECT *, row_number() OVER (PARTITION BY document_number
                                    ORDER BY CAST(resend = 'Yes' AS INT),
-                                            CASE WHEN resend = 'Yes' THEN document_number ELSE po_razin_id END,
+                                            CASE WHEN resend = 'Yes' THEN document_number ELSE order_line_id END,
                                             CASE WHEN resend = 'Yes' THEN line_id ELSE '' END,
-                                            po_razin_id, item, line_id, vendor_id, brand) AS rn
+                                            order_line_id, item, line_id, vendor_id, brand) AS rn
       FROM NEWL) f
 LEFT JOIN V1 ON {_INTID.format(x='f.vendor_id')} = V1.vid
 WHERE rn = 1
@@ -526,11 +589,8 @@ WHERE rn = 1
 
 
 # --- outbox ---------------------------------------------------------------------------
-_PAYLOAD_COLS = ("title",) + _ALL_FIELDS + ("ids_with_access",)
-
-
-def _pl_part(c: str) -> str:
-    if c == "pending_value":
+def _pl_part(c: str, numbers) -> str:
+    if c in numbers:
         return (f"CASE WHEN {c} IS NOT NULL AND NOT isnan({c}) "
                 f"THEN '\"{c}\":' || to_json(left(CAST({c} AS VARCHAR), 2000)) END")
     s = _strip(c)
@@ -539,7 +599,10 @@ def _pl_part(c: str) -> str:
             f"THEN '\"{c}\":' || to_json(left({s}, 2000)) END")
 
 
-_PAYLOAD = "'{' || concat_ws(',', " + ", ".join(_pl_part(c) for c in _PAYLOAD_COLS) + ") || '}'"
+def _payload(fields, numbers) -> str:
+    return "'{' || concat_ws(',', " + ", ".join(_pl_part(c, numbers) for c in ("title", *fields, "ids_with_access")) + ") || '}'"
+
+
 _IDS = "list_filter(list_transform(string_split(coalesce({c}, ''), ';'), lambda t: trim(t)), lambda t: t <> '')"
 _REQ_T = "STRUCT(kind VARCHAR, principal VARCHAR, payload VARCHAR)"
 
@@ -551,21 +614,24 @@ def _access_reqs(g: str, r: str) -> str:
             f"list_transform({r}, lambda u: {{'kind': 'revoke', 'principal': u, 'payload': NULL}}::{_REQ_T}))")
 
 
-_AF_SELECT = ORACLE["access_final"].split("\nSELECT title, CAST(item_id AS BIGINT) AS list_id,", 1)[1]
-OUTBOX_CTES = TRACKER_CTES + f""",
-AF AS (SELECT title, CAST(item_id AS BIGINT) AS list_id, {_AF_SELECT}),
+def _outbox(lists: ListSql) -> str:
+    return lists.access() + f""",
+AF AS ({lists.access_rows()}),
 OB AS (SELECT title,
               CASE WHEN list_id IS NULL THEN '' ELSE trim(CAST(list_id AS VARCHAR)) END AS item_id,
               lower(trim(action)) AS action,
               {_IDS.format(c='add_user_ids')} AS grants, {_IDS.format(c='remove_user_ids')} AS revokes,
-              {_PAYLOAD} AS payload,
+              {_payload(lists.fields, lists.numbers)} AS payload,
               row_number() OVER (ORDER BY CAST(action = 'delete' AS INT), title) AS row_no
        FROM AF),
 RQ AS (SELECT *, (row_no - 1) // 30 AS chunk_no FROM OB)"""
 
+
+OUTBOX_CTES = _outbox(_LISTS)
+
 sql("outbox_payload", ("existing_list", "desired_list"), "SELECT title, action, payload FROM OB", extra=OUTBOX_CTES)
 
-sql("outbox_requests", ("existing_list", "desired_list"), f"""
+_REQUESTS = f"""
 SELECT batch_no, chunk_no, row_no, CAST(i - 1 AS BIGINT) AS seq, reqs[i].kind AS kind, title, item_id,
        reqs[i].principal AS principal, reqs[i].payload AS payload
 FROM (SELECT chunk_no * 3 + CASE WHEN action = 'add' THEN 0 ELSE 2 END + 1 AS batch_no, chunk_no, row_no, title,
@@ -577,8 +643,8 @@ FROM (SELECT chunk_no * 3 + CASE WHEN action = 'add' THEN 0 ELSE 2 END + 1 AS ba
                   WHEN action = 'delete' AND item_id <> ''
                     THEN [{{'kind': 'delete', 'principal': NULL, 'payload': NULL}}::{_REQ_T}]
                   ELSE CAST([] AS {_REQ_T}[]) END AS reqs
-      FROM RQ) q, unnest(range(1, len(reqs) + 1)) AS t(i)
-""", extra=OUTBOX_CTES)
+      FROM RQ) q, unnest(range(1, len(reqs) + 1)) AS t(i)"""
+sql("outbox_requests", ("existing_list", "desired_list"), _REQUESTS, extra=OUTBOX_CTES)
 
 sql("outbox_summary", ("existing_list", "desired_list"), """
 SELECT chunk_no * 3 + CASE WHEN action = 'add' THEN 0 ELSE 2 END + 1 AS batch_no,
@@ -608,3 +674,17 @@ OKC AS (SELECT a.chunk_no FROM (SELECT chunk_no, COUNT(*) AS c FROM NEED GROUP B
 PR AS (SELECT n.*, CAST(r.item_id AS VARCHAR) AS new_item_id
        FROM NEED n JOIN RET r ON n.chunk_no = r.chunk_no AND n.position = r.position
        WHERE n.chunk_no IN (SELECT chunk_no FROM OKC))""")
+
+
+# --- end-to-end jobs ----------------------------------------------------------------------
+_SYNC = ("order_lines", "previous_lines")
+_SYNC_OUT = SYNC_CTES + _outbox(_ROLLUP_LIST)
+sql("tracked_sync", _SYNC, _REQUESTS, extra=_SYNC_OUT)
+sql("tracked_sync_changes", _SYNC, "SELECT * FROM AF", extra=_SYNC_OUT)
+sql("tracked_sync_report", _SYNC, f"""
+SELECT 'change_set' AS output, action AS detail, COUNT(*) AS rows FROM AF GROUP BY action
+UNION ALL SELECT 'requests', kind, COUNT(*) FROM ({_REQUESTS}) r GROUP BY kind
+UNION ALL SELECT 'batches', '', COUNT(DISTINCT chunk_no * 3 + CASE WHEN action = 'add' THEN 0 ELSE 2 END) FROM RQ
+UNION ALL SELECT 'collisions', '', COUNT(*) FROM {_nested("order_lines", "SELECT * FROM COLLIDE")} c
+UNION ALL SELECT 'dropped', '', COUNT(*) FROM {_nested("order_lines", "SELECT * FROM TF WHERE bs AND batch_id IS NULL AND NOT ds")} d
+""", extra=_SYNC_OUT)

@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podelta.config import INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, TRACKER_LIST
+from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, ROLLUP_LIST, TRACKER_LIST)
 from podelta.functions import exprs as X
 from podelta.operators import changeset, inspection, lookups, outbox, rollup, rules, views
+from podelta.plans import sync
 from podelta.session import ensure_checkpoint_dir
 from podelta.sources.fixtures import AS_OF, register_fixtures
 
@@ -70,8 +71,8 @@ def line_key_columns(df: DataFrame) -> DataFrame:
         vendor_id.alias("vendor_id"),
         X.after_first_token("name").alias("vendor_name"),
         line_id.alias("line_id"),
-        X.concat_key("document_number", "item", line_id).alias("po_razin_id"),
-        X.concat_key("document_number", "item", vendor_id).alias("po_razin_vendor"),
+        X.concat_key("document_number", "item", line_id).alias("order_line_id"),
+        X.concat_key("document_number", "item", vendor_id).alias("vendor_line_id"),
         X.membership_label("sub_status", INSPECTION_SUBSET_STATUSES, INSPECTION_SUBSET_LABEL).alias("subset"),
     )
 
@@ -234,7 +235,7 @@ def line_enriched(spark):
     """Tracked lines with delivery location, shipment fields and planned pickup date."""
     lines = tracked_lines(spark)
     attrs = views.line_attribute_rows(T(spark, "line_attributes"), ATTRIBUTES_SINCE, AS_OF)
-    out = lookups.first_match_lookup(lines, attrs, "line_key", "otif_id", ["deliver_to_location"],
+    out = lookups.first_match_lookup(lines, attrs, "line_key", "rollup_id", ["deliver_to_location"],
                                      order=["deliver_to_location", "currency"])
     ship = _overview(spark)
     out = lookups.unique_lookup(out, ship, "inb", "inb",
@@ -265,7 +266,7 @@ def _collapsed(spark, scope: str, rows: DataFrame | None = None) -> DataFrame:
                                sum_cols=("quantity", "pending_value"), first_cols=("tracker", "id_col"),
                                ordered_cols=("item",), set_cols=("line_key", "current_status", "sub_status"))
         coll = coll.withColumn("batch_id", F.lit(None).cast("string"))
-    return coll.select(F.col("id_col").alias("otif_id"), F.col("line_key").alias("po_razin_id"), "batch_id",
+    return coll.select(F.col("id_col").alias("rollup_id"), F.col("line_key").alias("order_line_id"), "batch_id",
                        "document_number", "tracker", "item", "quantity",
                        F.round("pending_value", 2).alias("pending_value"), "current_status", "sub_status")
 
@@ -296,11 +297,56 @@ def rollup_all(spark):
     ensure_checkpoint_dir(spark)
     rows = rollup.label_rows(tracked_lines(spark)).checkpoint(eager=True)
     rest = rows.where(~(F.col("batch_scope") | F.col("document_scope"))).select(
-        F.col("line_key").alias("otif_id"), F.col("line_key").alias("po_razin_id"), "batch_id", "document_number",
+        F.col("line_key").alias("rollup_id"), F.col("line_key").alias("order_line_id"), "batch_id", "document_number",
         "tracker", "item", "quantity", F.round("pending_value", 2).alias("pending_value"),
         "current_status", "sub_status")
     allrows = rest.unionByName(_collapsed(spark, "batch", rows)).unionByName(_collapsed(spark, "document", rows))
-    return allrows.withColumn("po_razin_id", F.split_part(F.col("po_razin_id"), F.lit(","), F.lit(1)))
+    return allrows.withColumn("order_line_id", F.split_part(F.col("order_line_id"), F.lit(","), F.lit(1)))
+
+
+@query("rollup_collisions", ("order_lines",))
+def rollup_collisions(spark):
+    """Ids that several roll-up rows share (a line in both scopes, documents under one batch label, repeated line keys)."""
+    return rollup.collisions(rollup.memberships(sync.labelled_rows(T(spark, "order_lines"))))
+
+
+@query("rollup_merged", ("order_lines",))
+def rollup_merged(spark):
+    """U5-U8 with one row per id: rows that share an id are collapsed anew from their distinct lines."""
+    return sync.merged_rows(sync.pinned(rollup.memberships(sync.labelled_rows(T(spark, "order_lines")))))
+
+
+def held_rollup_list(spark) -> DataFrame:
+    """The held list as the run before left it: its roll-up, with the ids and readers that the list gave its items."""
+    rows = sync.desired_list(T(spark, "previous_lines"), ROLLUP_LIST)
+    item = F.conv(F.substring(F.md5(F.col("title").cast("binary")), 1, 12), 16, 10).cast("bigint")
+    return rows.withColumn("list_id", item).withColumn(
+        "ids_with_access", F.when(F.col("list_id") % 3 == 0, "101; 103").when(F.col("list_id") % 3 == 1, "102,104"))
+
+
+def _tracked_sync(spark) -> dict[str, DataFrame]:
+    return sync.tracked_sync(T(spark, "order_lines"), held_rollup_list(spark), ROLLUP_LIST)
+
+
+SYNC_INPUTS = ("order_lines", "previous_lines")
+
+
+@query("tracked_sync", SYNC_INPUTS)
+def tracked_sync(spark):
+    """C1/U8 end to end: numbered requests that bring the held list to the merged roll-up of today's lines."""
+    return _tracked_sync(spark)["requests"]
+
+
+@query("tracked_sync_changes", SYNC_INPUTS)
+def tracked_sync_changes(spark):
+    """C1/U8 end to end: the change set behind those requests."""
+    return _tracked_sync(spark)["change_set"]
+
+
+@query("tracked_sync_report", SYNC_INPUTS)
+def tracked_sync_report(spark):
+    """Rows of every output of the tracked-lines job."""
+    return sync.report(_tracked_sync(spark))
 
 
 # --- inspection flow ------------------------------------------------------------
@@ -322,7 +368,7 @@ def email_schedule(spark):
 def vendor_join(spark):
     """Vendor contact of every scheduled line key."""
     rows = inspection.vendor_join(inspection.scheduled_lines(_ilines(spark), AS_OF), T(spark, "vendors"))
-    return rows.select("po_razin_id", F.col("vendor_id_num").alias("vendor_id"),
+    return rows.select("order_line_id", F.col("vendor_id_num").alias("vendor_id"),
                        X.after_first_token("name").alias("vendor_name"), "vendor_email")
 
 
@@ -330,8 +376,8 @@ def vendor_join(spark):
 def sent_flag(spark):
     """Whether each scheduled key was already sent."""
     sched = inspection.email_schedule(_ilines(spark), AS_OF)
-    return lookups.membership_flag(sched, T(spark, "sent_ledger"), "po_razin_id", "line_key",
-                                   "sent_already").select("po_razin_id", "sent_already")
+    return lookups.membership_flag(sched, T(spark, "sent_ledger"), "order_line_id", "line_key",
+                                   "sent_already").select("order_line_id", "sent_already")
 
 
 @query("inspection_list", ("order_lines", "vendors", "sent_ledger"))

@@ -59,6 +59,15 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey
 SELECT *, TIMESTAMP '1998-06-15 06:00:00' AS snapshot_ts FROM order_lines
 UNION ALL
 SELECT *, TIMESTAMP '1998-06-14 06:00:00' AS snapshot_ts FROM order_lines WHERE ord > 1
+""", ("order_lines",)),
+    # What the lines were at the run before: some batches are new since, some have other documents, quantities and owners changed.
+    "previous_lines": ("""
+SELECT CASE WHEN k % 500 % 13 = 0 THEN 'X' || document_number ELSE document_number END AS document_number, item, line_id_raw, line_id,
+       CASE WHEN k % 500 % 13 = 0 THEN 'X' || line_key ELSE line_key END AS line_key, name, brand, batch_id, inb, prd, first_prd,
+       invoice_number, current_status, sub_status, compliance_status, qc_status, qc_date, im_signoff,
+       CASE WHEN k % 6 = 0 THEN quantity + 1 ELSE quantity END AS quantity, pending_value,
+       CASE WHEN k % 5 = 0 THEN 'User1' ELSE final_poc END AS final_poc, sm, ord
+FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k FROM order_lines) t WHERE k % 10 <> 0
 """, ("order_lines",)),
     "desired_list": ("""
 SELECT line_key AS title, current_status, sub_status, CAST(quantity AS STRING) AS quantity, pending_value, qc_status, final_poc, sm

@@ -72,7 +72,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 # S7 -------------------------------------------------------------------------
 def append_ledger(new_lines: DataFrame, path: str) -> None:
     """Append only this run's new lines to the ledger (the old rows stay where they are)."""
-    rows = new_lines.select(F.col("po_razin_id").alias("line_key"), "document_number", "item", "line_id",
+    rows = new_lines.select(F.col("order_line_id").alias("line_key"), "document_number", "item", "line_id",
                             F.date_format("date_sent", "yyyy-MM-dd").alias("date_sent"), "resend")
     rows.write.mode("append").option("header", True).csv(path)
 

@@ -31,7 +31,7 @@ def test_ledger_missing_then_append(spark):
     empty = io.read_ledger(spark, path)
     assert empty.count() == 0 and "resend" in empty.columns
     new = spark.createDataFrame([("K1", "D1", "I1", "1", dt.date(2024, 1, 2), "No")],
-                                "po_razin_id string, document_number string, item string, line_id string, "
+                                "order_line_id string, document_number string, item string, line_id string, "
                                 "date_sent date, resend string")
     io.append_ledger(new, path)
     io.append_ledger(new, path)

@@ -98,12 +98,10 @@ def test_keep_first_is_deterministic_and_keeps_null_keys(spark):
 def test_unique_lookup_raises_on_duplicates(spark):
     left = spark.createDataFrame([("a",)], "k string")
     right = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
-    try:
-        lookups.unique_lookup(left, right, "k", "k", ["v"])
-    except lookups.DuplicateKeyError:
-        pass
-    else:
-        raise AssertionError("duplicate right key must raise")
+    joined = lookups.unique_lookup(left, right, "k", "k", ["v"])  # no job yet
+    with pytest.raises(Exception, match="lookup key k repeats: a"):
+        joined.collect()
+    assert _rows(lookups.unique_lookup(left, right.where("v = 1"), "k", "k", ["v"]), "k", "v") == [("a", 1)]
     assert lookups.unique_lookup(left, right, "k", "k", ["v"], on_duplicate="first", order=["v"]).first()["v"] == 1
 
 
@@ -243,8 +241,8 @@ def test_booking_checks(spark):
 
 def test_email_schedule(spark):
     rows = [("k1", dt.date(2024, 3, 1)), ("k1", dt.date(2023, 1, 1)), ("k2", dt.date(2025, 1, 1)), ("k3", None)]
-    df = spark.createDataFrame(rows, "po_razin_id string, prd date")
-    got = _rows(inspection.email_schedule(df, "2024-01-10"), "po_razin_id", "email_scheduled_for")
+    df = spark.createDataFrame(rows, "order_line_id string, prd date")
+    got = _rows(inspection.email_schedule(df, "2024-01-10"), "order_line_id", "email_scheduled_for")
     assert got == [("k1", dt.date(2022, 12, 22))]
 
 
@@ -355,6 +353,6 @@ def test_number_texts(spark):
 
 def test_bad_date_text_counts_as_none(spark):
     from podelta.operators import inspection
-    df = spark.createDataFrame([("a", "2020-01-10"), ("a", "soon"), ("b", "soon")], "po_razin_id string, prd string")
+    df = spark.createDataFrame([("a", "2020-01-10"), ("a", "soon"), ("b", "soon")], "order_line_id string, prd string")
     got = inspection.email_schedule(df, "2020-01-01").collect()
     assert [(r[0], str(r[1])) for r in got] == [("a", "2019-12-31")]
