@@ -183,3 +183,18 @@ ROLLUP_LIST = ListSpec(
             FieldSpec("sm")),
     item_level_access=True, identity_columns=("final_poc", "sm"), refill_columns=("final_poc", "sm"), admin_ids=(101, 119),
     user_ids=fixture_user_ids())
+
+# The inspection list's 26 fields and the columns that fill them.  ``item`` is claimed twice, so the later field
+# wins, and as the inspection frame calls that column ``item_key``, the earlier field is filled by its own name.
+INSPECTION_MAP = (
+    ("title", "order_line_id"), ("qi_result", "quality_control_status"), ("qi_date", "quality_control_date"), ("prd", "prd"),
+    ("batch_id", "batch_id"), ("item_key", "item"), ("line_id", "line_id"), ("brand", "brand"),
+    ("compliance_status", "compliance_status"), ("vendor_id", "vendor_id"), ("vendor_name", "vendor_name"),
+    ("current_status", "current_status"), ("sub_status", "sub_status"), ("days_bucket", "days_bucket"), ("final_team", "final_team"),
+    ("final_poc", "final_poc"), ("cm", "cm"), ("sm", "sm"), ("name", "name"), ("document_number", "document_number"),
+    ("item", "item"), ("subset", "subset"), ("sent_already", "sent_already"), ("email_scheduled_for", "email_scheduled_for"),
+    ("vendor_email", "vendor_email"), ("sm_email", "sm_email"),
+)
+INSPECTION_WIDE = ListSpec(
+    fields=tuple(FieldSpec(f, source, update_check=f != "title", dropdown=f == "qi_result") for f, source in INSPECTION_MAP),
+    identity_columns=("final_poc", "sm"), admin_ids=(101, 119), user_ids=fixture_user_ids())

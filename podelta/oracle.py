@@ -483,11 +483,11 @@ SL AS (SELECT x.* EXCLUDE (rn), ES.email_scheduled_for
        FROM (SELECT *, row_number() OVER (PARTITION BY order_line_id ORDER BY ord) AS rn
              FROM IL WHERE order_line_id IN (SELECT order_line_id FROM ES)) x
        JOIN ES ON x.order_line_id = ES.order_line_id WHERE rn = 1),
-V1 AS (SELECT vid, name AS vendor_table_name, email AS vendor_email
+V1 AS (SELECT vid, name AS vendor_table_name, email AS vendor_email, cm_email, sm_email
        FROM (SELECT *, {_INTID.format(x='id')} AS vid,
                     row_number() OVER (PARTITION BY {_INTID.format(x='id')} ORDER BY email, name) AS rn
              FROM vendors) v WHERE rn = 1),
-SLV AS (SELECT SL.*, {_INTID.format(x='SL.vendor_id')} AS vendor_id_num, V1.vendor_table_name, V1.vendor_email
+SLV AS (SELECT SL.*, {_INTID.format(x='SL.vendor_id')} AS vendor_id_num, V1.vendor_table_name, V1.vendor_email, V1.cm_email, V1.sm_email
         FROM SL LEFT JOIN V1 ON {_INTID.format(x='SL.vendor_id')} = V1.vid)"""
 
 sql("email_schedule", ("order_lines",), "SELECT * FROM ES", extra=INSPECTION_BASE.split(",\nSL AS")[0])
@@ -505,7 +505,7 @@ SELECT order_line_id,
 FROM ES
 """, extra=INSPECTION_BASE.split(",\nSL AS")[0])
 
-sql("inspection_list", ("order_lines", "vendors", "sent_ledger"), """
+_INSPECTION_ROWS = """
 SELECT order_line_id, batch_id, document_number,
        CASE WHEN order_line_id IN (SELECT line_key FROM sent_ledger WHERE line_key IS NOT NULL) THEN 'Yes' ELSE 'No' END
          AS sent_already,
@@ -513,14 +513,14 @@ SELECT order_line_id, batch_id, document_number,
        strftime(prd, '%Y-%m-%d') AS prd, item AS item_key, line_id, brand,
        CAST(vendor_id_num AS VARCHAR) AS vendor_id,
        CASE WHEN strpos(name, ' ') > 0 THEN substr(name, strpos(name, ' ') + 1) END AS vendor_name,
-       vendor_email, compliance_status,
+       vendor_email, cm_email, sm_email, '' AS list_id, compliance_status,
        regexp_replace(qc_status, '^\\d+\\s*\\|?\\s*', '') AS quality_control_status,
        strftime(qc_date, '%Y-%m-%d') AS quality_control_date,
-       current_status, sub_status, final_poc, sm,
+       current_status, sub_status, days_bucket, final_team, final_poc, cm, sm, '' AS name,
        CASE WHEN sub_status IN ('17. QC Schedule Pending', '20a. QC Release Missing') THEN 'otif' ELSE '' END AS subset,
        order_line_id || CAST(vendor_id_num AS VARCHAR) AS key
-FROM SLV
-""", extra=INSPECTION_BASE)
+FROM SLV"""
+sql("inspection_list", ("order_lines", "vendors", "sent_ledger"), _INSPECTION_ROWS, extra=INSPECTION_BASE)
 
 
 def _checks(key: str, src: str, where: str = "TRUE") -> str:
@@ -574,9 +574,10 @@ SELECT order_line_id, document_number, item, line_id, date_sent, resend FROM NEW
 """, extra=BOOKING_CTES)
 
 _V1 = "V1 AS (" + INSPECTION_BASE.split("V1 AS (")[1].split(",\nSLV AS")[0]
-sql("booking_log", _BOOK + ("vendors",), f"""
+_LOG = f"""
 SELECT f.document_number, '/inspection/attachments/' || f.document_number || '_QI_Booking_Form.xlsx' AS directory,
-       {_INTID.format(x='f.vendor_id')} AS vendor_id, f.brand, V1.vendor_table_name AS vendor_name, V1.vendor_email
+       {_INTID.format(x='f.vendor_id')} AS vendor_id, f.brand, V1.vendor_table_name AS vendor_name, V1.vendor_email,
+       V1.cm_email, V1.sm_email
 FROM (SELECT *, row_number() OVER (PARTITION BY document_number
                                    ORDER BY CAST(resend = 'Yes' AS INT),
                                             CASE WHEN resend = 'Yes' THEN document_number ELSE order_line_id END,
@@ -585,7 +586,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY document_number
       FROM NEWL) f
 LEFT JOIN V1 ON {_INTID.format(x='f.vendor_id')} = V1.vid
 WHERE rn = 1
-""", extra=BOOKING_CTES + ",\n" + _V1)
+"""
+sql("booking_log", _BOOK + ("vendors",), _LOG, extra=BOOKING_CTES + ",\n" + _V1)
 
 
 # --- outbox ---------------------------------------------------------------------------
@@ -688,3 +690,23 @@ UNION ALL SELECT 'batches', '', COUNT(DISTINCT chunk_no * 3 + CASE WHEN action =
 UNION ALL SELECT 'collisions', '', COUNT(*) FROM {_nested("order_lines", "SELECT * FROM COLLIDE")} c
 UNION ALL SELECT 'dropped', '', COUNT(*) FROM {_nested("order_lines", "SELECT * FROM TF WHERE bs AND batch_id IS NULL AND NOT ds")} d
 """, extra=_SYNC_OUT)
+
+_INSPECTION_WIDE = ListSql(("qi_result", "qi_date", "prd", "batch_id", "item_key", "line_id", "brand", "compliance_status", "vendor_id",
+                            "vendor_name", "current_status", "sub_status", "days_bucket", "final_team", "final_poc", "cm", "sm", "name",
+                            "document_number", "item", "subset", "sent_already", "email_scheduled_for", "vendor_email", "sm_email"),
+                           dropdowns=("qi_result",), old="held_inspections", new="wanted")
+_QI = ("order_lines", "vendors", "sent_ledger", "deny_list", "held_inspections")
+# The list calls two columns by other names, and no inspection column is called item.
+_QI_OUT = INSPECTION_BASE.strip() + f""",
+wanted AS (SELECT order_line_id AS title, quality_control_status AS qi_result, quality_control_date AS qi_date,
+                  CAST(NULL AS VARCHAR) AS item, * EXCLUDE (order_line_id, quality_control_status, quality_control_date)
+           FROM ({_INSPECTION_ROWS}) i),""" + _INSPECTION_WIDE.no_access()
+_QI_BOOKINGS = ",\nBASE AS" + BOOKING_CTES.split("BASE AS", 1)[1].replace("FROM qi_list", "FROM held_inspections")
+sql("inspection_sync", _QI, "SELECT * FROM CS", extra=_QI_OUT)
+sql("inspection_sync_report", _QI, f"""
+SELECT 'change_set' AS output, action AS detail, COUNT(*) AS rows FROM CS GROUP BY action
+UNION ALL SELECT 'new_lines', '', COUNT(*) FROM NEWL
+UNION ALL SELECT 'ledger', '', (SELECT COUNT(*) FROM sent_ledger) + (SELECT COUNT(*) FROM NEWL)
+UNION ALL SELECT 'log', '', COUNT(*) FROM ({_LOG}) l
+UNION ALL SELECT 'forms', '', COUNT(*) FROM (SELECT DISTINCT document_number, item FROM NEWL) f
+""", extra=_QI_OUT + _QI_BOOKINGS)

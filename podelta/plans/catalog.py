@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, ROLLUP_LIST, TRACKER_LIST)
+from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, INSPECTION_WIDE, ROLLUP_LIST,
+                            TRACKER_LIST)
 from podelta.functions import exprs as X
 from podelta.operators import changeset, inspection, lookups, outbox, rollup, rules, views
 from podelta.plans import sync
@@ -437,6 +438,26 @@ def ledger_next(spark):
     return inspection.ledger_next(T(spark, "sent_ledger"), _new_lines(spark))
 
 
+def _inspection_sync(spark) -> dict[str, DataFrame]:
+    return sync.inspection_sync(T(spark, "order_lines"), T(spark, "vendors"), T(spark, "sent_ledger"), T(spark, "deny_list"),
+                                T(spark, "held_inspections"), INSPECTION_WIDE, AS_OF, ATTACHMENT_BASE)
+
+
+INSPECTION_SYNC_INPUTS = ("order_lines", "vendors", "sent_ledger", "deny_list", "held_inspections")
+
+
+@query("inspection_sync", INSPECTION_SYNC_INPUTS)
+def inspection_sync(spark):
+    """Q1 and C1 end to end: the change set of the inspection list over its 26 fields."""
+    return _inspection_sync(spark)["change_set"]
+
+
+@query("inspection_sync_report", INSPECTION_SYNC_INPUTS)
+def inspection_sync_report(spark):
+    """Rows of every output of the inspection job: change set, new booking lines, ledger, send log, forms."""
+    return sync.report(_inspection_sync(spark))
+
+
 # --- outbox ---------------------------------------------------------------------
 
 RESERVED_EXTRA = ("list_id", "add_user_ids", "remove_user_ids")

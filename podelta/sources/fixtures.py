@@ -51,6 +51,9 @@ SELECT 'PO' || CAST(l_orderkey AS STRING) AS document_number,
        l_extendedprice AS pending_value,
        'User' || CAST(l_suppkey % 20 AS STRING) AS final_poc,
        'User' || CAST(l_orderkey % 20 AS STRING) AS sm,
+       'User' || CAST(l_partkey % 20 AS STRING) AS cm,
+       CASE CAST(l_partkey % 3 AS INT) WHEN 0 THEN '0-7' WHEN 1 THEN '8-30' ELSE '30+' END AS days_bucket,
+       'Team ' || CAST(l_suppkey % 4 AS STRING) AS final_team,
        CAST(ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
                                l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS BIGINT) AS ord
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
@@ -89,9 +92,12 @@ FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k,
 WHERE rn = 1 AND k % 10 <> 0
 """, ("order_lines",)),
     "vendors": ("""
-SELECT CAST(s_suppkey AS STRING) AS id, s_name AS name, LOWER(s_name) || '@example.com' AS email FROM supplier WHERE s_suppkey % 4 <> 0
+SELECT CAST(s_suppkey AS STRING) AS id, s_name AS name, LOWER(s_name) || '@example.com' AS email,
+       CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE 'cm' || CAST(s_suppkey % 20 AS STRING) || '@example.com' END AS cm_email,
+       'sm' || CAST(s_suppkey % 9 AS STRING) || '@example.com' AS sm_email
+FROM supplier WHERE s_suppkey % 4 <> 0
 UNION ALL
-SELECT CAST(s_suppkey AS STRING), s_name, 'zz-second@example.com' FROM supplier WHERE s_suppkey % 5 = 0
+SELECT CAST(s_suppkey AS STRING), s_name, 'zz-second@example.com', 'zz-cm@example.com', NULL FROM supplier WHERE s_suppkey % 5 = 0
 """, ()),
     "sent_ledger": ("""
 SELECT DISTINCT line_key, document_number, item, line_id, '1998-06-01' AS date_sent, 'No' AS resend
@@ -146,6 +152,24 @@ FROM order_line_snapshots
 """, ("order_line_snapshots",)),
     "deny_list": ("""
 SELECT DISTINCT document_number FROM order_lines WHERE CAST(SUBSTR(document_number, 3) AS BIGINT) % 17 = 0
+""", ("order_lines",)),
+    "held_inspections": ("""
+SELECT CASE WHEN k % 13 = 0 THEN 'OLD' || line_key ELSE line_key END AS title, k * 100 + ord AS list_id,
+       CASE WHEN qc_status IS NULL THEN NULL WHEN k % 7 = 0 THEN '{"Value":"Pending"}'
+            ELSE '{"Value":"' || SUBSTR(qc_status, 5) || '"}' END AS qi_result,
+       CAST(qc_date AS STRING) AS qi_date, CASE WHEN k % 9 = 0 THEN 'soon' ELSE CAST(prd AS STRING) END AS prd, batch_id,
+       item AS item_key, line_id, brand, compliance_status, SUBSTR(name, 1, INSTR(name, ' ') - 1) AS vendor_id,
+       SUBSTR(name, INSTR(name, ' ') + 1) AS vendor_name,
+       CASE WHEN k % 6 = 0 THEN '01. Earlier' ELSE current_status END AS current_status, sub_status, days_bucket, final_team,
+       CASE WHEN k % 5 = 0 THEN 'User1' ELSE final_poc END AS final_poc, cm, sm, '' AS name, document_number,
+       CAST(NULL AS STRING) AS item, '' AS subset, 'No' AS sent_already, CAST(prd AS STRING) AS email_scheduled_for,
+       LOWER(SUBSTR(name, INSTR(name, ' ') + 1)) || '@example.com' AS vendor_email, 'sm1@example.com' AS sm_email,
+       CAST(NULL AS STRING) AS ids_with_access,
+       CASE CAST((k * 100 + ord) % 7 AS INT) WHEN 0 THEN '{''Value'': ''Yes'', ''Id'': 1}' WHEN 1 THEN '{''Value'': ''No'', ''Id'': 2}'
+         WHEN 2 THEN 'Yes' ELSE NULL END AS send_early
+FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k,
+             ROW_NUMBER() OVER (PARTITION BY line_key ORDER BY ord) AS rn FROM order_lines) t
+WHERE rn = 1 AND k % 10 <> 0
 """, ("order_lines",)),
     "qi_list": ("""
 SELECT title,

@@ -19,7 +19,8 @@ LEDGER_SCHEMA = StructType([
     StructField("date_sent", StringType()), StructField("resend", StringType()),
 ])
 VENDOR_SCHEMA = StructType([StructField("id", StringType()), StructField("name", StringType()),
-                            StructField("email", StringType())])
+                            StructField("email", StringType()), StructField("cm_email", StringType()),
+                            StructField("sm_email", StringType())])
 
 
 def list_schema(spec: ListSpec, extra=()) -> StructType:
