@@ -7,7 +7,7 @@ pre-registered tables.
 
 from __future__ import annotations
 
-from podelta.config import LAST_LABEL, NOT_BLANK, TRACKER_RULES
+from podelta.config import INSPECTION_MAP, LAST_LABEL, NOT_BLANK, TRACKED_DANGLING, TRACKED_MAP, TRACKER_RULES
 from podelta.sources.fixtures import cte_chain
 
 ORACLE: dict[str, str] = {}
@@ -601,8 +601,9 @@ def _pl_part(c: str, numbers) -> str:
             f"THEN '\"{c}\":' || to_json(left({s}, 2000)) END")
 
 
-def _payload(fields, numbers) -> str:
-    return "'{' || concat_ws(',', " + ", ".join(_pl_part(c, numbers) for c in ("title", *fields, "ids_with_access")) + ") || '}'"
+def _payload(fields, numbers, around=("title", "ids_with_access")) -> str:
+    columns = (*around[:1], *fields, *around[1:])
+    return "'{' || concat_ws(',', " + ", ".join(_pl_part(c, numbers) for c in columns) + ") || '}'"
 
 
 _IDS = "list_filter(list_transform(string_split(coalesce({c}, ''), ';'), lambda t: trim(t)), lambda t: t <> '')"
@@ -710,3 +711,58 @@ UNION ALL SELECT 'ledger', '', (SELECT COUNT(*) FROM sent_ledger) + (SELECT COUN
 UNION ALL SELECT 'log', '', COUNT(*) FROM ({_LOG}) l
 UNION ALL SELECT 'forms', '', COUNT(*) FROM (SELECT DISTINCT document_number, item FROM NEWL) f
 """, extra=_QI_OUT + _QI_BOOKINGS)
+
+
+# --- lists of many fields -----------------------------------------------------------------
+_KINDS = {f: kind for f, _, kind in TRACKED_MAP}
+_LAST = {source: f for f, source, _ in TRACKED_MAP}
+_TRACKED_WIDE = ListSql(tuple(f for f in _KINDS if f != "title"), floats=tuple(f for f, k in _KINDS.items() if k == "float"),
+                        numbers=tuple(f for f, k in _KINDS.items() if k == "whole"), unchecked=("order_line_id",), old="held_tracked",
+                        new="wanted")
+_WIDE_IN = "wanted AS (SELECT " + ", ".join(
+    f"{'NULL' if s in TRACKED_DANGLING or _LAST[s] != f else s} AS {f}" for f, s, _ in TRACKED_MAP) + " FROM tracked_rows),"
+
+
+def _names(lists: ListSql) -> str:
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN in_old AND in_new AND ch_{f} THEN '{f}' END" for f in lists.checked) + ")"
+
+
+sql("tracked_wide_diff", ("tracked_rows", "held_tracked"), f"""
+SELECT title, {_names(_TRACKED_WIDE)} AS changed_fields,
+       CAST({" + ".join(f"CAST(ch_{f} AS INT)" for f in _TRACKED_WIDE.checked)} AS BIGINT) AS n_changed
+FROM C WHERE in_old AND in_new AND ({" OR ".join(f"ch_{f}" for f in _TRACKED_WIDE.checked)})
+""", extra=_WIDE_IN + _TRACKED_WIDE.changes())
+sql("tracked_wide_changes", ("tracked_rows", "held_tracked"), f"""
+SELECT title, list_id, action, {_names(_TRACKED_WIDE)} AS changed_fields,
+       {_payload(_TRACKED_WIDE.fields, _TRACKED_WIDE.numbers, ())} AS payload, add_user_ids, remove_user_ids, ids_with_access
+FROM AF JOIN (SELECT title, in_old, in_new, {", ".join(f"ch_{f}" for f in _TRACKED_WIDE.checked)} FROM A) USING (title)
+""", extra=_WIDE_IN + _TRACKED_WIDE.access() + f", AF AS ({_TRACKED_WIDE.access_rows()})")
+sql("inspection_wide_changes", _QI, f"""
+SELECT title, list_id, action, {_names(_INSPECTION_WIDE)} AS changed_fields,
+       {_payload(_INSPECTION_WIDE.fields, (), ())} AS payload, add_user_ids, remove_user_ids, ids_with_access
+FROM CS JOIN (SELECT title, in_old, in_new, {", ".join(f"ch_{f}" for f in _INSPECTION_WIDE.checked)} FROM A) USING (title)
+""", extra=_QI_OUT)
+
+
+def _map_rows(name: str, mapping) -> str:
+    return ", ".join(f"('{name}', '{m[0]}', '{m[1]}', {at})" for at, m in enumerate(mapping))
+
+
+def _filled(name: str, source: str) -> str:
+    return f"""SELECT '{name}' AS list, col, n FROM (UNPIVOT (SELECT COUNT(COLUMNS('(.*)')) AS '\\1' FROM {source})
+  ON COLUMNS(*) INTO NAME col VALUE n)"""
+
+
+ORACLE["map_report"] = cte_chain(("order_lines", "vendors", "sent_ledger", "tracked_rows")) + f""",
+{INSPECTION_BASE.strip()},
+maps(list, field, source, pos) AS (VALUES {_map_rows("tracked", TRACKED_MAP)}, {_map_rows("inspection", INSPECTION_MAP)}),
+listed AS ({_INSPECTION_ROWS}),
+cols AS ({_filled("tracked", "tracked_rows")} UNION ALL {_filled("inspection", "listed")}),
+claims AS (SELECT *, max(pos) OVER (PARTITION BY list, source) AS last FROM maps)
+SELECT m.list, m.field, m.source, pos < last AS overridden, own.n IS NULL AS dangling,
+       coalesce(CASE WHEN pos = last THEN own.n END,
+                CASE WHEN NOT EXISTS (SELECT 1 FROM claims c WHERE c.list = m.list AND c.source = m.field AND c.pos = c.last AND c.field <> m.field)
+                     THEN same.n END, 0) AS filled
+FROM claims m
+LEFT JOIN cols own ON own.list = m.list AND own.col = m.source
+LEFT JOIN cols same ON same.list = m.list AND same.col = m.field"""

@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, INSPECTION_WIDE, ROLLUP_LIST,
-                            TRACKER_LIST)
+from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, INSPECTION_MAP, INSPECTION_WIDE,
+                            ROLLUP_LIST, TRACKED_MAP, TRACKED_WIDE, TRACKER_LIST)
 from podelta.functions import exprs as X
-from podelta.operators import changeset, inspection, lookups, outbox, rollup, rules, views
+from podelta.operators import changeset, inspection, lookups, outbox, rollup, rules, views, widelist
 from podelta.plans import sync
 from podelta.session import ensure_checkpoint_dir
 from podelta.sources.fixtures import AS_OF, register_fixtures
@@ -458,6 +458,50 @@ def inspection_sync_report(spark):
     return sync.report(_inspection_sync(spark))
 
 
+# --- lists of many fields --------------------------------------------------------
+WIDE_INPUTS = ("tracked_rows", "held_tracked")
+
+
+def _tracked_wide(spark) -> widelist.WideChangeSet:
+    wanted = lookups.align_schema(T(spark, "tracked_rows"), [(f, source) for f, source, _ in TRACKED_MAP])
+    return widelist.WideChangeSet(T(spark, "held_tracked"), wanted, TRACKED_WIDE)
+
+
+def _inspection_rows(spark) -> DataFrame:
+    return inspection.inspection_list(_ilines(spark), T(spark, "vendors"), T(spark, "sent_ledger"), AS_OF, INSPECTION_SUBSET_STATUSES,
+                                      INSPECTION_SUBSET_LABEL)
+
+
+@query("tracked_wide_diff", WIDE_INPUTS)
+def tracked_wide_diff(spark):
+    """C3 over the tracked list's 80 fields."""
+    return _tracked_wide(spark).diff()
+
+
+@query("tracked_wide_changes", WIDE_INPUTS)
+def tracked_wide_changes(spark):
+    """C1, X1-X4, P22 over the tracked list's 80 fields."""
+    return _tracked_wide(spark).result()
+
+
+@query("inspection_wide_changes", ("order_lines", "vendors", "sent_ledger", "held_inspections"))
+def inspection_wide_changes(spark):
+    """C1, P22 over the inspection list's 26 fields, field by field."""
+    wanted = lookups.align_schema(_inspection_rows(spark), INSPECTION_MAP)
+    return widelist.WideChangeSet(T(spark, "held_inspections").drop("send_early"), wanted, INSPECTION_WIDE).result()
+
+
+@query("map_report", ("order_lines", "vendors", "sent_ledger", "tracked_rows"))
+def map_report(spark):
+    """Both column maps against the frames they read: overridden and dangling sources, and rows that each field fills."""
+    out = None
+    for name, mapping, df in (("tracked", [(f, s) for f, s, _ in TRACKED_MAP], T(spark, "tracked_rows")),
+                              ("inspection", list(INSPECTION_MAP), _inspection_rows(spark))):
+        part = widelist.map_report(name, mapping, df, lookups.align_schema(df, mapping))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --- outbox ---------------------------------------------------------------------
 
 RESERVED_EXTRA = ("list_id", "add_user_ids", "remove_user_ids")

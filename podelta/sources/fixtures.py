@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from podelta.config import TRACKED_DANGLING, TRACKED_MAP
 from podelta.sources.tables import register_tables
 
 AS_OF = "1998-06-15"
@@ -26,6 +27,39 @@ _SUB_STATUS_CASE = """CASE CAST((l_orderkey + l_linenumber) % 10 AS INT)
          WHEN 6 THEN '17. QC Schedule Pending' WHEN 7 THEN '20a. QC Release Missing'
          WHEN 8 THEN '27a. Approved' ELSE '99. Done' END"""
 
+# Columns of the tracked list that the order lines have under the same name, and what fills the key.
+_REAL = ("sm", "current_status", "sub_status", "days_bucket", "final_team", "final_poc", "document_number", "item", "batch_id", "cm",
+         "compliance_status", "invoice_number", "inb", "name")
+
+
+def _wide_value(source: str, kind: str, at: int) -> str:
+    """What fills a column of the wide stand-ins: real where there is one, else by rule, with NULLs, blanks and large numbers."""
+    if source in ("rollup_id", "order_line_id"):
+        return "line_key"
+    if source in _REAL:
+        return source
+    if source == "pending_value":
+        return "pending_value * 1000000"
+    if kind == "whole":
+        return f"CASE WHEN (k + {at}) % 29 = 0 THEN NULL ELSE CAST(quantity + {at} AS DOUBLE) END"
+    if kind == "float":
+        return f"pending_value / {at + 7}"
+    if kind == "date":
+        return f"CASE WHEN (k + {at}) % 19 = 0 THEN NULL ELSE CAST(first_prd AS STRING) END"
+    return f"CASE CAST((k + {at}) % 23 AS INT) WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'nan' ELSE 'Value ' || CAST((k + {at}) % 5 AS STRING) END"
+
+
+def _wide_held(source: str, kind: str, at: int) -> str:
+    value = _wide_value(source, kind, at)
+    if kind in ("whole", "float"):
+        return f"CASE WHEN (k + {at}) % 17 = 0 THEN {value} + 1 ELSE {value} END"
+    return f"CASE CAST((k + {at}) % 31 AS INT) WHEN 0 THEN 'Earlier' WHEN 1 THEN NULL WHEN 2 THEN ' ' || {value} || ' ' ELSE {value} END"
+
+
+_WIDE_FROM = """FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k, ROW_NUMBER() OVER (PARTITION BY line_key ORDER BY ord) AS rn
+      FROM order_lines) t WHERE rn = 1"""
+_WIDE_SOURCES = {source: (kind, at) for at, (_, source, kind) in enumerate(TRACKED_MAP) if source not in TRACKED_DANGLING}
+
 # name -> (sql, dependencies).  Order is a valid build order.
 FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "order_lines": (f"""
@@ -170,6 +204,16 @@ SELECT CASE WHEN k % 13 = 0 THEN 'OLD' || line_key ELSE line_key END AS title, k
 FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k,
              ROW_NUMBER() OVER (PARTITION BY line_key ORDER BY ord) AS rn FROM order_lines) t
 WHERE rn = 1 AND k % 10 <> 0
+""", ("order_lines",)),
+    "tracked_rows": (f"""
+SELECT {", ".join(f"{_wide_value(c, kind, at)} AS {c}" for c, (kind, at) in _WIDE_SOURCES.items())}
+{_WIDE_FROM}
+""", ("order_lines",)),
+    "held_tracked": (f"""
+SELECT CASE WHEN k % 13 = 0 THEN 'OLD' || line_key ELSE line_key END AS title, k * 100 + ord AS list_id,
+       {", ".join(f"{_wide_held(c, kind, at)} AS {f}" for at, (f, c, kind) in enumerate(TRACKED_MAP) if f != "title")},
+       CASE CAST(k % 3 AS INT) WHEN 0 THEN '101; 103' WHEN 1 THEN '102,104' ELSE NULL END AS ids_with_access
+{_WIDE_FROM} AND k % 10 <> 0
 """, ("order_lines",)),
     "qi_list": ("""
 SELECT title,
