@@ -244,3 +244,37 @@ TRACKED_WIDE = ListSpec(
     fields=tuple(FieldSpec(f, source, update_check=kind != "key", format_float=kind == "float") for f, source, kind in TRACKED_MAP),
     item_level_access=True, identity_columns=("final_poc", "sm"), refill_columns=("final_poc", "sm"), admin_ids=(101, 119),
     user_ids=fixture_user_ids())
+
+# The order-line documents' fields as (key in the document, type, column).  Keys are case-sensitive.  Types: a number
+# is a text of at most that many characters; whole is a number without decimals; float; date.
+LINE_FIELDS = (
+    ("id", "whole", "internal_id"), ("date_created", "date", "date_created"), ("document_number", 50, "document_number"),
+    ("scm_associated_brands", 255, "associated_brands"), ("ID", "whole", "id"), ("po_vendor", 255, "name"),
+    ("supplier_confirmation_status", 50, "supplier_confirmation_status"), ("final_status", 50, "final_status"),
+    ("scm_po_scm_memo", 255, "memo_main"), ("marketplace_header", 8, "market_place"),
+    ("supplier_payment_terms", 125, "supplier_payment_terms"), ("incoterms", 12, "incoterm"), ("line_id", "whole", "line_id"),
+    ("item", 125, "item"), ("asin", 16, "asin_number"), ("quantity", "whole", "quantity"),
+    ("quantity_fulfilled/received", "whole", "quantity_received"), ("quantity_on_shipments", "whole", "quantity_on_shipments"),
+    ("first_prd", "date", "first_prd"), ("prd", "date", "prd"), ("planned_prd", "date", "planned_prd"),
+    ("confirmed_crd", "date", "confirmed_crd"), ("quality_control_date", "date", "quality_control_date"),
+    ("quality_control_status", 255, "quality_control_status"), ("im_line_signoff", 8, "im_signoff"), ("sm_line_signoff", 8, "sm_signoff"),
+    ("production_status", 125, "production_status"), ("batch_id", 50, "batch_id"), ("wh_type", 12, "wh_type"),
+    ("considered_for_anti-po", 12, "considered_for_anti_po"), ("prd_reconfirmation", 12, "prd_reconfirmed"),
+    ("invoice_number", 50, "invoice_number"), ("invoice_status", 125, "invoice_status"), ("Placement Batch", 125, "summary_filter"),
+    ("Focus", 12, "focus"), ("MP", 12, "mp"), ("item_rate_eur", "float", "per_unit_amount"), ("Pending Units", "whole", "pending_units"),
+    ("Pending Value", "float", "pending_value"), ("order_line_id", 125, "order_line_id"), ("Line Payment Type", 8, "line_payment_type"),
+    ("Batch Payment Type", 8, "batch_payment_type"), ("INB Payment Type", 8, "inb_payment_type"),
+    ("Line Invoice Submission Status", 125, "line_invoice_submission_status"),
+    ("Batch Invoice Submission Status", 125, "batch_invoice_submission_status"),
+    ("INB Invoice Submission Status", 125, "inb_invoice_submission_status"), ("Line Payment Status", 125, "line_payment_status"),
+    ("Batch Payment Status", 125, "batch_payment_status"), ("INB Payment Status", 125, "inb_payment_status"),
+    ("Batch QC Pending", 8, "batch_qc_pending"), ("VP Booking Status", 125, "vp_booking_status"), ("FOB Date", "date", "fob_date"),
+    ("FOB Status", 125, "fob_status"), ("Batch Pickup Status", 125, "batch_pickup_status"), ("Shipping Status", 125, "shipping_status"),
+    ("INB#", 50, "inb"), ("Status", 125, "shipment_status"), ("Substatus", 125, "shipment_substatus"),
+    ("Estimated Delivery Date", "date", "estimated_delivery_date"), ("Supplier Telex Status", 125, "supplier_telex_status"),
+    ("SM Telex Status", 125, "sm_telex_status"), ("FFW Telex Status", 125, "ffw_telex_status"), ("CM", 125, "cm"), ("SM", 125, "sm"),
+    ("Compliance Status", 125, "compliance_status"), ("Current Status", 125, "current_status"), ("Sub Status", 125, "sub_status"),
+    ("Days Bucket", 50, "days_bucket"), ("Team", 12, "team"), ("Reporting Status", 125, "reporting_status"),
+    ("Reporting Days Bucket", 50, "reporting_days_bucket"), ("L2 Final Status", 50, "l2_final_status"), ("Final POC", 125, "final_poc"),
+    ("Final Team", 50, "final_team"),
+)

@@ -7,7 +7,7 @@ pre-registered tables.
 
 from __future__ import annotations
 
-from podelta.config import INSPECTION_MAP, LAST_LABEL, NOT_BLANK, TRACKED_DANGLING, TRACKED_MAP, TRACKER_RULES
+from podelta.config import INSPECTION_MAP, LINE_FIELDS, LAST_LABEL, NOT_BLANK, TRACKED_DANGLING, TRACKED_MAP, TRACKER_RULES
 from podelta.sources.fixtures import cte_chain
 
 ORACLE: dict[str, str] = {}
@@ -278,6 +278,24 @@ SELECT event_id, event_type, TRY_CAST(props ->> '$.k' AS INTEGER) AS k, props ->
 FROM events
 """)
 
+_NUMBER = "CASE WHEN regexp_matches(trim({x}), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') THEN TRY_CAST(trim({x}) AS {t}) END"
+
+
+def _field_sql(kind, x: str) -> str:
+    if kind == "date":
+        return f"CAST(try_strptime({x}, '%Y-%m-%d') AS DATE)"
+    if kind in ("whole", "float"):
+        return _NUMBER.format(x=x, t="DECIMAL(18,0)" if kind == "whole" else "DOUBLE")
+    return f"substr({x}, 1, {kind})"
+
+
+_PATHS = ", ".join("'$.\"" + key + "\"'" for key, _, _ in LINE_FIELDS)
+sql("line_projection", ("line_documents",), f"""
+SELECT line_key AS document_key, ord, {", ".join(f"{_field_sql(kind, f'f[{at}]')} AS {name}" for at, (_, kind, name) in enumerate(LINE_FIELDS, 1))}
+FROM (SELECT line_key, ord, json_extract_string(rdata, [{_PATHS}]) AS f FROM line_documents
+      QUALIFY dense_rank() OVER (ORDER BY snapshot_ts DESC) = 1)
+""")
+
 sql("latest_snapshot", ("order_line_snapshots",), """
 SELECT document_number, ord, line_key, snapshot_ts FROM order_line_snapshots
 QUALIFY dense_rank() OVER (ORDER BY snapshot_ts DESC) = 1

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, INSPECTION_MAP, INSPECTION_WIDE,
+from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, INSPECTION_MAP, INSPECTION_WIDE, LINE_FIELDS,
                             ROLLUP_LIST, TRACKED_MAP, TRACKED_WIDE, TRACKER_LIST)
 from podelta.functions import exprs as X
 from podelta.operators import changeset, inspection, lookups, outbox, rollup, rules, views, widelist
@@ -160,6 +160,13 @@ def document_projection(spark):
     return views.document_projection(ev, "props", EVENT_FIELDS, keep=("event_id", "event_type"))
 
 
+@query("line_projection", ("line_documents",))
+def line_projection(spark):
+    """The 74 typed fields of every order-line document of the newest snapshot."""
+    newest = views.latest_snapshot(T(spark, "line_documents"), "snapshot_ts")
+    return views.line_projection(newest, "rdata", LINE_FIELDS, keep=("line_key", "ord")).withColumnRenamed("line_key", "document_key")
+
+
 @query("latest_snapshot", ("order_line_snapshots",))
 def latest_snapshot(spark):
     """Every line of the newest snapshot."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from podelta.config import TRACKED_DANGLING, TRACKED_MAP
+from podelta.config import LINE_FIELDS, TRACKED_DANGLING, TRACKED_MAP
 from podelta.sources.tables import register_tables
 
 AS_OF = "1998-06-15"
@@ -60,6 +60,25 @@ _WIDE_FROM = """FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k,
       FROM order_lines) t WHERE rn = 1"""
 _WIDE_SOURCES = {source: (kind, at) for at, (_, source, kind) in enumerate(TRACKED_MAP) if source not in TRACKED_DANGLING}
 
+_DOCUMENT_COLUMNS = {"document_number": "document_number", "item": "item", "name": "name", "order_line_id": "line_key", "cm": "cm", "sm": "sm",
+                     "current_status": "current_status", "sub_status": "sub_status", "final_poc": "final_poc", "days_bucket": "days_bucket"}
+
+
+def _document_value(name: str, kind, at: int) -> str:
+    """JSON text of one field: real where there is one, else by rule, with NULLs, bad and too long values."""
+    if name in _DOCUMENT_COLUMNS:
+        return f"""COALESCE('"' || {_DOCUMENT_COLUMNS[name]} || '"', 'null')"""
+    n = f"CAST((k + {at}) % 13 AS INT)"
+    if kind == "whole":
+        return (f"""CASE {n} WHEN 0 THEN '"abc"' WHEN 1 THEN 'null' WHEN 2 THEN '"12.5"' WHEN 3 THEN '"5d"' """
+                f"""WHEN 4 THEN '"9999999999999999999"' ELSE CAST(quantity + {at} AS STRING) END""")
+    if kind == "float":
+        return f"""CASE {n} WHEN 0 THEN '"1e3"' WHEN 1 THEN 'null' WHEN 2 THEN '"1_0"' ELSE CAST(quantity + {at} AS STRING) || '.25' END"""
+    if kind == "date":
+        return f"""CASE {n} WHEN 0 THEN '"soon"' WHEN 1 THEN 'null' WHEN 2 THEN '"1998-02-30"' ELSE '"' || CAST(first_prd AS STRING) || '"' END"""
+    return f"""CASE {n} WHEN 0 THEN 'null' WHEN 1 THEN '""' WHEN 2 THEN '" padded text {at} "' ELSE '"Text ' || CAST(k % 40000 AS STRING) || '"' END"""
+
+
 # name -> (sql, dependencies).  Order is a valid build order.
 FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "order_lines": (f"""
@@ -215,6 +234,11 @@ SELECT CASE WHEN k % 13 = 0 THEN 'OLD' || line_key ELSE line_key END AS title, k
        CASE CAST(k % 3 AS INT) WHEN 0 THEN '101; 103' WHEN 1 THEN '102,104' ELSE NULL END AS ids_with_access
 {_WIDE_FROM} AND k % 10 <> 0
 """, ("order_lines",)),
+    "line_documents": (f"""
+SELECT line_key, ord, '{{' || {" || ',' || ".join(f"""'"{key}":' || {_document_value(name, kind, at)}""" for at, (key, kind, name) in enumerate(LINE_FIELDS))}
+       || '}}' AS rdata, snapshot_ts
+FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k FROM order_line_snapshots) t
+""", ("order_line_snapshots",)),
     "qi_list": ("""
 SELECT title,
        CASE CAST(list_id % 7 AS INT) WHEN 0 THEN '{''Value'': ''Yes'', ''Id'': 1}' WHEN 1 THEN '{''Value'': ''No'', ''Id'': 2}'
