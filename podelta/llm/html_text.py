@@ -43,7 +43,7 @@ DROP_WORDS = frozenset("ad ads advert adverts advertisement advertising adsbygoo
 CONTENT_TAGS = frozenset(("article", "main"))
 
 MAX_DEPTH = 200  # texts of deeper elements stand in the tree as children of the element at this depth, with their own marks
-MAX_CELLS = 250_000  # children pairs that are matched in one table; longer lists take less memory and give the same weight
+MAX_CELLS, MAX_KEPT = 250_000, 200_000  # numbers kept while two lists, or two trees, are matched; beyond, they are computed again
 COPY_SHARE = 0.5  # a page with more of its article in common is a copy; without an article only one whose whole text is
 MIN_PAGES, SAME_SHARE = 3, 0.9  # pages that must tell, and the share of them that makes a node template
 
@@ -189,158 +189,206 @@ def rebuild(skeleton) -> tuple[Node, int]:
     return take(), len(skeleton)
 
 
-def align(page: Node, pivot: Node) -> list[tuple[Node, Node]]:
-    """Pairs of text leaves that simple tree matching aligns; equal texts weigh more among matchings of equal size."""
-    score: dict[tuple[int, int], tuple] = {}
-
-    def weigh(a: Node, b: Node) -> float:
-        if a.tag != b.tag:
-            return 0.0
-        if a.tag == "#text":
-            return 1.5 if a.number == b.text else 1.0
-        x, y = a.children, b.children
-        if len(x) == 1 and len(y) == 1 and x[0].tag == "#text" == y[0].tag:  # most blocks: one text
-            return 2.5 if x[0].number == y[0].text else 2.0
-        found = score.get((id(a), id(b)))
-        if found is None:
-            found = score[(id(a), id(b))] = _match(x, y, weigh, score)
-        return 1.0 + found[0]
-
-    def pairs(a: Node, b: Node, out: list):
-        if a.tag == "#text":
-            out.append((a, b))
-            return
-        if (id(a), id(b)) not in score:  # one text each
-            out.append((a.children[0], b.children[0]))
-            return
-        for x, y in score[(id(a), id(b))][1]:
-            pairs(x, y, out)
-
-    out: list[tuple[Node, Node]] = []
-    weigh(page, pivot)
-    pairs(page, pivot, out)
-    return out
+class _Forms:
+    """Distinct subtrees of one page and its pivot, by number.
 
+    A text that the other tree lacks can never be repeated, so all such texts are one form: blocks that differ in them alone are
+    the same form, and weights are kept per pair of forms, not per pair of nodes.
+    """
 
-def _match(left: list[Node], right: list[Node], weigh, score: dict) -> tuple[float, list]:
-    """Best order-preserving matching of two lists of children: (weight, pairs)."""
-    m, n = len(left), len(right)
-    if not m or not n:
-        return 0.0, []
-    if m * n > MAX_CELLS:
-        return _match_long(left, right, weigh, score)
-    table = [[0.0] * (n + 1)]
-    weights = []
-    for x in left:
-        above = table[-1]
-        row = [0.0] * (n + 1)
-        line = [weigh(x, y) for y in right]
-        best = 0.0
-        for j in range(n):
-            w = line[j]
-            if w and above[j] + w > best:
-                best = above[j] + w
-            if above[j + 1] > best:
-                best = above[j + 1]
-            row[j + 1] = best
-        table.append(row)
-        weights.append(line)
-    out = []
-    i, j = m, n
-    while i and j:
-        here = table[i][j]
-        if here == table[i - 1][j]:
-            i -= 1
-        elif here == table[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            out.append((left[i], right[j]))
-    out.reverse()
-    return table[m][n], out
-
-
-def _equal(a: Node, b: Node) -> bool:
-    """Whether a page's subtree and a pivot's are the same in tags and texts."""
-    todo = [(a, b)]
-    while todo:
-        x, y = todo.pop()
-        if x.tag != y.tag or len(x.children) != len(y.children) or x.tag == "#text" and x.number != y.text:
-            return False
-        todo += zip(x.children, y.children)
-    return True
+    def __init__(self, common: set):
+        self.common = common
+        self.numbers: dict[tuple, int] = {}
+        self.parts: list[tuple[str, tuple[int, ...]]] = []  # tag and forms of the children
+        self.full: list[float] = []  # weight against the same form: nodes, and half for each text that both trees hold
+        self.plain: list[int] = []  # the form without texts
+        self.kept: dict[tuple[int, int], float] = {}
+
+    def _form(self, tag: str, inner) -> int:
+        """Number of a text (``inner`` its hash, or None where the other tree lacks it) or of a block (forms of its children)."""
+        form = self.numbers.get((tag, inner))
+        if form is None:
+            text = tag == "#text"
+            bare = None if text else tuple([self.plain[c] for c in inner])
+            plain = None if inner == bare else self._form(tag, bare)  # a block without texts is its own plain form
+            form = self.numbers[tag, inner] = len(self.parts)
+            self.parts.append((tag, () if text else inner))
+            self.full.append((1.5 if inner is not None else 1.0) if text else 1.0 + sum(self.full[c] for c in inner))
+            self.plain.append(form if plain is None else plain)
+        return form
+
+    def of(self, root: Node, own: bool) -> dict[int, int]:
+        """{id of node: form}; a page's own texts are numbered in ``number``, a pivot's in ``text``."""
+        out: dict[int, int] = {}
+        todo = [(root, False)]
+        while todo:
+            node, done = todo.pop()
+            if node.tag == "#text":
+                mark = node.number if own else node.text
+                out[id(node)] = self._form("#text", mark if mark in self.common else None)
+            elif done:
+                out[id(node)] = self._form(node.tag, tuple([out[id(c)] for c in node.children]))
+            else:
+                todo.append((node, True))
+                todo += [(c, False) for c in node.children]
+        return out
 
+    def _texts(self, form: int) -> set[int]:
+        """Forms of the texts of a subtree that both trees hold."""
+        found, todo = set(), [form]
+        while todo:
+            at = todo.pop()
+            if self.plain[at] != at:  # else it has none
+                if self.parts[at][0] == "#text":
+                    found.add(at)
+                todo += self.parts[at][1]
+        return found
+
+    def lines(self, right):
+        """Function from a form to its weights against the forms of a list.
+
+        Forms without a common text weigh as their plain forms do, of which there are few; an index finds the others.
+        """
+        distinct = list(dict.fromkeys(right))
+        index = {y: n for n, y in enumerate(distinct)}
+        place = np.array([index[y] for y in right])
+        kinds, kind = np.unique([self.plain[y] for y in distinct], return_inverse=True)
+        holders: dict[int, list[int]] = {}
+        for n, y in enumerate(distinct):
+            for t in self._texts(y):
+                holders.setdefault(t, []).append(n)
+
+        def line(form: int) -> np.ndarray:
+            out = np.array([self.weight(self.plain[form], k) for k in kinds.tolist()])[kind]
+            for n in {n for t in self._texts(form) for n in holders.get(t, ())}:
+                out[n] = self.weight(form, distinct[n])
+            return out[place]
+
+        return line
+
+    def weight(self, a: int, b: int) -> float:
+        """Most nodes that an order-preserving matching of two subtrees pairs; a repeated text counts half more."""
+        if a == b:
+            return self.full[a]
+        (tag, x), (other, y) = self.parts[a], self.parts[b]
+        if tag != other:
+            return 0.0
+        if not x or not y:  # texts that differ, or a block without children
+            return 1.0
+        found = self.kept.get((a, b))
+        if found is None:
+            lo, left, right = _trim(x, y)
+            found = 1.0 + sum(self.full[c] for c in x[:lo]) + sum(self.full[c] for c in x[lo + len(left):])
+            if left and right:
+                found += self._best(left, right)
+            if len(self.kept) >= MAX_KEPT:  # only time is lost
+                self.kept.clear()
+            self.kept[a, b] = found
+        return found
+
+    def _best(self, left, right) -> float:
+        row = np.zeros(len(right) + 1)
+        if len(left) * len(right) > 1000:
+            line = self.lines(right)
+            for x in left:
+                row = _next_row(row, line(x))
+            return float(row[-1])
+        row = row.tolist()
+        for x in left:
+            corner, best = 0.0, 0.0
+            for j, y in enumerate(right, 1):
+                here = row[j]
+                w = self.weight(x, y)
+                if w and corner + w > best:
+                    best = corner + w
+                if here > best:
+                    best = here
+                corner = here
+                row[j] = best
+        return row[-1]
+
+    def match(self, left, right) -> list[tuple[int, int]]:
+        """Places of a best matching of two lists of forms, in memory that follows their length (Hirschberg's halving)."""
+        lo, inner, other = _trim(left, right)
+        tail = len(left) - lo - len(inner)
+        chosen = [(i, i) for i in range(lo)] + [(len(left) - 1 - i, len(right) - 1 - i) for i in range(tail)]
+        if not inner or not other:
+            return sorted(chosen)
+        weigh = self.lines(other)
+        lines: dict[int, np.ndarray] = {}
+
+        def line(i: int) -> np.ndarray:
+            out = lines.get(inner[i])
+            if out is None:
+                out = weigh(inner[i])
+                if (len(lines) + 1) * len(other) <= MAX_CELLS:  # equal blocks and both halves of a list share their lines
+                    lines[inner[i]] = out
+            return out
+
+        def last_row(rows, at: int, to: int, backwards: bool) -> np.ndarray:
+            row = np.zeros(to - at + 1)
+            for i in reversed(rows) if backwards else rows:
+                w = line(i)[at:to]
+                row = _next_row(row, w[::-1] if backwards else w)
+            return row
+
+        todo = [(0, len(inner), 0, len(other))]
+        while todo:
+            a, b, at, to = todo.pop()
+            if a == b or at == to:
+                continue
+            if b - a == 1:
+                w = line(a)[at:to]
+                if w.max() > 0:
+                    chosen.append((lo + a, lo + at + int(w.argmax())))
+                continue
+            middle = (a + b) // 2
+            cut = int((last_row(range(a, middle), at, to, False) + last_row(range(middle, b), at, to, True)[::-1]).argmax())
+            todo += [(a, middle, at, at + cut), (middle, b, at + cut, to)]
+        return sorted(chosen)
 
-def _kind(node: Node, own: bool) -> tuple | None:
-    """(tag, text hash) of a text or a block of one text, whose weights need no matching of children."""
-    leaf = node if node.tag == "#text" else node.children[0] if len(node.children) == 1 and node.children[0].tag == "#text" else None
-    return None if leaf is None else (node.tag, leaf.number if own else leaf.text)
 
+def _next_row(row: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Best weights after one more node on the left."""
+    out = row.copy()
+    np.maximum(out[1:], row[:-1] + line, out=out[1:])
+    return np.maximum.accumulate(out, out=out)
 
-def _match_long(left, right, weigh, score):
-    """The same best matching for long lists, in memory that follows their length (Hirschberg's halving).
 
-    Equal ends are paired first: no matching gains by leaving them.  Rows of the table are computed whole, and what
-    ``weigh`` notes on the way is kept for the chosen pairs only.
-    """
-    head = 0
-    while head < min(len(left), len(right)) and _equal(left[head], right[head]):
-        head += 1
+def _trim(left, right) -> tuple[int, tuple, tuple]:
+    """(equal forms in front, rest of both lists without equal ends): no matching gains by leaving equal ends unpaired."""
+    least = min(len(left), len(right))
+    lo = 0
+    while lo < least and left[lo] == right[lo]:
+        lo += 1
     tail = 0
-    while tail < min(len(left), len(right)) - head and _equal(left[-1 - tail], right[-1 - tail]):
+    while tail < least - lo and left[-1 - tail] == right[-1 - tail]:
         tail += 1
-    inner_left, inner_right = left[head : len(left) - tail], right[head : len(right) - tail]
-    tags: dict = {}
-    code = lambda tag: tags.setdefault(tag, len(tags))
-    kinds = [_kind(y, False) for y in inner_right]
-    tag = np.array([code(y.tag) for y in inner_right], np.int64)
-    text = np.array([k[1] if k else -1 for k in kinds], np.int64)
-    simple = np.array([k is not None for k in kinds], bool)
-    empty = np.array([not y.children for y in inner_right], bool)
-
-    def line(x: Node, lo: int, hi: int) -> np.ndarray:
-        own, same = _kind(x, True), tag[lo:hi] == code(x.tag)
-        out = np.zeros(hi - lo)
-        if own is not None:
-            base = 1.0 if x.tag == "#text" else 2.0
-            np.copyto(out, base + 0.5 * (text[lo:hi] == own[1]), where=same & simple[lo:hi])
-            same = same & ~simple[lo:hi]
-        if x.tag != "#text":
-            bare = empty[lo:hi] | (not x.children)  # without children on one side only the tags count
-            out[same & bare] = 1.0
-            same = same & ~bare
-        noted = len(score)
-        for j in np.flatnonzero(same):
-            out[j] = weigh(x, inner_right[lo + j])
-            while len(score) > noted:
-                score.popitem()
-        return out
+    return lo, left[lo : len(left) - tail], right[lo : len(right) - tail]
+
 
-    def last_row(rows, lo: int, hi: int, backwards: bool) -> np.ndarray:
-        row = np.zeros(hi - lo + 1)
-        for i in reversed(rows) if backwards else rows:
-            w = line(inner_left[i], lo, hi)
-            w = w[::-1] if backwards else w
-            row[1:] = np.maximum(row[1:], row[:-1] + w)
-            np.maximum.accumulate(row, out=row)
-        return row
+def align(page: Node, pivot: Node) -> list[tuple[Node, Node]]:
+    """Pairs of text leaves that simple tree matching aligns; equal texts weigh more among matchings of equal size.
 
-    chosen, todo = [], [(0, len(inner_left), 0, len(inner_right))]
+    The page's texts are numbered by their hashes.  One way serves trees of any size: equal subtrees pair leaf by leaf, other
+    children by a best matching.
+    """
+    mine = leaves(page)
+    theirs = leaves(pivot)
+    forms = _Forms({x.number for x in mine} & {x.text for x in theirs})
+    left, right = forms.of(page, True), forms.of(pivot, False)
+    out: list[tuple[Node, Node]] = []
+    todo = [(page, pivot)]
     while todo:
-        a, b, lo, hi = todo.pop()
-        if a == b or lo == hi:
-            continue
-        if b - a == 1:
-            w = line(inner_left[a], lo, hi)
-            if w.max() > 0:
-                chosen.append((a, lo + int(w.argmax())))
-            continue
-        middle = (a + b) // 2
-        cut = int((last_row(range(a, middle), lo, hi, False) + last_row(range(middle, b), lo, hi, True)[::-1]).argmax())
-        todo += [(a, middle, lo, lo + cut), (middle, b, lo + cut, hi)]
-    out = list(zip(left[:head], right[:head])) + [(inner_left[i], inner_right[j]) for i, j in sorted(chosen)]
-    out += list(zip(left[len(left) - tail :], right[len(right) - tail :]))
-    return sum(weigh(x, y) for x, y in out), out
+        a, b = todo.pop()
+        if left[id(a)] == right[id(b)]:
+            out += zip(leaves(a), leaves(b))
+        elif a.tag == "#text":
+            out.append((a, b))
+        elif a.children and b.children:
+            x, y = tuple(left[id(c)] for c in a.children), tuple(right[id(c)] for c in b.children)
+            todo += [(a.children[i], b.children[j]) for i, j in forms.match(x, y)]
+    return out
 
 
 def leaves(root: Node) -> list[Node]:

@@ -7,6 +7,8 @@ import html
 import math
 import random
 import re
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -193,34 +195,102 @@ def test_markup(markup, text):
     assert html_text.extract(html_text.parse(markup), None, frozenset()) == text
 
 
-def test_long_lists_match_as_the_full_table(monkeypatch):
+def brute_weight(a, b):
+    """Simple tree matching by its definition."""
+    if a.tag != b.tag:
+        return 0.0
+    if a.tag == "#text":
+        return 1.5 if a.number == b.text else 1.0
+    best = [[0.0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, x in enumerate(a.children):
+        for j, y in enumerate(b.children):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + brute_weight(x, y))
+    return 1.0 + best[-1][-1]
+
+
+def trees(first, second):
+    left, right = html_text.parse(first), html_text.rebuild(html_text.encode(html_text.parse(second)))[0]
+    html_text._numbered(left)
+    return left, right
+
+
+def pair_weight(left, right, pairs):
+    """Weight of a set of leaf pairs with the blocks around them."""
+    up = {}
+    for tree in (left, right):
+        todo = [(tree, ())]
+        while todo:
+            node, path = todo.pop()
+            up[id(node)] = path + (id(node),)
+            todo += [(c, path + (id(node),)) for c in node.children]
+    blocks = set()
+    for a, b in pairs:
+        x, y = up[id(a)], up[id(b)]
+        assert len(x) == len(y)  # a leaf's blocks pair level by level
+        blocks |= set(zip(x[:-1], y[:-1]))
+    assert len({x for x, _ in blocks}) == len({y for _, y in blocks}) == len(blocks)
+    return len(blocks) + sum(1.5 if a.number == b.text else 1.0 for a, b in pairs)
+
+
+def test_alignment_is_a_best_matching():
     rng = random.Random(6)
-    blocks = [f"<p>{w}</p>" for w in "abcdef"] + ["text", "<ul><li>x</ul>", "<ul><li>x<li>y</ul>", "<div><p>a</p><p>b</p></div>", "<div><p>a</p>c</div>", "<h2>a</h2>", "<p></p>", "<div></div>"]
-
-    def weight(first, second, cells):
-        monkeypatch.setattr(html_text, "MAX_CELLS", cells)
-        left, right = html_text.parse(first), html_text.rebuild(html_text.encode(html_text.parse(second)))[0]
-        html_text._numbered(left)
-        pairs = html_text.align(left, right)
-        return sum(1.5 if a.number == b.text else 1.0 for a, b in pairs), len(pairs)
-
-    for _ in range(150):
-        first, second = ("".join(rng.choices(blocks, k=rng.randrange(1, 25))) for _ in range(2))
-        scores = []
-        for cells in (10**9, 0):
-            monkeypatch.setattr(html_text, "MAX_CELLS", cells)
-            left, right = html_text.parse(first), html_text.rebuild(html_text.encode(html_text.parse(second)))[0]
-            html_text._numbered(left)
-            real, totals = html_text._match, []
-            monkeypatch.setattr(html_text, "_match", lambda x, y, *rest: totals.append(real(x, y, *rest)) or totals[-1])
-            html_text.align(left, right)
-            monkeypatch.setattr(html_text, "_match", real)
-            scores.append(totals[-1][0] if totals else None)
-        assert scores[0] == scores[1], (first, second)
+    blocks = [f"<p>{w}</p>" for w in "abcdef"] + ["text", "<ul><li>x</ul>", "<ul><li>x<li>y</ul>", "<div><p>a</p><p>b</p></div>",
+                                                  "<div><p>a</p>c</div>", "<h2>a</h2>", "<ul><li>q<li>y<li>z</ul>", "<div><p>m</p><p>n</p></div>"]
+    for n in range(300):
+        first, second = ("".join(rng.choices(blocks, k=rng.randrange(1, 25 if n % 10 else 90))) for _ in range(2))
+        left, right = trees(first, second)
+        forms = html_text._Forms({x.number for x in html_text.leaves(left)} & {x.text for x in html_text.leaves(right)})
+        a, b = forms.of(left, True), forms.of(right, False)
+        best = brute_weight(left, right)
+        assert forms.weight(a[id(left)], b[id(right)]) == best, (first, second)
+
+        def chosen(x, y):
+            if a[id(x)] == b[id(y)]:
+                return forms.full[a[id(x)]]
+            if not x.children or not y.children:
+                return 1.0
+            match = forms.match(tuple(a[id(c)] for c in x.children), tuple(b[id(c)] for c in y.children))
+            assert all(i < k and j < m for (i, j), (k, m) in zip(match, match[1:]))
+            return 1.0 + sum(chosen(x.children[i], y.children[j]) for i, j in match)
+
+        assert chosen(left, right) == best, (first, second)
+        assert pair_weight(left, right, html_text.align(left, right)) <= best, (first, second)  # blocks without text pairs count too
+
+
+def test_kept_numbers_change_no_pair(monkeypatch):
+    rng = random.Random(7)
+    blocks = [f"<p>{w}</p>" for w in "abcd"] + ["<ul><li>x<li>y</ul>", "<ul><li>y<li>x<li>z</ul>", "<div><p>a</p><p>b</p></div>"]
+    for _ in range(100):
+        left, right = trees(*("".join(rng.choices(blocks, k=rng.randrange(1, 60))) for _ in range(2)))
+        out = []
+        for kept in (10**9, 0):
+            monkeypatch.setattr(html_text, "MAX_CELLS", kept)
+            monkeypatch.setattr(html_text, "MAX_KEPT", kept)
+            out.append([(id(a), id(b)) for a, b in html_text.align(left, right)])
+        assert out[0] == out[1]
+
+
+@pytest.mark.parametrize("second", [lambda r: f"b{r.randrange(10**6)}", lambda r: "Read more", lambda r: f"b{r.randrange(900)}"])
+def test_alignment_of_many_nested_blocks_is_cheap(second):
+    def nested(seed):
+        r = random.Random(seed)
+        return "".join("<div>" + "".join(f"<section><p>a{r.randrange(10**6)}</p><p>{second(r)}</p></section>" for _ in range(10)) + "</div>"
+                       for _ in range(100))
+
+    left, right = trees(nested(1), nested(2))
+    tracemalloc.start()
+    began = time.process_time()
+    pairs = html_text.align(left, right)
+    seconds, peak = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(pairs) == 2000 and seconds < 60 and peak < 60e6
+
+
+def test_late_equals_keep_the_rest():
     # An early node whose equal stands at the end of the pivot.
     first = "<p>late</p>" + "".join(f"<p>row {i}</p><ul><li>menu<li>{i}</ul>" for i in range(400))
     second = "".join(f"<p>row {i}</p><ul><li>menu<li>{i}<li>more</ul>" for i in range(400)) + "<p>late</p>"
-    assert weight(first, second, 250_000)[1] >= 1200
+    assert len(html_text.align(*trees(first, second))) >= 1200
 
 
 @pytest.mark.parametrize("markup, text", [
