@@ -139,7 +139,7 @@ def _pack(values: np.ndarray, dtype: str) -> bytes:
     return d.view(np.uint8).reshape(-1, d.itemsize).T.tobytes()
 
 
-def _unpack(raw: bytes, dtype: str) -> np.ndarray:
+def _unpack(raw, dtype: str) -> np.ndarray:
     size = np.dtype(dtype).itemsize
     return np.cumsum(np.frombuffer(raw, np.uint8).reshape(size, -1).T.copy().view(dtype).ravel(), dtype=dtype)
 
@@ -167,12 +167,16 @@ def _packed(docs: np.ndarray, texts: np.ndarray, run: np.ndarray, places: np.nda
     return _pack(docs[at], "<i8"), texts[at].tobytes(), _pack(np.diff(np.append(first, len(run))), "<u4"), _pack(places, "<u4")
 
 
-def _unpacked(part: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _raw(column: pa.ChunkedArray, dtype: str) -> np.ndarray:
+    """Values of a binary column, copied once."""
+    return np.concatenate([np.frombuffer(x.as_buffer(), dtype) for x in column])
+
+
+def _unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(docs, texts, run, places) of many rows."""
-    docs = np.concatenate([_unpack(x, "<i8") for x in part["docs"]])
-    texts = np.frombuffer(b"".join(part["texts"]), "<i8")
-    run = np.repeat(np.arange(len(docs), dtype=np.int32), np.concatenate([_unpack(x, "<u4") for x in part["counts"]]))
-    return docs, texts, run, np.concatenate([_unpack(x, "<u4") for x in part["places"]])
+    many = lambda name, dtype: np.concatenate([_unpack(x.as_buffer(), dtype) for x in rows.column(name)])
+    docs = many("docs", "<i8")
+    return docs, _raw(rows.column("texts"), "<i8"), np.repeat(np.arange(len(docs), dtype=np.int32), many("counts", "<u4")), many("places", "<u4")
 
 
 def _least(names: np.ndarray, docs: np.ndarray, *more: np.ndarray) -> np.ndarray:
@@ -243,10 +247,10 @@ def _find(slots: int):
     from podelta.llm.common import to_batch
 
     def run(group: pa.Table) -> pa.Table:
-        part = group.to_pydict()
-        docs, texts, at, places = _unpacked(part)
-        if part["bucket"][0] >= 0:
-            hit = _least(np.frombuffer(b"".join(part["names"]), "<u8"), docs[at])
+        docs, texts, at, places = _unpacked(group)
+        if group.column("bucket")[0].as_py() >= 0:
+            rank = np.unique(docs, return_inverse=True)[1].astype(np.int32)
+            hit = _least(_raw(group.column("names"), "<u8"), rank[at])
             places, at = places[hit], at[hit]
         slot = ((docs ^ texts).view(np.uint64) % np.uint64(slots)).astype(np.int64)[at]
         order = np.argsort(slot, kind="stable")
@@ -260,7 +264,7 @@ def _ranges(size: int):
     """Function for applyInArrow: word ranges that the windows of a slot's documents cover."""
 
     def run(group: pa.Table) -> pa.Table:
-        docs, texts, at, places = _unpacked(group.select(["docs", "texts", "counts", "places"]).to_pydict())
+        docs, texts, at, places = _unpacked(group)
         order = np.lexsort((places, texts[at], docs[at]))
         docs, texts, places = docs[at][order], texts[at][order], places[order].astype(np.int64)
         new = np.zeros(len(docs), bool)
