@@ -278,3 +278,28 @@ LINE_FIELDS = (
     ("Reporting Days Bucket", 50, "reporting_days_bucket"), ("L2 Final Status", 50, "l2_final_status"), ("Final POC", 125, "final_poc"),
     ("Final Team", 50, "final_team"),
 )
+
+# Date texts of a shipment header as (column, format).
+SHIPMENT_DATES = (
+    ("telex_release_date", "dd.MM.yyyy"), ("actual_arrival_date", "yyyy-MM-dd"), ("actual_cargo_pick_up_date", "yyyy-MM-dd"),
+    ("actual_shipping_date", "yyyy-MM-dd"), ("gate_in", "yyyy-MM-dd"), ("expected_shipping_date", "yyyy-MM-dd"),
+    ("actual_delivery_date", "yyyy-MM-dd"), ("expected_arrival_date", "yyyy-MM-dd"), ("cargo_ready_date", "yyyy-MM-dd"),
+    ("inb_receiving_date", "yyyy-MM-dd"), ("expected_delivery_date", "yyyy-MM-dd"), ("customs_clearance_date", "dd.MM.yyyy"),
+)
+# The overview's outputs after the shipment number, as (output, side, column); two dates are the header's own text.
+SHIPMENT_OUTPUTS = (
+    ("container_number", "header", "container"), ("telex_release_date_supplier", "dates", "telex_release_date_supplier"),
+    ("telex_release_date_ffwp", "dates", "telex_release_date"), ("actual_arrival_date", "dates", "actual_arrival_date"),
+    ("actual_cargo_pickup_date", "dates", "actual_cargo_pick_up_date"), ("actual_shipping_date", "dates", "actual_shipping_date"),
+    ("actual_pickup_date", "dates", "actual_cargo_pick_up_date"), ("gate_in", "dates", "gate_in"),
+    ("expected_shipping_date", "dates", "expected_shipping_date"), ("expected_arrival_date", "dates", "expected_arrival_date"),
+    ("actual_delivery_date", "dates", "actual_delivery_date"), ("cargo_ready_date", "dates", "cargo_ready_date"),
+    ("inb_receiving_date", "dates", "inb_receiving_date"), ("shipment_method", "header", "shipment_method"),
+    ("port_of_departure", "header", "port_of_departure"), ("port_of_arrival", "header", "port_of_arrival"),
+    ("ff_remarks", "header", "ff_remarks"), ("expected_delivery_date", "header", "expected_delivery_date"),
+    ("customs_clearance_date", "header", "customs_clearance_date"), ("ffw", "header", "forwarder"),
+)
+# Shipment columns that tracked lines get.
+LINE_SHIPMENT_COLUMNS = ("container_number", "actual_arrival_date", "actual_shipping_date", "actual_pickup_date", "gate_in",
+                         "expected_shipping_date", "actual_delivery_date", "ffw", "telex_release_date_supplier", "telex_release_date_ffwp",
+                         "expected_arrival_date", "expected_delivery_date")

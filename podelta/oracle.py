@@ -7,7 +7,7 @@ pre-registered tables.
 
 from __future__ import annotations
 
-from podelta.config import INSPECTION_MAP, LINE_FIELDS, LAST_LABEL, NOT_BLANK, TRACKED_DANGLING, TRACKED_MAP, TRACKER_RULES
+from podelta.config import INSPECTION_MAP, LINE_FIELDS, LAST_LABEL, NOT_BLANK, SHIPMENT_DATES, TRACKED_DANGLING, TRACKED_MAP, TRACKER_RULES
 from podelta.sources.fixtures import cte_chain
 
 ORACLE: dict[str, str] = {}
@@ -324,6 +324,7 @@ SELECT po_line_unique_key, listagg(document_number, ', ' ORDER BY document_numbe
 FROM invoice_map GROUP BY po_line_unique_key
 """)
 
+_STRP = {"dd.MM.yyyy": "%d.%m.%Y", "yyyy-MM-dd": "%Y-%m-%d"}
 SHIP_DATES = BATCH_TELEX + """,
 released AS (
   SELECT l.shipment_number, MAX(t.batch_telex_date) AS day
@@ -332,8 +333,7 @@ released AS (
 ),
 ship_dates AS (
   SELECT shipment_number, MAX(r.day) AS telex_release_date_supplier,
-         MAX(CAST(try_strptime(telex_release_date, '%d.%m.%Y') AS DATE)) AS telex_release_date_ffwp,
-         MAX(CAST(try_strptime(actual_arrival_date, '%Y-%m-%d') AS DATE)) AS actual_arrival_date
+         """ + ", ".join(f"MAX(CAST(try_strptime({c}, '{_STRP[fmt]}') AS DATE)) AS {c}" for c, fmt in SHIPMENT_DATES) + """
   FROM shipment_header LEFT JOIN released r USING (shipment_number)
   WHERE shipment_number IN (SELECT shipment_number FROM shipment_lines)
   GROUP BY ALL
@@ -345,7 +345,10 @@ sql("shipment_dates", _SHIP, "SELECT * FROM ship_dates", extra=SHIP_DATES)
 SHIP_OVERVIEW = SHIP_DATES + """,
 ship_overview AS (
   SELECT h.shipment_number AS inb, h.container AS container_number, d.telex_release_date_supplier,
-         d.telex_release_date_ffwp, d.actual_arrival_date, h.forwarder AS ffw
+         d.telex_release_date AS telex_release_date_ffwp, d.actual_arrival_date, d.actual_cargo_pick_up_date AS actual_cargo_pickup_date,
+         d.actual_shipping_date, d.actual_cargo_pick_up_date AS actual_pickup_date, d.gate_in, d.expected_shipping_date,
+         d.expected_arrival_date, d.actual_delivery_date, d.cargo_ready_date, d.inb_receiving_date, h.shipment_method,
+         h.port_of_departure, h.port_of_arrival, h.ff_remarks, h.expected_delivery_date, h.customs_clearance_date, h.forwarder AS ffw
   FROM shipment_header h LEFT JOIN ship_dates d ON h.shipment_number = d.shipment_number
 )"""
 
@@ -371,7 +374,8 @@ _ENRICH_NEEDS = ("order_lines", "line_attributes", "shipment_header", "shipment_
 
 sql("line_enriched", _ENRICH_NEEDS, """
 SELECT t.document_number, t.ord, t.line_key, t.tracker, a.deliver_to_location, s.container_number,
-       s.actual_arrival_date, s.telex_release_date_ffwp, s.ffw, p.spd
+       s.actual_arrival_date, s.actual_shipping_date, s.actual_pickup_date, s.gate_in, s.expected_shipping_date, s.actual_delivery_date,
+       s.ffw, s.telex_release_date_supplier, s.telex_release_date_ffwp, s.expected_arrival_date, s.expected_delivery_date, p.spd
 FROM labelled t
 LEFT JOIN (SELECT rollup_id, deliver_to_location FROM (
              SELECT *, row_number() OVER (PARTITION BY rollup_id ORDER BY deliver_to_location, currency) AS rn
@@ -784,3 +788,11 @@ SELECT m.list, m.field, m.source, pos < last AS overridden, own.n IS NULL AS dan
 FROM claims m
 LEFT JOIN cols own ON own.list = m.list AND own.col = m.source
 LEFT JOIN cols same ON same.list = m.list AND same.col = m.field"""
+
+sql("delivery_outcomes", ("delivery_results",), """
+SELECT batch_no, COUNT(*) AS attempts, COUNT(*) FILTER (success AND NOT late) AS successful, COUNT(*) FILTER (late) AS timed_out,
+       COUNT(*) FILTER (NOT success AND NOT late) AS failed, COUNT(*) FILTER (success IS NULL AND NOT late) AS unanswered,
+       bool_or(coalesce(success, false) OR late) AS delivered, arg_max(rows_read, attempt) AS rows_read,
+       arg_max(rows_processed, attempt) AS rows_processed
+FROM (SELECT *, coalesce(status = 'timeout', false) AS late FROM delivery_results) r GROUP BY batch_no
+""")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, INSPECTION_MAP, INSPECTION_WIDE, LINE_FIELDS,
+from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, INSPECTION_MAP, INSPECTION_WIDE, LINE_FIELDS, LINE_SHIPMENT_COLUMNS,
                             ROLLUP_LIST, TRACKED_MAP, TRACKED_WIDE, TRACKER_LIST)
 from podelta.functions import exprs as X
 from podelta.operators import changeset, inspection, lookups, outbox, rollup, rules, views, widelist
@@ -246,11 +246,9 @@ def line_enriched(spark):
     out = lookups.first_match_lookup(lines, attrs, "line_key", "rollup_id", ["deliver_to_location"],
                                      order=["deliver_to_location", "currency"])
     ship = _overview(spark)
-    out = lookups.unique_lookup(out, ship, "inb", "inb",
-                                ["container_number", "actual_arrival_date", "telex_release_date_ffwp", "ffw"])
+    out = lookups.unique_lookup(out, ship, "inb", "inb", LINE_SHIPMENT_COLUMNS)
     out = lookups.unique_lookup(out, views.planned_dates(T(spark, "planned_pickup")), "batch_id", "batch_id", ["spd"])
-    return out.select("document_number", "ord", "line_key", "tracker", "deliver_to_location", "container_number",
-                      "actual_arrival_date", "telex_release_date_ffwp", "ffw", "spd")
+    return out.select("document_number", "ord", "line_key", "tracker", "deliver_to_location", *LINE_SHIPMENT_COLUMNS, "spd")
 
 
 @query("rollup_labels", ("order_lines",))
@@ -519,7 +517,7 @@ def _tracker_changes(spark) -> DataFrame:
 
 
 def _outbox_rows(spark) -> DataFrame:
-    return outbox.outbox_rows(_tracker_changes(spark), reserved_extra=RESERVED_EXTRA)
+    return outbox.outbox_rows(_tracker_changes(spark))
 
 
 @query("outbox_payload", LISTS)
@@ -532,7 +530,7 @@ def outbox_payload(spark):
 @query("outbox_requests", LISTS)
 def outbox_requests(spark):
     """Numbered create / update / access / delete requests."""
-    return outbox.outbox_requests(_outbox_rows(spark))
+    return outbox.outbox_requests(_outbox_rows(spark), outbox.payloads(_tracker_changes(spark), reserved_extra=RESERVED_EXTRA))
 
 
 def returned_ids_standin(rows: DataFrame) -> DataFrame:
@@ -557,3 +555,9 @@ def permission_requests(spark):
 def outbox_summary(spark):
     """A10: rows read / processed and requests per batch."""
     return outbox.outbox_summary(_outbox_rows(spark))
+
+
+@query("delivery_outcomes", ("delivery_results",))
+def delivery_outcomes(spark):
+    """A10: attempts and outcomes of every delivered batch, time-outs apart."""
+    return outbox.delivery_outcomes(T(spark, "delivery_results"))

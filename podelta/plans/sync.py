@@ -54,8 +54,9 @@ def tracked_sync(lines: DataFrame, held: DataFrame, spec: ListSpec) -> dict[str,
     members = pinned(rollup.memberships(rows))
     desired = lookups.align_schema(merged_rows(members), [(f.name, f.source or f.name) for f in spec.fields])
     changes = pinned(changeset.change_set(held, desired, spec))
-    numbered = outbox.outbox_rows(changes, key=spec.key, item_id=spec.item_id, reserved_extra=RESERVED)
-    return {"change_set": changes, "requests": outbox.outbox_requests(numbered), "batches": outbox.outbox_summary(numbered),
+    numbered = outbox.outbox_rows(changes, key=spec.key, item_id=spec.item_id)
+    bodies = outbox.payloads(changes, spec.key, spec.item_id, RESERVED)
+    return {"change_set": changes, "requests": outbox.outbox_requests(numbered, bodies), "batches": outbox.outbox_summary(numbered),
             "collisions": rollup.collisions(members), "dropped": rollup.dropped_lines(rows)}
 
 
@@ -84,7 +85,22 @@ def report(outputs: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_outputs(outputs: dict[str, DataFrame], path: str) -> None:
-    """Every output as a table below ``path``; requests by batch number."""
+def write_outputs(outputs: dict[str, DataFrame], path: str, run_id: str) -> bool:
+    """Every output below ``path`` as one run: the ledger and the outbox grow, the others show the last run.
+
+    The run is committed by its last write, so a run that died on the way is written anew by the same ``run_id`` and a
+    committed one is not repeated; returns whether anything was written.
+    """
+    spark = next(iter(outputs.values())).sparkSession
+    if io.is_committed(spark, path, run_id):
+        return False
     for name, df in outputs.items():
-        (io.write_outbox if name == "requests" else io.write_table)(df, f"{path}/{name}")
+        if name == "requests":
+            io.write_outbox(df, f"{path}/{name}", run_id)
+        elif name == "new_lines":
+            io.append_ledger(df, f"{path}/sent", run_id)
+            io.write_table(df, f"{path}/{name}")
+        else:
+            io.write_table(df, f"{path}/{name}")
+    io.commit(spark, path, run_id)
+    return True

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from podelta.config import LINE_FIELDS, TRACKED_DANGLING, TRACKED_MAP
+from podelta.config import LINE_FIELDS, SHIPMENT_DATES, TRACKED_DANGLING, TRACKED_MAP
 from podelta.sources.tables import register_tables
 
 AS_OF = "1998-06-15"
@@ -79,6 +79,12 @@ def _document_value(name: str, kind, at: int) -> str:
     return f"""CASE {n} WHEN 0 THEN 'null' WHEN 1 THEN '""' WHEN 2 THEN '" padded text {at} "' ELSE '"Text ' || CAST(k % 40000 AS STRING) || '"' END"""
 
 
+def _day(at: int, fmt: str) -> str:
+    """A date as text: the order's year, another month and day per column."""
+    year, month, day = "SUBSTR(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 4)", f"'{at % 12 + 1:02}'", f"'{at * 2 + 1:02}'"
+    return f"{day} || '.' || {month} || '.' || {year}" if fmt.startswith("dd") else f"{year} || '-' || {month} || '-' || {day}"
+
+
 # name -> (sql, dependencies).  Order is a valid build order.
 FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "order_lines": (f"""
@@ -156,13 +162,18 @@ SELECT CAST(s_suppkey AS STRING), s_name, 'zz-second@example.com', 'zz-cm@exampl
 SELECT DISTINCT line_key, document_number, item, line_id, '1998-06-01' AS date_sent, 'No' AS resend
 FROM order_lines WHERE CAST(SUBSTR(document_number, 3) AS BIGINT) % 4 = 0
 """, ("order_lines",)),
-    "shipment_header": ("""
+    "shipment_header": (f"""
 SELECT 'INB' || CAST(o_orderkey AS STRING) AS shipment_number,
        'C' || CAST(o_custkey AS STRING) AS container,
        CAST(CAST(o_orderdate AS DATE) AS STRING) AS actual_arrival_date,
        SUBSTR(CAST(CAST(o_orderdate AS DATE) AS STRING), 9, 2) || '.' || SUBSTR(CAST(CAST(o_orderdate AS DATE) AS STRING), 6, 2)
          || '.' || SUBSTR(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 4) AS telex_release_date,
-       o_orderpriority AS forwarder
+       o_orderpriority AS forwarder,
+       {", ".join(f"""CASE CAST((o_orderkey + {at}) % 11 AS INT) WHEN 0 THEN 'soon' WHEN 1 THEN NULL WHEN 2 THEN '1998-02-30'
+         ELSE {_day(at, fmt)} END AS {c}""" for at, (c, fmt) in enumerate(SHIPMENT_DATES) if at > 1)},
+       'Method ' || CAST(o_orderkey % 3 AS STRING) AS shipment_method, 'Port ' || CAST(o_custkey % 7 AS STRING) AS port_of_departure,
+       CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE 'Port ' || CAST(o_custkey % 9 AS STRING) END AS port_of_arrival,
+       CASE WHEN o_orderkey % 4 = 0 THEN 'held, see note' ELSE NULL END AS ff_remarks
 FROM orders
 """, ()),
     "shipment_lines": ("""
@@ -239,6 +250,13 @@ SELECT line_key, ord, '{{' || {" || ',' || ".join(f"""'"{key}":' || {_document_v
        || '}}' AS rdata, snapshot_ts
 FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k FROM order_line_snapshots) t
 """, ("order_line_snapshots",)),
+    "delivery_results": ("""
+SELECT CAST(o_orderkey % 997 AS BIGINT) AS batch_no, CAST(o_orderkey AS BIGINT) AS attempt,
+       CASE CAST(o_orderkey % 7 AS INT) WHEN 0 THEN 'timeout' WHEN 1 THEN NULL WHEN 2 THEN 'error' ELSE 'ok' END AS status,
+       CASE CAST(o_orderkey % 7 AS INT) WHEN 2 THEN FALSE WHEN 1 THEN NULL ELSE TRUE END AS success,
+       CAST(o_orderkey % 31 AS BIGINT) AS rows_read, CAST(o_orderkey % 29 AS BIGINT) AS rows_processed
+FROM orders
+""", ()),
     "qi_list": ("""
 SELECT title,
        CASE CAST(list_id % 7 AS INT) WHEN 0 THEN '{''Value'': ''Yes'', ''Id'': 1}' WHEN 1 THEN '{''Value'': ''No'', ''Id'': 2}'

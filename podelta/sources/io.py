@@ -36,15 +36,52 @@ def read_list_csv(spark: SparkSession, path: str, spec: ListSpec, extra=()) -> D
             .option("escape", '"').csv(path))
 
 
-# S3 -------------------------------------------------------------------------
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The sent ledger (all text); an empty ledger of the same schema when nothing was written yet."""
+# Runs ------------------------------------------------------------------------
+def is_committed(spark: SparkSession, path: str, run_id: str) -> bool:
+    return _rows_or_none(spark.read.schema("run string"), f"{path}/_runs/{run_id}") is not None
+
+
+def commit(spark: SparkSession, path: str, run_id: str) -> None:
+    """Mark a run as complete: the single write that makes its rows visible."""
+    spark.createDataFrame([(run_id,)], "run string").coalesce(1).write.mode("overwrite").parquet(f"{path}/_runs/{run_id}")
+
+
+def _rows_or_none(reader, path: str, fmt: str = "parquet") -> DataFrame | None:
     try:
-        return spark.read.schema(LEDGER_SCHEMA).option("header", True).csv(path)
+        return reader.format(fmt).load(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+        return None
+
+
+def _write_run(rows: DataFrame, path: str, run_id: str) -> None:
+    """Rows of one run into a folder of their own, replacing what an earlier try left, then the commit."""
+    if not is_committed(rows.sparkSession, path, run_id):
+        rows.write.mode("overwrite").parquet(f"{path}/rows/run={run_id}")
+        commit(rows.sparkSession, path, run_id)
+
+
+def _committed_rows(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame | None:
+    """Rows of committed runs; one small row per run is joined, so folders of unfinished runs are left out."""
+    runs = _rows_or_none(spark.read.schema("run string").option("recursiveFileLookup", True), f"{path}/_runs")
+    if runs is None:
+        return None
+    full = StructType([*(StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields, StructField("run", StringType())])
+    return spark.read.schema(full).parquet(f"{path}/rows").join(runs, "run", "left_semi").drop("run")
+
+
+# S3 -------------------------------------------------------------------------
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The sent ledger (all text) of the committed runs; an empty one of the same schema when there is none yet."""
+    rows = _committed_rows(spark, path, LEDGER_SCHEMA)
+    return spark.createDataFrame([], LEDGER_SCHEMA) if rows is None else rows
+
+
+def import_ledger_csv(spark: SparkSession, csv: str) -> DataFrame:
+    """A ledger kept as CSV with a header, as rows for ``append_ledger`` of a first run."""
+    rows = spark.read.schema(LEDGER_SCHEMA).option("header", True).csv(csv)
+    return rows.withColumnRenamed("line_key", "order_line_id").withColumn("date_sent", F.col("date_sent").try_cast("date"))
 
 
 # S4 -------------------------------------------------------------------------
@@ -71,16 +108,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 # S7 -------------------------------------------------------------------------
-def append_ledger(new_lines: DataFrame, path: str) -> None:
-    """Append only this run's new lines to the ledger (the old rows stay where they are)."""
+def append_ledger(new_lines: DataFrame, path: str, run_id: str) -> None:
+    """This run's new lines; running again with the same id adds nothing, and a run that died before its commit is replaced."""
     rows = new_lines.select(F.col("order_line_id").alias("line_key"), "document_number", "item", "line_id",
                             F.date_format("date_sent", "yyyy-MM-dd").alias("date_sent"), "resend")
-    rows.write.mode("append").option("header", True).csv(path)
+    _write_run(rows, path, run_id)
 
 
 # S8 -------------------------------------------------------------------------
-def write_outbox(requests: DataFrame, path: str) -> None:
-    """Outbox table, one folder per batch number."""
-    requests.write.mode("overwrite").partitionBy("batch_no").parquet(path)
+def write_outbox(requests: DataFrame, path: str, run_id: str) -> None:
+    """This run's requests in files of coarse, ordered ranges of batch numbers, so that a batch is found by file statistics.
+
+    Requests of earlier runs, delivered or not, stay.
+    """
+    _write_run(requests.repartitionByRange("batch_no").sortWithinPartitions("batch_no", "row_no", "seq"), path, run_id)
 
 
+def read_outbox(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """Requests of all committed runs; None before the first."""
+    return _committed_rows(spark, path, schema)

@@ -7,6 +7,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from podelta.config import INSPECTION_LIST
 from podelta.sources import io
 
@@ -33,17 +35,44 @@ def test_ledger_missing_then_append(spark):
     new = spark.createDataFrame([("K1", "D1", "I1", "1", dt.date(2024, 1, 2), "No")],
                                 "order_line_id string, document_number string, item string, line_id string, "
                                 "date_sent date, resend string")
-    io.append_ledger(new, path)
-    io.append_ledger(new, path)
+    io.append_ledger(new, path, "r1")
+    io.append_ledger(new, path, "r1")  # the same run again
+    assert io.read_ledger(spark, path).count() == 1
+    io.append_ledger(new, path, "r2")
     back = io.read_ledger(spark, path)
     assert back.count() == 2 and back.first()["date_sent"] == "2024-01-02"
 
 
+def test_a_run_that_dies_before_its_commit_is_replaced(spark, monkeypatch):
+    path = os.path.join(tempfile.mkdtemp(prefix="podelta-io-"), "ledger")
+    new = spark.createDataFrame([("K1", "D1", "I1", "1", dt.date(2024, 1, 2), "No")],
+                                "order_line_id string, document_number string, item string, line_id string, date_sent date, resend string")
+    real = io.commit
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    io.append_ledger(new, path, "r1")
+    monkeypatch.setattr(io, "commit", die)
+    with pytest.raises(RuntimeError):
+        io.append_ledger(new.unionAll(new), path, "r2")
+    assert io.read_ledger(spark, path).count() == 1  # rows are there, but the run is not
+    monkeypatch.setattr(io, "commit", real)
+    io.append_ledger(new, path, "r2")
+    assert io.read_ledger(spark, path).count() == 2
+
+
 def test_table_and_outbox_sinks(spark):
     work = tempfile.mkdtemp(prefix="podelta-io-")
-    df = spark.createDataFrame([(1, "a"), (4, "b")], "batch_no long, kind string")
-    io.write_outbox(df, os.path.join(work, "outbox"))
-    parts = sorted(d for d in os.listdir(os.path.join(work, "outbox")) if d.startswith("batch_no="))
-    assert parts == ["batch_no=1", "batch_no=4"]
+    schema = "batch_no long, row_no long, seq long, kind string"
+    df = spark.createDataFrame([(b, b, 0, "a") for b in range(1, 401)], schema)
+    at = os.path.join(work, "outbox")
+    assert io.read_outbox(spark, at, schema) is None
+    io.write_outbox(df, at, "r1")
+    io.write_outbox(df, at, "r1")
+    io.write_outbox(df.limit(3), at, "r2")  # earlier requests stay
+    assert io.read_outbox(spark, at, schema).count() == 403
+    files = [f for _, _, names in os.walk(os.path.join(at, "rows")) for f in names if f.endswith(".parquet")]
+    assert len(files) < 40
     io.write_table(df, os.path.join(work, "t"), fmt="csv")
-    assert spark.read.option("header", True).csv(os.path.join(work, "t")).count() == 2
+    assert spark.read.option("header", True).csv(os.path.join(work, "t")).count() == 400

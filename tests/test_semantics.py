@@ -268,7 +268,7 @@ def test_outbox_requests_and_permissions(spark):
         ("x", None, "update", "1", ""),
     ], "title string, list_id long, action string, add_user_ids string, remove_user_ids string")
     rows = outbox.outbox_rows(changes, chunk_size=2)
-    reqs = _rows(outbox.outbox_requests(rows).orderBy("batch_no", "row_no", "seq"), "batch_no", "kind", "title", "principal")
+    reqs = _rows(outbox.outbox_requests(rows, outbox.payloads(changes)).orderBy("batch_no", "row_no", "seq"), "batch_no", "kind", "title", "principal")
     assert reqs == [(1, "create", "a", None), (3, "update", "u", None), (3, "break_inheritance", "u", None),
                     (3, "grant", "u", "1"), (3, "grant", "u", "2"), (3, "revoke", "u", "3"), (6, "delete", "d", None)]
     returned = spark.createDataFrame([(0, 1, 77)], "chunk_no long, position int, item_id long")
@@ -281,7 +281,7 @@ def test_outbox_requests_and_permissions(spark):
 def test_delivery_summary(spark):
     res = spark.createDataFrame([(1, "ok", True), (2, "timeout", True), (3, None, False)],
                                 "batch_no int, status string, success boolean")
-    assert tuple(outbox.delivery_summary(res).first()) == (3, 1, 1, 1)
+    assert tuple(outbox.delivery_summary(res).first()) == (3, 1, 1, 1, 0)
 
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from podelta.config import CHUNK_SIZE, INSPECTION_WIDE, ROLLUP_LIST, TRACKED_MAP, TRACKED_WIDE, FieldSpec, ListSpec
 from podelta.operators import changeset, lookups, rollup, widelist
 from podelta.plans import catalog, sync
+from podelta.sources import io
 from podelta.sources.fixtures import register_fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -73,10 +74,13 @@ def test_sync_is_a_fixed_point(spark):
 def test_outputs_are_written(spark, tmp_path):
     register_fixtures(spark, SF, catalog.SYNC_INPUTS)
     out = sync.tracked_sync(spark.table("order_lines"), catalog.held_rollup_list(spark), ROLLUP_LIST)
-    sync.write_outputs(out, str(tmp_path))
-    for name, df in out.items():
-        assert spark.read.parquet(f"{tmp_path}/{name}").count() == df.count()
-    sizes = spark.read.parquet(f"{tmp_path}/requests").groupBy("chunk_no").agg(F.count_distinct("row_no").alias("n"))
+    assert sync.write_outputs(out, str(tmp_path), "r1") and not sync.write_outputs(out, str(tmp_path), "r1")
+    for name in ("change_set", "batches", "collisions", "dropped"):
+        assert spark.read.parquet(f"{tmp_path}/{name}").count() == out[name].count()
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out["requests"].schema)
+    requests = io.read_outbox(spark, f"{tmp_path}/requests", schema)
+    assert requests.count() == out["requests"].count()
+    sizes = requests.groupBy("chunk_no").agg(F.count_distinct("row_no").alias("n"))
     assert sizes.agg(F.max("n")).first()[0] == CHUNK_SIZE
 
 
