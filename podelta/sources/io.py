@@ -7,7 +7,7 @@ every sink is a distributed write: nothing passes through the driver.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -30,10 +30,38 @@ def list_schema(spec: ListSpec, extra=()) -> StructType:
 
 
 # S2 -------------------------------------------------------------------------
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, record, text): the records of CSV files whose quoted cells may span lines, split in parallel.
+
+    A line begins a record if an even number of quotes stands before it in its file.  Each byte range counts the quotes
+    and the records it would begin for either parity; a running sum over the ranges, one row each, settles which holds.
+    Lines of a record that spans ranges meet by its number.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    lines = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                        F.monotonically_increasing_id().alias("at"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    here = Window.partitionBy("file", "block").orderBy("at")
+    before = here.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("odd", F.coalesce(F.sum(quotes).over(before), F.lit(0)) % 2).withColumn("quotes", quotes)
+    ranges = lines.groupBy("file", "block").agg((F.sum("quotes") % 2).alias("parity"), F.count_if(F.col("odd") == 0).alias("even"),
+                                                F.count_if(F.col("odd") == 1).alias("uneven"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("open", F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2)
+    ranges = ranges.withColumn("base", F.coalesce(F.sum(F.when(F.col("open") == 0, F.col("even")).otherwise(F.col("uneven"))).over(earlier),
+                                                  F.lit(0)))
+    begins = F.sum((F.col("odd") == F.col("open")).cast("int")).over(here.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = lines.join(ranges.select("file", "block", "open", "base"), ["file", "block"]).withColumn("record", F.col("base") + begins)
+    parts = F.array_sort(F.collect_list(F.struct("block", "at", "value")))
+    return numbered.groupBy("file", "record").agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("text"))
+
+
 def read_list_csv(spark: SparkSession, path: str, spec: ListSpec, extra=()) -> DataFrame:
-    """Externally held list exported as CSV with a header (quoted multi-line cells allowed)."""
-    return (spark.read.schema(list_schema(spec, extra)).option("header", True).option("multiLine", True)
-            .option("escape", '"').csv(path))
+    """Externally held list exported as CSV with a header (quoted multi-line cells allowed), read by as many tasks as it has ranges."""
+    schema = list_schema(spec, extra)
+    rows = csv_records(spark, path).where("record > 1")  # the first is the header
+    cells = F.from_csv(F.regexp_replace("text", "\r$", ""), F.lit(schema.toDDL()), {"escape": '"'})
+    return rows.where("text <> ''").select(cells.alias("c")).select("c.*")
 
 
 # Runs ------------------------------------------------------------------------

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import json
 import os
+import random
 import tempfile
 
 import pytest
@@ -27,6 +29,31 @@ def test_list_csv_and_id_map(spark):
     assert m == {"User1": 101, "User2": 102}
 
 
+def test_a_large_list_is_read_by_many_tasks(spark):
+    """Cells with quotes, commas and line ends across the borders of byte ranges; equal to the one-task reader."""
+    rng = random.Random(4)
+    work = tempfile.mkdtemp(prefix="podelta-io-")
+    names = [f.name for f in io.list_schema(INSPECTION_LIST).fields]
+    for part in range(2):
+        with open(os.path.join(work, f"{part}.csv"), "w", newline="") as f:
+            out = csv.writer(f, quoting=csv.QUOTE_MINIMAL)
+            out.writerow(names)
+            for i in range(3000):
+                cell = "".join(rng.choice(["a", "b", '"', ",", "\n", "\n\n", " ", '""', "é"]) for _ in range(rng.randrange(12))) or "x"
+                out.writerow([f"T{part}-{i}", i, "x" + cell + "y", *["z" + rng.choice(["", "\n", '"']) + "z"] * (len(names) - 3)])
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        one = spark.read.schema(io.list_schema(INSPECTION_LIST)).option("header", True).option("multiLine", True).option("escape", '"').csv(work)
+        want = sorted(map(tuple, one.collect()))
+        spark.conf.set(key, "7000b")
+        got = io.read_list_csv(spark, work, INSPECTION_LIST)
+        assert spark.read.text(work).rdd.getNumPartitions() > 20
+        assert sorted(map(tuple, got.collect())) == want and len(want) == 6000
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_ledger_missing_then_append(spark):
     work = tempfile.mkdtemp(prefix="podelta-io-")
     path = os.path.join(work, "ledger")
