@@ -30,6 +30,14 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``let v = value in body(v)``: ``value`` is computed once per row however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
-from podelta.llm.common import bind, stage
+from podelta.llm.common import bind, free_name, stage
 
 SEED = 20
 #: Without weights a source is weighted by its row count to this power: 1 keeps the mix, 0 makes all sources equal.
@@ -67,14 +67,16 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: d
     ``copy`` names an added column with the copy's number from 0 (it replaces a column of that name).  Null keys draw as the
     empty key, repeated rows draw alike, a null source is a source of its own, an empty table gives no rows.
     """
-    table = stage(rates(docs, source, weights, total, temperature).select(
-        F.struct("source", "cdf").alias("__rate")), "rates")
-    rated = docs.join(table, docs[source].eqNullSafe(F.col("__rate.source")))
-    draw = uniform(seed, F.col(key), F.col(source))
-    times = bind(draw, lambda u: F.size(F.filter(F.col("__rate.cdf"), lambda c: c <= u)))
-    counted = rated.withColumn("__rate", times).where("__rate > 0")
-    copies = counted.withColumn("__rate", F.explode(F.sequence(F.lit(0), F.col("__rate") - 1)))
+    rate = free_name(docs, "rate")
+    table = stage(rates(docs, source, weights, total, temperature).select(F.struct("source", "cdf").alias(rate)), "rates")
+    rated = docs.join(table, docs[source].eqNullSafe(F.col(f"{rate}.source")))
+    draw = uniform(seed, F.col(f"`{key}`"), F.col(f"`{source}`"))
+    times = bind(draw, lambda u: F.size(F.filter(F.col(f"{rate}.cdf"), lambda c: c <= u)))
+    counted = rated.withColumn(rate, times).where(F.col(rate) > 0)
+    copies = counted.withColumn(rate, F.explode(F.sequence(F.lit(0), F.col(rate) - 1)))
     # All columns take part, so that rows without a key, or of one key, are dealt out as well.
-    place = F.xxhash64(F.lit(seed), *(F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, AtomicType)), F.col("__rate"))
-    dealt = copies.withColumn("__place", place).repartition("__place").sortWithinPartitions("__place")
-    return dealt.drop("__place", "__rate") if copy is None else dealt.drop("__place", *([copy] if copy in docs.columns else [])).withColumnRenamed("__rate", copy)
+    place = free_name(copies, "place")
+    deal = F.xxhash64(F.lit(seed), *(F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, AtomicType)), F.col(rate))
+    dealt = copies.withColumn(place, deal).repartition(place).sortWithinPartitions(place)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != copy]
+    return dealt.select(*kept, *([] if copy is None else [F.col(rate).alias(copy)]))

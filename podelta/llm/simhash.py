@@ -18,8 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
-from podelta.llm.common import arrow_schema, batches, spark_schema, stage
+from podelta.llm.common import arrow_schema, batches, free_name, spark_schema, stage
 from podelta.llm.components import components
 
 #: Fixed values of the contract.
@@ -239,7 +240,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     """One row of each near-duplicate component of ``docs``, all columns unchanged: that of the least (key, text hash).
 
     Keys order before null, so a row without a key stays only if its whole component has none.  Of rows that agree in key
-    and text one stays.  Texts are shuffled once, by key and text hash.
+    and text the least by their other columns stays.  Texts are shuffled once, by key and text hash.
     """
     fps = stage(fingerprints(docs, key, text, size), "fingerprints")
     roots = _components(fps, key, bits, shard, sample)
@@ -247,12 +248,17 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     groups = fps.groupBy("fp").agg(F.min(rank).alias("first"), F.count("*").alias("n")).join(roots, "fp")
     chosen = groups.groupBy("root").agg(F.min("first").alias("first")).select("first.key", "first.text_hash")
     counts = fps.groupBy(F.col(key).alias("key"), "text_hash").agg(F.count("*").alias("rows"))
+    mark = free_name(docs, "chosen")
     chosen = stage(chosen.alias("c").join(counts.alias("n"), F.col("c.key").eqNullSafe(F.col("n.key"))
                                           & (F.col("c.text_hash") == F.col("n.text_hash")))
-                   .select(F.struct(F.col("c.key").alias("key"), F.col("c.text_hash").alias("hash"), "rows").alias("__chosen")),
-                   "chosen")
+                   .select(F.struct(F.col("c.key").alias("key"), F.col("c.text_hash").alias("hash"), "rows").alias(mark)), "chosen")
     hashed = F.xxhash64(F.coalesce(docs[text], F.lit("")))
-    kept = docs.join(chosen, docs[key].eqNullSafe(F.col("__chosen.key")) & (hashed == F.col("__chosen.hash")))
-    once = kept.where("__chosen.rows = 1").drop("__chosen")
-    repeated = kept.where("__chosen.rows > 1").dropDuplicates(["__chosen"]).drop("__chosen")
+    kept = docs.join(chosen, docs[key].eqNullSafe(F.col(f"{mark}.key")) & (hashed == F.col(f"{mark}.hash")))
+    once = kept.where(F.col(f"{mark}.rows") == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Of rows that agree in key and text the least by all other columns stays, whichever task sees it first.
+    order = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in (key, text) and isinstance(f.dataType, AtomicType)]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rank = F.struct(*[c.isNull() for c in order], *order, F.col(f"`{text}`").isNull(), F.xxhash64(F.to_json(row)))
+    repeated = (kept.where(F.col(f"{mark}.rows") > 1).groupBy(mark).agg(F.min_by(row, rank).alias(mark + "_row"))
+                .select(*[F.col(f"{mark}_row.`{c}`").alias(c) for c in docs.columns]))
     return once.unionAll(repeated)

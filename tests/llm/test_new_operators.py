@@ -11,7 +11,7 @@ import zlib
 import numpy as np
 import pytest
 
-from podelta.llm import conversation_repair, orchard, recompression
+from podelta.llm import conversation_repair, mixing, orchard, pii, recompression, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -299,3 +299,35 @@ def test_orchard_search_is_exact_and_prunes():
     far = np.repeat(np.arange(50) * 1000, 20)[:, None] + rng.integers(0, 9, size=(1000, 1))
     *_, computed = orchard.search(far, np.arange(50)[:, None] * 1000, orchard.neighbour_lists(np.arange(50)[:, None] * 1000))
     assert computed < 0.6 * far.size * 50
+
+
+# --- columns that clash with working names, ties ------------------------------
+CLASH = "doc_id long, text string, source string, Rate string, place string, __rate string, chosen string, spans string, __spans string, key string"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(i, t, s, "r", "p", "q", "c", "s", "u", "k") for i, t, s in rows], CLASH)
+
+
+def test_clashing_columns_pass_unchanged(spark):
+    text = "Write to ann@example.org about the many things of this long enough text"
+    rows = clashing(spark, [(1, text, "a"), (2, "other words stand in this text", "b"), (None, None, None)])
+    rest = ("r", "p", "q", "c", "s", "u", "k")
+    mixed = mixing.mix(rows, weights={"a": 1.0, "b": 1.0}, total=40)
+    assert mixed.columns == rows.columns and {tuple(r)[3:] for r in mixed.collect()} == {rest}
+    numbered = mixing.mix(rows, weights={"a": 1.0, "b": 1.0}, total=40, copy="place")
+    assert numbered.columns == [c for c in rows.columns if c != "place"] + ["place"] and numbered.agg({"place": "min"}).first()[0] == 0
+    kept = simhash.keep_one(rows)
+    assert kept.columns == rows.columns and sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    train = spark.read.parquet(f"{SF}/documents.parquet")
+    cut = pii.redact(rows, booster=pii.train(train, "text"))
+    assert cut.columns == rows.columns
+    got = {r.doc_id: r for r in cut.collect()}
+    assert got[1].text == text.replace("ann@example.org", "[EMAIL]") and all(tuple(r)[3:] == rest for r in got.values())
+
+
+def test_ties_keep_the_least_row(spark):
+    rows = [(1, "same words in the same text", s) for s in ("b", "a", None, "c")] + [(2, None, "y"), (2, "", "x")]
+    for order in (rows, rows[::-1]):
+        got = sorted((r.doc_id, r.text, r.source) for r in simhash.keep_one(clashing(spark, order).repartition(5)).collect())
+        assert got == [(1, "same words in the same text", "a"), (2, "", "x")]
