@@ -67,13 +67,16 @@ def label_text(df: DataFrame, rules=TRACKER_RULES, last_label: str = LAST_LABEL)
 def label_lines(df: DataFrame, rules=TRACKER_RULES, keep_unlabelled: bool = False) -> DataFrame:
     """Add ``tracker`` (', '-joined labels); R4 keeps labelled lines only.
 
-    A projection and a filter on the line itself: no job runs while the frame is built, no line moves, and each line is
-    labelled from the values that are read with it.
+    One projection of the line itself: no job runs while the frame is built, no line moves, and each line is labelled from
+    the values that are read with it.  A line is emitted for its label, if it has one, so that no later filter computes the
+    label again.
     """
     texts = sorted({c.column for r in rules for c in r.conditions if c.column in df.columns})
     staged = df.withColumns({_stripped_name(c): strip(F.col(c).cast("string")) for c in texts})
-    out = staged.withColumn("tracker", label_text(staged, rules)).drop(*map(_stripped_name, texts))
-    return out if keep_unlabelled else out.where(F.col("tracker") != "")
+    label = label_text(staged, rules)
+    if not keep_unlabelled:
+        label = F.explode(F.array_remove(F.array(label), F.lit("")))
+    return staged.withColumn("tracker", label).drop(*map(_stripped_name, texts))
 
 
 def tracker_counts(labelled: DataFrame) -> DataFrame:
