@@ -1,9 +1,10 @@
 """Order MinHash fingerprints (operator 6), in DataFrame functions only.
 
-Every k-mer (k neighbouring words) is numbered by its occurrence within the text and hashed with that number.  The ``least``
-smallest hashes are selected, kept in the order of the text, and each tuple of neighbours in that order is hashed into one
-part of the fingerprint.  Equal parts need the same selected k-mers in the same order, so likeness falls with edit
-distance, not only with the set of k-mers.
+Every k-mer (k neighbouring words) is numbered by its occurrence within the text and hashed with that number, which places it
+on a circle of hashes.  Each part of the fingerprint has a starting point of its own on that circle, so its own order of all
+k-mers: its least ones are the first at or after its starting point.  They are put in the order of the text and hashed as one tuple.
+A part is equal in two texts if both select the same k-mers, in the same order, wherever in the text these stand, so
+likeness falls with edit distance, not only with the set of k-mers: moved blocks change about half of all pairs.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 from podelta.llm.common import bind, stage
 
 WORDS = 5  # words of a k-mer
-LEAST = 33  # selected k-mers
+PARTS = 32  # parts of a fingerprint
 TUPLE = 2  # k-mers of a part
 
+PLACE_BITS = 31  # of a circle entry: the k-mer's place in its text, below the first 33 bits of its hash
+
 
 def _at(array: Column, j: Column) -> Column:
     """Entry at place ``j`` from 0, null outside."""
@@ -44,43 +47,65 @@ def _packed(kmers: Column) -> Column:
     return bind(_room(kmers), lambda r: F.sort_array(F.transform(kmers, lambda h, p: h.bitwiseAND(-r).bitwiseOR(p))))
 
 
-def _least_numbered(kmers: Column, packed: Column, least: int) -> Column:
-    """The ``least`` smallest hashes of the numbered k-mers, in the order of the text, for a text with repeated k-mers.
+def _entry(kmer: Column, place: Column) -> Column:
+    """Circle entry of a k-mer hash at a place: sorting entries sorts by hash."""
+    return kmer.bitwiseAND(F.lit(-(1 << PLACE_BITS))).bitwiseOR(place.cast("bigint"))
+
+
+def _steps(n: Column) -> Column:
+    """Powers of two up to ``n``, falling: the steps of a search by halving in ``n`` entries."""
+    return F.filter(F.array(*(F.lit(1 << b) for b in range(30, -1, -1))), lambda step: step <= n)
+
+
+def _numbered_entries(kmers: Column, packed: Column) -> Column:
+    """Circle entries of the numbered k-mers of a text with repeated k-mers, in no order.
 
-    In ``packed`` an entry that continues the run before it is a repeat.  The first entries of the runs are in the order
-    of their hashes, so only ``least`` of them can count; each repeat gets a hash of its k-mer and its number.
+    In ``packed`` an entry that continues the run before it is a repeat; a first one keeps the hash of its k-mer, each repeat
+    gets a hash of its k-mer and its number.
     """
 
     def select(room: Column) -> Column:
         repeat = lambda x, j: F.coalesce(_at(packed, j - 1).bitwiseAND(-room) == x.bitwiseAND(-room), F.lit(False))
         place = lambda x: x.bitwiseAND(room - 1).cast("int")
-        firsts = F.slice(F.filter(packed, lambda x, j: ~repeat(x, j)), F.lit(1), F.lit(least))
-        heads = F.transform(firsts, lambda x: F.struct(_at(kmers, place(x)).alias("h"), place(x).alias("p")))
-        repeats = F.filter(packed, repeat)
+        kmer = lambda x: F.coalesce(_at(kmers, place(x)), F.lit(0).cast("bigint"))
+        heads = F.transform(F.filter(packed, lambda x, j: ~repeat(x, j)), lambda x: _entry(kmer(x), place(x)))
 
         def number(again: Column) -> Column:
             runs = F.transform(again, lambda x: x.bitwiseAND(-room))
-            steps = F.array(*(F.lit(1 << b) for b in range(30, -1, -1)))
 
             def halving(r: Column, j: Column) -> Column:  # entries before j that equal it, for long lists
-                return F.aggregate(steps, F.lit(0), lambda n, step: F.when((step <= j - n) & (_at(r, j - n - step) == _at(r, j)), n + step).otherwise(n))
+                return F.aggregate(_steps(F.size(r)), F.lit(0),
+                                   lambda n, step: F.when((step <= j - n) & (_at(r, j - n - step) == _at(r, j)), n + step).otherwise(n))
 
-            return bind(runs, lambda r: F.transform(again, lambda x, j: F.struct(
-                F.xxhash64(_at(kmers, place(x)), F.when(F.size(r) <= 512, j - F.array_position(r, _at(r, j)).cast("int") + 1).otherwise(halving(r, j)) + 1).alias("h"),
-                place(x).alias("p"))))
+            return bind(runs, lambda r: F.transform(again, lambda x, j: _entry(F.xxhash64(
+                kmer(x), F.when(F.size(r) <= 512, j - F.array_position(r, _at(r, j)).cast("int") + 1).otherwise(halving(r, j)) + 1), place(x))))
 
-        both = F.concat(heads, bind(repeats, number))
-        low = F.slice(F.sort_array(both), F.lit(1), F.lit(least))
-        return F.transform(F.sort_array(F.transform(low, lambda e: F.struct(e["p"].alias("p"), e["h"].alias("h")))), lambda e: e["h"])
+        return F.concat(heads, bind(F.filter(packed, repeat), number))
 
     return bind(_room(packed), select)
 
 
-def with_parts(df: DataFrame, text: Column, name: str = "parts", k: int = WORDS, least: int = LEAST, size: int = TUPLE) -> DataFrame:
-    """``df`` and its fingerprints: array columns of at most ``least`` - ``size`` + 1 longs.
+def _tuples(circle: Column, steps: Column, parts: int, size: int) -> Column:
+    """One tuple hash per starting point: the next ``size`` entries of the sorted circle, in the order of the text."""
+    n = F.size(circle)
+    starts = F.array(*(F.lit(-(1 << 63) + i * ((1 << 64) // parts)).cast("bigint") for i in range(parts)))
+    by_place = lambda x: F.shiftleft(x, 64 - PLACE_BITS).bitwiseOR(F.shiftrightunsigned(x, PLACE_BITS))
+    hash_bits = lambda x: x.bitwiseAND(F.lit((1 << (64 - PLACE_BITS)) - 1))
+
+    def part(start: Column) -> Column:
+        before = F.aggregate(steps, F.lit(0), lambda lo, step: F.when(
+            (lo + step <= n) & (_at(circle, lo + step - 1) < start), lo + step).otherwise(lo))
+        chosen = lambda i: F.array(*(F.when(F.lit(j) < n, by_place(_at(circle, (i + j) % n))) for j in range(size)))
+        return bind(before, lambda i: F.xxhash64(F.transform(F.array_sort(F.array_compact(chosen(i))), hash_bits)))
+
+    return F.when(n > 0, F.transform(starts, part)).otherwise(F.array().cast("array<bigint>"))
+
+
+def with_parts(df: DataFrame, text: Column, name: str = "parts", k: int = WORDS, parts: int = PARTS, size: int = TUPLE) -> DataFrame:
+    """``df`` and its fingerprints: array columns of ``parts`` longs.
 
-    A text of fewer words than ``k`` is one k-mer, a text without words has none; of fewer k-mers than ``size`` all form
-    one part.  Every step that is used more than once is a column, so that it is computed once, by generated code.
+    A text of fewer words than ``k`` is one k-mer, a text without words has no parts; of fewer k-mers than ``size`` all form
+    every part.  Every step that is used more than once is a column, so that it is computed once, by generated code.
     """
     c = lambda step: F.col(f"__{name}_{step}")
     step = lambda frame, title, value: frame.withColumn(f"__{name}_{title}", value)
@@ -94,13 +119,10 @@ def with_parts(df: DataFrame, text: Column, name: str = "parts", k: int = WORDS,
     # Texts without a repeated k-mer, most of them, need no numbers.
     repeats = F.size(F.array_distinct(c("kmers"))) != F.size(c("kmers"))
     out = step(out, "packed", F.when(repeats, _packed(c("kmers"))))
-    out = step(out, "bound", F.get(F.sort_array(c("kmers")), F.lit(least - 1)))
-    out = step(out, "kept", F.when(c("packed").isNotNull(), _least_numbered(c("kmers"), c("packed"), least))
-               .when(c("bound").isNull(), c("kmers")).otherwise(F.filter(c("kmers"), lambda h: h <= c("bound"))))
-    tuples = F.transform(F.slice(c("kept"), F.lit(1), F.greatest(F.size(c("kept")) - (size - 1), F.lit(0))),
-                         lambda h, i: F.xxhash64(*(_at(c("kept"), i + j) for j in range(size))))
-    whole = F.filter(F.array(F.xxhash64(c("kept"))), lambda _: F.size(c("kept")) > 0)
-    return out.select(*kept_columns, F.when(F.size(c("kept")) >= size, tuples).otherwise(whole).alias(name))
+    entries = F.when(c("packed").isNotNull(), _numbered_entries(c("kmers"), c("packed"))).otherwise(F.transform(c("kmers"), _entry))
+    out = step(out, "circle", F.sort_array(entries))
+    out = step(out, "steps", _steps(F.size(c("circle"))))
+    return out.select(*kept_columns, _tuples(c("circle"), c("steps"), parts, size).alias(name))
 
 
 def render(fingerprint: Column) -> Column:
@@ -109,9 +131,10 @@ def render(fingerprint: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Common parts of two fingerprints divided by the parts of both together; 1 for two texts without words."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+    """Share of the parts that are equal in both fingerprints; 1 for two texts without words."""
+    parts = F.greatest(F.size(a), F.size(b))
+    equal = F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)
+    return F.when(parts == 0, F.lit(1.0)).otherwise(F.size(equal) / parts)
 
 
 def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -159,8 +182,9 @@ def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     heads = rows.join(order, "at").select("to", F.struct(
         F.col("at.key").alias("key"), chars.cast("bigint").alias("n_chars"), half.alias("half"),
         F.substring("text", F.lit(1), chars - half).alias("head"), F.col("parts").alias("parts")).alias("doc"))
-    earlier = F.lag(F.lit(1)).over(Window.partitionBy("at").orderBy("text"))
-    following = rows.withColumn("earlier", earlier).where("earlier IS NULL").select(F.col("at").alias("to"), "text", "parts")
+    # An aggregate, so that a key of many rows is reduced before the shuffle.
+    following = (rows.groupBy("at").agg(F.min(F.struct("text", "parts")).alias("least"))
+                 .select(F.col("at").alias("to"), "least.text", "least.parts"))
     joined = heads.join(following, "to").select(
         F.col("doc.key").alias(key), F.col("doc.n_chars").alias("n_chars"), F.col("doc.parts").alias("parts"),
         F.concat("doc.head", F.substring("text", F.lit(1), F.col("doc.half"))).alias("edited_text"),
