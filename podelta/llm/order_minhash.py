@@ -149,21 +149,22 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
 
 # --- comparison with an edited text --------------------------------------------
 def successors(keys: DataFrame, key: str) -> DataFrame:
-    """(key, next): the next distinct key in descending order, the greatest after the least; null orders last.
+    """(key, rows, next): how many rows have the key, and the next distinct key in descending order, the greatest after the
+    least; null orders last.
 
     Only keys are moved: they are range-partitioned and sorted, and a table of one row per partition joins the ends.
     """
-    ranged = (keys.select(F.col(key).alias("key")).distinct().repartitionByRange(F.col("key").desc_nulls_last())
-              .sortWithinPartitions(F.col("key").desc_nulls_last()))
-    placed = stage(ranged.select("key", F.spark_partition_id().alias("part")), "keys")
+    ranged = (keys.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+              .repartitionByRange(F.col("key").desc_nulls_last()).sortWithinPartitions(F.col("key").desc_nulls_last()))
+    placed = stage(ranged.select("key", "rows", F.spark_partition_id().alias("part")), "keys")
     order = F.col("key").desc_nulls_last()
-    inside = placed.select("key", "part", F.lead(F.struct("key")).over(Window.partitionBy("part").orderBy(order)).alias("next"))
+    inside = placed.select("key", "rows", "part", F.lead(F.struct("key")).over(Window.partitionBy("part").orderBy(order)).alias("next"))
     first = F.max_by(F.struct("key"), F.struct(F.col("key").isNotNull(), F.col("key")))
     heads = stage(placed.groupBy("part").agg(first.alias("head")), "heads")  # one row per partition
     after = heads.select(F.col("part"), F.lead("head").over(Window.orderBy("part")).alias("lead"),
                          F.first("head").over(Window.orderBy("part")).alias("top"))
     ends = F.coalesce("next", "lead", "top")
-    return inside.join(F.broadcast(after), "part").select("key", ends["key"].alias("next"))
+    return inside.join(F.broadcast(after), "part").select("key", "rows", ends["key"].alias("next"))
 
 
 def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -174,21 +175,25 @@ def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     the next smaller distinct key; of rows that repeat that key the least text counts.  A lone key is its own next.
     """
     rows = docs.select(F.struct(F.col(key).alias("key")).alias("at"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = with_parts(rows, F.col("text"), "parts", **options)  # a struct key also joins null to null
     order = stage(successors(docs.select(F.col(key).alias("key")), "key")
-                  .select(F.struct("key").alias("at"), F.struct(F.col("next").alias("key")).alias("to")), "successors")
+                  .select(F.struct("key").alias("at"), "rows", F.struct(F.col("next").alias("key")).alias("to")), "successors")
+    # Keys of several rows, as a table of known size.  Their least text is an aggregate, reduced before the shuffle.
+    repeated = stage(order.where("rows > 1").select("at"), "repeated")
+    least = rows.join(repeated, "at", "left_semi").groupBy("at").agg(F.min("text").alias("text"))
+    least = with_parts(least, F.col("text"), "parts", **options).select(F.col("at").alias("to"), F.struct("text", "parts").alias("least"))
+    rows = with_parts(rows, F.col("text"), "parts", **options)  # a struct key also joins null to null
     chars = F.length("text")
     half = F.floor(chars / 2).cast("int")
+    # Both joins of rows and order share one shuffle of the rows.
     heads = rows.join(order, "at").select("to", F.struct(
         F.col("at.key").alias("key"), chars.cast("bigint").alias("n_chars"), half.alias("half"),
         F.substring("text", F.lit(1), chars - half).alias("head"), F.col("parts").alias("parts")).alias("doc"))
-    # An aggregate, so that a key of many rows is reduced before the shuffle.
-    following = (rows.groupBy("at").agg(F.min(F.struct("text", "parts")).alias("least"))
-                 .select(F.col("at").alias("to"), "least.text", "least.parts"))
-    joined = heads.join(following, "to").select(
+    only = rows.join(order.where("rows = 1").select("at"), "at").select(F.col("at").alias("to"), F.struct("text", "parts").alias("only"))
+    following = heads.join(only, "to", "left").join(least, "to", "left").select("doc", F.coalesce("only", "least").alias("after"))
+    joined = following.select(
         F.col("doc.key").alias(key), F.col("doc.n_chars").alias("n_chars"), F.col("doc.parts").alias("parts"),
-        F.concat("doc.head", F.substring("text", F.lit(1), F.col("doc.half"))).alias("edited_text"),
-        F.col("parts").alias("next_parts"))
+        F.concat("doc.head", F.substring("after.text", F.lit(1), F.col("doc.half"))).alias("edited_text"),
+        F.col("after.parts").alias("next_parts"))
     return (with_parts(joined, F.col("edited_text"), "edited_parts", **options)
             .withColumn("near_edited", likeness(F.col("parts"), F.col("edited_parts")))
             .withColumn("near_next", likeness(F.col("parts"), F.col("next_parts"))))
