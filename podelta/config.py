@@ -279,6 +279,11 @@ LINE_FIELDS = (
     ("Final Team", 50, "final_team"),
 )
 
+# What a roll-up row shows of the documents' fields; every other field is a list of its distinct values.
+ROLLUP_SUMS = ("quantity", "quantity_received", "quantity_on_shipments", "pending_units", "pending_value", "per_unit_amount", "internal_id",
+               "line_id")
+ROLLUP_LISTS = ("item", "asin_number", "market_place")
+
 # Date texts of a shipment header as (column, format).
 SHIPMENT_DATES = (
     ("telex_release_date", "dd.MM.yyyy"), ("actual_arrival_date", "yyyy-MM-dd"), ("actual_cargo_pick_up_date", "yyyy-MM-dd"),

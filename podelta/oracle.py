@@ -443,6 +443,42 @@ FROM (SELECT line_key AS rollup_id, line_key AS order_line_id, batch_id, documen
 """, extra=COLLAPSE_CTES)
 
 
+def _wide_rollup() -> tuple[str, str]:
+    """All fields of the documents, rolled up by batch, by document, and untouched: tables and query."""
+    fields = [name for _, _, name in LINE_FIELDS if name not in ("document_number", "batch_id", "order_line_id")]
+    sums = [c for c in fields if c in ("quantity", "quantity_received", "quantity_on_shipments", "pending_units", "pending_value",
+                                       "per_unit_amount", "internal_id", "line_id")]
+    lists = [c for c in fields if c in ("item", "asin_number", "market_place")]
+    sets = [c for c in fields if c not in sums + lists]
+    in_order = "ORDER BY document_number, ord"
+
+    def grouped(by: str, flag: str) -> str:
+        doc, batch = (by, "NULL") if by == "document_number" else (_set("document_number"), by)
+        values = [f"CAST(coalesce(SUM({c}), 0) AS DOUBLE) AS {c}" for c in sums]
+        values += [f"string_agg(coalesce({c}, 'nan'), ',' {in_order}) AS {c}" for c in lists] + [f"{_set(c)} AS {c}" for c in sets]
+        return f"""
+SELECT first(id_col {in_order}) FILTER (WHERE id_col IS NOT NULL) AS rollup_id, split_part(MIN(line_key), ',', 1) AS order_line_id,
+       {batch} AS batch_id, {doc} AS document_number, first(tracker {in_order}) FILTER (WHERE tracker IS NOT NULL) AS tracker,
+       {", ".join(values)}
+FROM WIDE WHERE {flag} AND {by} IS NOT NULL GROUP BY {by}"""
+
+    own = [f"CAST({c} AS DOUBLE) AS {c}" for c in sums] + [f"CAST({c} AS VARCHAR) AS {c}" for c in lists + sets]
+    tables = f"""
+FIELDS AS ({ORACLE["line_projection"]}),
+WIDE AS MATERIALIZED (SELECT RL.document_number, RL.ord, RL.line_key, RL.batch_id, RL.tracker, RL.bs, RL.ds, RL.id_col,
+                             {", ".join(f"FIELDS.{c}" for c in fields)}
+                      FROM RL JOIN FIELDS ON RL.line_key = FIELDS.document_key AND RL.ord = FIELDS.ord)"""
+    return tables, f"""
+SELECT line_key AS rollup_id, split_part(line_key, ',', 1) AS order_line_id, batch_id, document_number, tracker, {", ".join(own)}
+FROM WIDE WHERE NOT (bs OR ds)
+UNION ALL {grouped("batch_id", "bs")}
+UNION ALL {grouped("document_number", "ds")}"""
+
+
+_WIDE_TABLES, _WIDE_QUERY = _wide_rollup()
+sql("rollup_wide", ("order_lines",), _WIDE_QUERY, extra=ROLLUP_CTES + "," + _WIDE_TABLES)
+
+
 # Roll-up rows by id: every line once per row that it belongs to, and per id once.
 _MEMBERS = """
 DR AS (SELECT document_number AS dr_doc, first(id_col ORDER BY document_number, ord) AS dr_id FROM RL

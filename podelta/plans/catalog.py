@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from podelta.config import (INSPECTION_LIST, INSPECTION_SUBSET_LABEL, INSPECTION_SUBSET_STATUSES, INSPECTION_MAP, INSPECTION_WIDE, LINE_FIELDS, LINE_SHIPMENT_COLUMNS,
-                            ROLLUP_LIST, TRACKED_MAP, TRACKED_WIDE, TRACKER_LIST)
+                            ROLLUP_LIST, ROLLUP_LISTS, ROLLUP_SUMS, TRACKED_MAP, TRACKED_WIDE, TRACKER_LIST)
 from podelta.functions import exprs as X
 from podelta.operators import changeset, inspection, lookups, outbox, rollup, rules, views, widelist
 from podelta.plans import sync
@@ -310,6 +310,21 @@ def rollup_all(spark):
     return allrows.withColumn("order_line_id", F.split_part(F.col("order_line_id"), F.lit(","), F.lit(1)))
 
 
+@query("rollup_wide", ("order_lines", "line_documents"))
+def rollup_wide(spark):
+    """W1, U5-U8, A4-A7 over all typed fields of the documents: 8 sums, 3 ordered lists, a distinct list of every other."""
+    labels = rollup.label_rows(tracked_lines(spark)).select(
+        "document_number", "ord", "line_key", "batch_id", "tracker", "batch_scope", "document_scope", "id_col")
+    fields = [name for _, _, name in LINE_FIELDS if name not in ("document_number", "batch_id", "order_line_id")]
+    documents = views.line_projection(views.latest_snapshot(T(spark, "line_documents"), "snapshot_ts"), "rdata",
+                                      [f for f in LINE_FIELDS if f[2] in fields], keep=("line_key", "ord"))
+    rows = sync.pinned(labels.join(documents, ["line_key", "ord"]))
+    sets = [f for f in fields if f not in ROLLUP_SUMS + ROLLUP_LISTS]
+    out = rollup.full_rows(rows, ROLLUP_ORDER, ROLLUP_SUMS, ROLLUP_LISTS, sets)
+    whole = [c for c in ROLLUP_SUMS if c not in ("pending_value", "per_unit_amount")]
+    return out.withColumns({c: F.col(c).cast("decimal(38,0)").cast("double") for c in whole})
+
+
 @query("rollup_collisions", ("order_lines",))
 def rollup_collisions(spark):
     """Ids that several roll-up rows share (a line in both scopes, documents under one batch label, repeated line keys)."""

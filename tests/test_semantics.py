@@ -356,3 +356,16 @@ def test_bad_date_text_counts_as_none(spark):
     df = spark.createDataFrame([("a", "2020-01-10"), ("a", "soon"), ("b", "soon")], "order_line_id string, prd string")
     got = inspection.email_schedule(df, "2020-01-01").collect()
     assert [(r[0], str(r[1])) for r in got] == [("a", "2019-12-31")]
+
+
+def test_full_rows_of_any_width(spark):
+    """Batch, document and untouched rows share columns: sums, ordered lists with repeats, distinct lists with nan, first key."""
+    rows = spark.createDataFrame(
+        [("D1", 1, "k2", "b1", "T", True, False, "b1 - D1 - 2", 1.5, "i", "x"), ("D1", 2, "k1", "b1", "T", True, False, "b1 - D1 - 2", None, "i", None),
+         ("D2", 1, "k3", None, "P", False, True, "D2 - 1", None, None, "y"), ("D3", 1, "k4,z", None, "Q", False, False, "k4,z", None, "j", None)],
+        "document_number string, ord long, line_key string, batch_id string, tracker string, batch_scope boolean, document_scope boolean, "
+        "id_col string, amount double, item string, note string")
+    got = rollup.full_rows(rows, ("document_number", "ord"), ("amount",), ("item",), ("note",)).orderBy("rollup_id").collect()
+    assert [tuple(r) for r in got] == [
+        ("D2 - 1", "k3", None, "D2", "P", 0.0, "nan", "y"), ("b1 - D1 - 2", "k1", "b1", "D1", "T", 1.5, "i,i", "nan,x"),
+        ("k4,z", "k4", None, "D3", "Q", None, "j", None)]
