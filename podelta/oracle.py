@@ -67,6 +67,10 @@ SELECT document_number, ord, line_key, tracker, coalesce(quantity, 0) AS quantit
 FROM labelled WHERE tracker <> ''
 """, extra=LABELLED)
 
+sql("quantities_filled", ("raw_quantities",), "SELECT line_key, ord, " + ", ".join(
+    f"CASE WHEN {c} IS NULL OR trim({c}) = '' THEN 0 ELSE CAST({c} AS DOUBLE) END AS {c}"
+    for c in ("quantity", "quantity_received", "quantity_on_shipments")) + " FROM raw_quantities")
+
 sql("tracker_counts", ("order_lines",), """
 SELECT t AS tracker, COUNT(*) AS lines
 FROM (SELECT unnest(string_split(tracker, ', ')) AS t FROM labelled WHERE tracker <> '') s

@@ -54,6 +54,16 @@ def order_lines_tracked(spark):
     return rules.tracked_line_frame(lines)
 
 
+QUANTITIES = ("quantity", "quantity_received", "quantity_on_shipments")
+
+
+@query("quantities_filled", ("raw_quantities",))
+def quantities_filled(spark):
+    """The three quantity columns of every line, blank text and NULL as 0."""
+    rows = rules.tracked_line_frame(T(spark, "raw_quantities"), QUANTITIES)
+    return rows.select("line_key", "ord", *QUANTITIES)
+
+
 @query("tracker_counts", ("order_lines",))
 def tracker_counts(spark):
     """How many open lines sit in each tracker."""

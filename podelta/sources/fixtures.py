@@ -250,6 +250,14 @@ SELECT line_key, ord, '{{' || {" || ',' || ".join(f"""'"{key}":' || {_document_v
        || '}}' AS rdata, snapshot_ts
 FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k FROM order_line_snapshots) t
 """, ("order_line_snapshots",)),
+    # Quantities as an extract delivers them: text, with blanks of both kinds and NULLs.
+    "raw_quantities": ("""
+SELECT line_key, ord,
+       CASE CAST(k % 7 AS INT) WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' ELSE CAST(quantity AS STRING) END AS quantity,
+       CASE CAST(k % 5 AS INT) WHEN 0 THEN ' ' WHEN 1 THEN NULL ELSE CAST(quantity AS STRING) || '.5' END AS quantity_received,
+       CASE CAST((k + ord) % 6 AS INT) WHEN 0 THEN '' WHEN 1 THEN '0' ELSE CAST(quantity + ord AS STRING) || '.0' END AS quantity_on_shipments
+FROM (SELECT *, CAST(SUBSTR(document_number, 3) AS BIGINT) AS k FROM order_lines) t
+""", ("order_lines",)),
     "delivery_results": ("""
 SELECT CAST(o_orderkey % 997 AS BIGINT) AS batch_no, CAST(o_orderkey AS BIGINT) AS attempt,
        CASE CAST(o_orderkey % 7 AS INT) WHEN 0 THEN 'timeout' WHEN 1 THEN NULL WHEN 2 THEN 'error' ELSE 'ok' END AS status,
