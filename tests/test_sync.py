@@ -147,3 +147,18 @@ def test_map_findings():
     got = widelist.map_findings([("a", "x"), ("b", "x"), ("c", "gone"), ("d", "d")], ["x", "d"])
     assert got == [("a", "x", True, False), ("b", "x", False, False), ("c", "gone", False, True), ("d", "d", False, False)]
     assert len(TRACKED_MAP) == 80 and len(INSPECTION_WIDE.fields) == 26
+
+
+def test_lines_do_not_carry_the_documents_of_their_batch(spark):
+    """Rows of the roll-up have keys of bounded length; the ids come back whole, and equal ids of other origin still collide."""
+    rows = [(f"PO{i:04}", 1, f"k{i}", "B1", "BP") for i in range(300)]
+    (label,) = {r.id_col for r in rollup.label_rows(lines(spark, rows)).collect()}
+    assert len(label) > 2000
+    df = lines(spark, rows + [("Z", 1, label, None, "PRD"), ("Z", 2, "k" * 70, None, "PRD"), ("Y" * 60, 1, "a", None, "PP"), ("PO0007", 2, "b", "B1", "PP, BP")])
+    keyed, texts = rollup.label_keys(df)
+    at = sync.members_of(keyed)
+    assert max(len(r.rollup_id) for r in at.collect()) == rollup.KEY_CHARS + 1
+    whole = rollup.memberships(rollup.label_rows(df))
+    assert (sorted(map(tuple, rollup.with_ids(rollup.collisions(at), texts, "rollup_id").collect()))
+            == sorted(map(tuple, rollup.collisions(whole).collect())))
+    assert sorted(map(tuple, sync.merged_rows(at, texts).collect())) == sorted(map(tuple, sync.merged_rows(whole).collect()))
