@@ -19,6 +19,7 @@ to drop them.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,8 @@ BLOCK, BUCKET_CHARS = 1 << 19, 27_000_000
 PIECE = 1 << 18
 #: Windows that are named in one go.
 SLICE = 1 << 16
+#: Names that are sorted in one go.
+SORTED = 1 << 18
 
 _MIX = np.array([[0x9E3779B97F4A7C15], [0xC2B2AE3D27D4EB4F]], np.uint64)
 _TURN = np.array([[0xBF58476D1CE4E5B9], [0x94D049BB133111EB]], np.uint64)
@@ -181,14 +184,28 @@ def _unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 def _least(names: np.ndarray, docs: np.ndarray, *more: np.ndarray) -> np.ndarray:
     """Whether a smaller document holds the same name; ``more`` tells names apart that agree in their 64 bits."""
-    order = np.argsort(names)
-    docs = docs[order]
-    first = _changes(names[order], *(m[order] for m in more))
     out = np.empty(len(names), bool)
-    out[order] = docs > np.repeat(np.minimum.reduceat(docs, first), np.diff(np.append(first, len(docs))))
+    for part in _by_first_bits(names):  # slices keep the work space small; equal names are in one slice
+        order = part[np.argsort(names[part])]
+        mine = docs[order]
+        first = _changes(names[order], *(m[order] for m in more))
+        out[order] = mine > np.repeat(np.minimum.reduceat(mine, first), np.diff(np.append(first, len(mine))))
     return out
 
 
+def _by_first_bits(names: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the names, about ``SORTED`` at once: those whose first bits agree."""
+    bits = min(8, (len(names) // SORTED).bit_length())
+    if not bits:
+        yield np.arange(len(names))
+        return
+    lead = (names.view(np.uint8)[7::8] if sys.byteorder == "little" else names.view(np.uint8)[::8]) >> np.uint8(8 - bits)
+    for value in range(1 << bits):
+        part = np.flatnonzero(lead == value)
+        if len(part):
+            yield part
+
+
 def _block(words: Words, ids: list[np.ndarray], docs: list[int], texts: list[int], offsets: list[int], buckets: int,
            size: int) -> Iterator[tuple]:
     """Rows to send for the pieces of one block."""

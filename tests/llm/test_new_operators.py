@@ -331,3 +331,20 @@ def test_ties_keep_the_least_row(spark):
     for order in (rows, rows[::-1]):
         got = sorted((r.doc_id, r.text, r.source) for r in simhash.keep_one(clashing(spark, order).repartition(5)).collect())
         assert got == [(1, "same words in the same text", "a"), (2, "", "x")]
+
+
+def test_sorting_a_buckets_names_needs_little_beside_them():
+    import tracemalloc
+    names = np.random.default_rng(1).integers(0, 1 << 63, 1 << 20, dtype=np.uint64)[np.random.default_rng(2).integers(0, 1 << 20, 1 << 21)] * np.uint64(2)
+    docs = np.random.default_rng(3).integers(0, 1000, len(names)).astype(np.int32)
+    least = np.full(1 << 21, 1000, np.int32)
+    at = np.unique(names, return_inverse=True)[1]
+    np.minimum.at(least, at, docs)
+    tracemalloc.start()
+    try:
+        got = recompression._least(names, docs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (got == (docs > least[at])).all()
+    assert peak < 8 * len(names)
