@@ -61,7 +61,7 @@ _MONEY = "[$€£¥]|eur|usd|gbp|chf"
 _DATE = (r"^(?:(?:19|20)[0-9]{2}[.-](?:0[1-9]|1[0-2])[.-](?:0[1-9]|[12][0-9]|3[01])|"
          r"(?:0[1-9]|[12][0-9]|3[01])[.-](?:0[1-9]|1[0-2])[.-](?:19|20)[0-9]{2})(?![0-9])")
 
-#: Bound on the candidates that train the trees, and the precision that calibration asks of held-out ones.
+#: Weight that all candidates carry together at most, and all rewritten spans; the precision that calibration asks of held-out ones.
 TRAIN_ROWS, PRECISION, TREES, DEPTH, SEED = 20_000, 0.95, 10, 4, 5
 _BLOCK = 512
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -271,11 +271,14 @@ def rewritten(kind: Column, before: Column, value: Column, after: Column) -> Col
 
 def train(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS, precision: float = PRECISION, trees: int = TREES,
           depth: int = DEPTH, seed: int = SEED) -> Booster:
-    """Fit on about ``train_rows`` candidates (drawn by hash) and as many rewritten spans; calibrate on a fifth no tree saw.
+    """Fit on every candidate and every rewritten span; calibrate on a fifth (by hash) that no tree saw.
 
     Base spans need no model and are neither trained nor counted on.  They are rewritten in their context, and the
     candidate that a generator finds there is labelled; candidates of the texts are labelled by ``evidence``, or false
     if they touch a base span of another kind.  Without candidates of both sorts there is no model, and no kind adds spans.
+
+    Equal features with equal labels are one row with their number as its weight.  Weights are scaled so that neither
+    candidates nor rewritten spans weigh more than about ``train_rows`` together, and neither sort drowns the other.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     around = lambda s: [F.substring(t, F.greatest(s["start"] - BEFORE, F.lit(0)) + 1, s["start"] - F.greatest(s["start"] - BEFORE, F.lit(0))).alias("before"),
@@ -291,28 +294,30 @@ def train(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS, pre
     found = docs.select(F.col(text).alias(text), base_spans(F.col(text)).alias("base")).select(F.explode(both).alias("s")).select("s.*")
     label = F.when(F.col("f").isNull(), 1.0).when(F.col("own"), F.lit(None)).when(F.col("other"), 0.0).otherwise(
         evidence(F.col("kind"), F.col("value"), F.col("f")))
+    # Only spans are rewritten, so only theirs is the text that moves on.
+    own = lambda c: F.when(F.col("f").isNull(), F.col(c)).alias(c)
     rows = stage(found.withColumn("label", label).where("label IS NOT NULL").select(
-        "kind", "f", "label", "before", "value", "after", F.xxhash64("kind", "before", "value", F.lit(seed)).alias("h")), "candidates")
+        "kind", "f", "label", own("before"), own("value"), own("after"),
+        (F.pmod(F.xxhash64("kind", "before", "value", F.lit(seed)), F.lit(5)) == 0).alias("held")), "candidates")
     seen = rows.agg(F.count("f").alias("n"), F.count("*").alias("all")).first()
+    scaled = lambda n, each=1: min(1.0, train_rows / max(1, n * each))
 
-    def drawn(frame: DataFrame, n: int, each: int = 1) -> DataFrame:
-        share = min(1.0, train_rows / max(1, n * each))
-        return frame.where(F.pmod("h", F.lit(1_000_003)) < int(share * 1_000_003) + 1)
-
-    spans = drawn(rows.where("f IS NULL"), seen["all"] - seen["n"], 10).select("kind", "h", F.explode(rewritten(
-        F.col("kind"), F.col("before"), F.col("value"), F.col("after"))).alias("r")).where("r.value IS NOT NULL")
-    made = spans.select("kind", "h", F.col("r.label").alias("label"), F.length("r.before").alias("start"), F.length("r.value").alias("n"),
+    spans = rows.where("f IS NULL").groupBy("kind", "before", "value", "after", "held").agg(F.count("*").alias("n")).select(
+        "kind", "held", "n", F.explode(rewritten(F.col("kind"), F.col("before"), F.col("value"), F.col("after"))).alias("r")).where(
+        "r.value IS NOT NULL")
+    made = spans.select("kind", "held", "n", F.col("r.label").alias("label"), F.length("r.before").alias("start"), F.length("r.value").alias("l"),
                         F.explode(candidates(F.concat("r.before", "r.value", "r.after"))).alias("c")).where(
-        (F.col("c.kind") == F.col("kind")) & (F.col("c.start") == F.col("start")) & (F.col("c.end") == F.col("start") + F.col("n")))
-    sample = stage(drawn(rows.where("f IS NOT NULL"), seen["n"]).select("kind", "f", "label", "h")
-                   .union(made.select("kind", "c.f", "label", "h")), "sample")
-    fit = sample.where(F.pmod("h", F.lit(5)) != 0).select(array_to_vector("f").alias("features"), "label")
+        (F.col("c.kind") == F.col("kind")) & (F.col("c.start") == F.col("start")) & (F.col("c.end") == F.col("start") + F.col("l")))
+    weighed = rows.where("f IS NOT NULL").select("kind", "f", "label", "held", F.lit(scaled(seen["n"])).alias("w")).union(
+        made.select("kind", "c.f", "label", "held", F.col("n") * F.lit(scaled(seen["all"] - seen["n"], 10))))
+    examples = stage(weighed.groupBy("kind", "f", "label", "held").agg(F.sum("w").alias("w")), "examples")
+    fit = examples.where("NOT held").select(array_to_vector("f").alias("features"), "label", "w")
     if fit.select("label").distinct().limit(2).count() < 2:
         return Booster((), (), {})
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, cacheNodeIds=False).fit(fit)
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, cacheNodeIds=False, weightCol="w").fit(fit)
     fitted = Booster(tuple(read_tree(t) for t in model.trees), tuple(model.treeWeights), {})
-    held = sample.where(F.pmod("h", F.lit(5)) == 0).select("kind", "label", F.floor(fitted.score(F.col("f")) * 100).alias("bin"))
-    bins = held.groupBy("kind", "bin").agg(F.sum("label").alias("true"), F.count("*").alias("n")).collect()  # 101 bins a kind
+    scored = examples.where("held").select("kind", "label", "w", F.floor(fitted.score(F.col("f")) * 100).alias("bin"))
+    bins = scored.groupBy("kind", "bin").agg(F.sum(F.col("label") * F.col("w")).alias("true"), F.sum("w").alias("n")).collect()  # 101 bins a kind
     thresholds = {}
     for kind in KINDS:
         true = n = 0

@@ -704,3 +704,21 @@ def test_private_data_in_other_formats(spark):
     for i in range(len(new), len(new) + len(like)):
         assert not {s for s in got[i] if s[0] != "phone" or texts[i][:4] not in ("tel ", "from")}, texts[i]
     assert got[len(texts) - 1] == {("email", 5, 12)}
+
+
+def test_trees_see_every_candidate(spark, monkeypatch):
+    """The weights of all examples count every candidate, also far beyond ``train_rows``; equal ones are one row."""
+    kept = {}
+    real = pii.stage
+    monkeypatch.setattr(pii, "stage", lambda df, tag: kept.setdefault(tag, real(df, tag)))
+    texts = [(i, f"order {10 ** 9 + i * 37} of host 10.0.{i % 200}.7, call +1 202 555 {1000 + i}") for i in range(300)]
+    pii.train(spark.createDataFrame(texts, "doc_id long, text string"), train_rows=20, trees=1, depth=1)
+    rows, examples = kept["candidates"], kept["examples"]
+    n = rows.where("f IS NOT NULL").count()
+    assert n >= 300
+    alone = rows.where("f IS NOT NULL").groupBy("kind", "f", "label", "held").count()
+    assert examples.join(alone, ["kind", "f", "label", "held"], "left_semi").count() == alone.count()
+    assert examples.count() == examples.select("kind", "f", "label", "held").distinct().count()
+    phones = rows.where("f IS NULL AND kind = 'phone'")
+    assert phones.select("value").distinct().count() == 300
+    assert examples.agg(F.sum("w")).first()[0] > 20 * 0.999
