@@ -1,11 +1,13 @@
 """What the jobs move, keep and sort."""
 
 import os
+import re
 
 from podelta.config import TRACKED_MAP, TRACKED_WIDE
 from podelta.operators import inspection, outbox, widelist
 from podelta.session import ensure_checkpoint_dir
 from podelta.plans import sync
+from podelta.sources import fixtures
 
 
 def _plan(df) -> str:
@@ -39,3 +41,30 @@ def test_wide_fields_are_no_rows(spark):
     plan = _plan(widelist.WideChangeSet(held, wanted, TRACKED_WIDE).diff())
     assert "posexplode" not in plan and "collect_list" not in plan
     assert widelist.WideChangeSet(held, wanted, TRACKED_WIDE).diff().collect() == []
+
+
+def test_lines_are_shuffled_once_for_the_orders_and_their_number(spark, tmp_path):
+    tables = {
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+                     "(1, 7, 3, 2, 5d, 10d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), (1, 7, 3, 1, 4d, 20d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), "
+                     "(1, 7, 3, 1, 4d, 20d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), (2, 8, 3, 1, 1d, 1d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), "
+                     "(null, 7, 3, 1, 1d, 1d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), (1, 7, 9, 1, 1d, 1d, 0d, 0d, 'A', 'F', timestamp'1998-01-02')"),
+        "orders": ("o_orderkey long, o_orderdate timestamp", "(1, timestamp'1997-01-01'), (2, timestamp'1997-01-01'), (2, timestamp'1997-02-01')"),
+        "supplier": ("s_suppkey long, s_name string", "(3, 'S')"), "part": ("p_partkey long, p_brand string", "(7, 'B7'), (8, 'B8')")}
+    for name, (schema, rows) in tables.items():
+        names = ", ".join(c.split()[0] for c in schema.split(", "))
+        spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})").to(spark.createDataFrame([], schema).schema).createOrReplaceTempView(name)
+    try:
+        lines = spark.sql(fixtures.spark_text("order_lines"))
+        plan = _plan(lines)
+        window = plan[plan.index("Window"):]
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+        # One exchange of lines, one of orders: none between the last join and the window.
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2 and "Exchange" not in window[:window.index("ShuffledHashJoin")]
+        assert sorted(map(str, lines.collect())) == sorted(map(str, spark.sql(fixtures.FIXTURES["order_lines"][0]).collect()))
+        assert sorted((r.document_number, r.ord) for r in lines.collect()) == [("PO1", 1), ("PO1", 2), ("PO1", 3), ("PO2", 1), ("PO2", 2)]
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        spark.conf.set("podelta.fixtures.dir", "")
