@@ -8,6 +8,7 @@ from podelta.operators import inspection, outbox, widelist
 from podelta.session import ensure_checkpoint_dir
 from podelta.plans import sync
 from podelta.sources import fixtures
+from podelta.sources.tables import DRIVER_TABLES
 
 
 def _plan(df) -> str:
@@ -68,3 +69,32 @@ def test_lines_are_shuffled_once_for_the_orders_and_their_number(spark, tmp_path
         for name in tables:
             spark.catalog.dropTempView(name)
         spark.conf.set("podelta.fixtures.dir", "")
+
+
+def test_lines_are_kept_once_and_first_lines_are_not_numbered_again(spark, tmp_path):
+    lines = ("(1, 7, 3, 2, 5d, 10d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), (1, 12, 3, 3, 4d, 20d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), "
+             "(1, 1, 3, 23, 4d, 21d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), (1, 7, 3, 2, 5d, 10d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), "
+             "(13, 7, 3, 2, 1d, 1d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), (13, 7, 9, 1, 1d, 1d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), "
+             "(13, 8, 3, null, 1d, 1d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), (5, 8, 3, null, 2d, 1d, 0d, 0d, 'A', 'F', timestamp'1998-01-02'), "
+             "(null, 7, 3, 1, 1d, 1d, 0d, 0d, 'A', 'F', timestamp'1998-01-02')")
+    tables = {"lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                           "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp", lines),
+              "orders": ("o_orderkey long, o_orderdate timestamp", "(1, timestamp'1997-01-01'), (13, timestamp'1997-01-01'), (5, timestamp'1997-02-01')"),
+              "supplier": ("s_suppkey long, s_name string", "(3, 'S')"), "part": ("p_partkey long, p_brand string", "(7, 'B7'), (8, 'B8'), (12, 'C'), (1, 'D')")}
+    for name in DRIVER_TABLES:
+        schema, rows = tables.get(name, ("x int", "(1)"))
+        names = ", ".join(c.split()[0] for c in schema.split(", "))
+        out = spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})").to(spark.createDataFrame([], schema).schema)
+        out.write.parquet(f"{tmp_path}/{name}.parquet")
+    views = ("order_lines", "existing_list", "desired_list", "held_inspections", "tracked_rows", "held_tracked")
+    try:
+        fixtures.register_fixtures(spark, str(tmp_path), views)
+        for name in views:
+            kept, plain = spark.table(name), spark.sql(f"{fixtures.cte_chain((name,))} SELECT * FROM {name}")
+            assert not re.search("Window|Exchange hashpartitioning|Join", _plan(kept)) and kept.schema.names == plain.schema.names
+            key = next(c for c in ("title", "rollup_id", "line_key") if c in kept.columns)
+            known = lambda df: sorted(map(str, df.where(f"{key} IS NOT NULL").collect()))
+            assert known(kept) == known(plain) and kept.count() == plain.count()
+        assert spark.table("order_lines").count() == 7 and spark.table("desired_list").count() == 4
+    finally:
+        spark.conf.set("podelta.fixtures.dir", "")
